@@ -91,24 +91,26 @@ def sample_ledger(spark: SparkSession, sf: str) -> DataFrame:
 def log_folder(spark: SparkSession, sf: str) -> str:
     """Conversations written once per session as log files, with an unfinished last line.
 
-    The last line of a log lacks its newline if its conversation id is the
-    largest of the log and the turn is the last.
+    Every line ends in "}", so with that as the row separator each row starts
+    with the newline of the line before it and the file ends without one.
     """
     key = (spark.sparkContext.applicationId, sf)
     if key not in _log_folders:
         folder = work_folder(spark) + "/logs"
-        lines = event_lines(spark, sf)
-        rest = Window.partitionBy("source").orderBy(F.desc("byte_start"))
+        newline = F.when(F.col("byte_start") > 0, "\n").otherwise("")
+        open_line = F.regexp_replace(F.col("raw").cast("string"), r"\}\n\z", "")
         (
-            lines.withColumn("last", F.row_number().over(rest) == 1)
-            .withColumn("line", F.col("raw").cast("string"))
-            .withColumn("value", F.when(F.col("last"), F.rtrim("line", F.lit("\n"))).otherwise(F.col("line")))
-            .select(F.regexp_replace("source", r"\.jsonl$", "").alias("log"), "byte_start", "value")
+            event_lines(spark, sf)
+            .select(
+                F.regexp_replace("source", r"\.jsonl$", "").alias("log"),
+                "byte_start",
+                F.concat(newline, open_line).alias("value"),
+            )
             .repartition("log")
             .sortWithinPartitions("log", "byte_start")
             .drop("byte_start")
             .write.partitionBy("log")
-            .option("lineSep", "")
+            .option("lineSep", "}")
             .text(folder)
         )
         _log_folders[key] = folder
