@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.functions import times
 from ledgerloom.operators import daily
 from ledgerloom.plans import oracle_ctes as o
 from ledgerloom.plans.registry import query
@@ -41,8 +40,7 @@ def daily_digest_summary(spark: SparkSession, sf: str) -> DataFrame:
 )
 def daily_select(spark: SparkSession, sf: str) -> DataFrame:
     """Records of one local day from a ledger that is stored by UTC day."""
-    stored = sample_ledger(spark, sf).withColumn("utc_day", times.utc_day(F.col("captured_at")))
-    return daily.select_day(stored, "2024-01-02", ZONE).select("day", "record_id", "captured_at")
+    return daily.select_day(sample_ledger(spark, sf), "2024-01-02", ZONE).select("day", "record_id", "captured_at")
 
 
 @query(

@@ -9,7 +9,7 @@ from ledgerloom.functions import events, ident
 from ledgerloom.operators import ledger
 from ledgerloom.plans import oracle_ctes as o
 from ledgerloom.plans.registry import query
-from ledgerloom.plans.sample_tables import event_lines, listed_logs, sample_ledger, table
+from ledgerloom.plans.sample_tables import event_lines, listed_logs, parsed_ledger, sample_ledger, table
 from ledgerloom.sources import byte_ranges
 
 # The logs on disk end without a newline, so their last line is not complete.
@@ -198,7 +198,7 @@ def source_ref(spark: SparkSession, sf: str) -> DataFrame:
     o.with_(o.LEDGER, "SELECT source_ref, byte_start, byte_end, event_sha256, record_id FROM ledger"),
 )
 def record_identity(spark: SparkSession, sf: str) -> DataFrame:
-    return flat(sample_ledger(spark, sf)).drop("captured_at", "role", "text", "text_sha256")
+    return flat(parsed_ledger(spark, sf)).drop("captured_at", "role", "text", "text_sha256")
 
 
 @query(
@@ -211,7 +211,7 @@ def record_identity(spark: SparkSession, sf: str) -> DataFrame:
 )
 def ledger_build(spark: SparkSession, sf: str) -> DataFrame:
     """The ledger exported as JSON lines and read back under its closed schema."""
-    return flat(ledger.from_json_lines(ledger.to_json_lines(sample_ledger(spark, sf))))
+    return flat(ledger.from_json_lines(ledger.to_json_lines(parsed_ledger(spark, sf))))
 
 
 @query(

@@ -202,7 +202,7 @@ def stale_cursor(spark: SparkSession, sf: str) -> DataFrame:
     return packets.stale_packets(built, now, applied).select("day", "packet_sha256")
 
 
-_NEXT_FIT = _PENDING + f""",
+NEXT_FIT = _PENDING + f""",
 bound AS (SELECT day, record_id, text, {o.truncated('text', 600)} AS bounded,
   row_number() OVER (PARTITION BY day ORDER BY captured_at, record_id) AS seq FROM daily),
 sized AS (SELECT day, record_id, seq, strlen(bounded) AS bytes FROM bound),
@@ -220,7 +220,7 @@ walk AS (
 @query(
     "next_fit_batches",
     o.with_(
-        _NEXT_FIT,
+        NEXT_FIT,
         """SELECT day, record_id, CAST(batch_no AS BIGINT) AS batch_no, CAST(item_no AS BIGINT) AS item_no,
            CAST(bytes AS BIGINT) AS packet_bytes FROM walk WHERE batch_no <= 32""",
         recursive=True,

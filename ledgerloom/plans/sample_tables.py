@@ -7,16 +7,28 @@ conversation is.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import ledger
 from ledgerloom.session import configure, work_folder
-from ledgerloom.sources import byte_ranges
+from ledgerloom.sources import byte_ranges, tables
 
 ZONE = "Asia/Seoul"
 
-_log_folders: dict[tuple[str, str], str] = {}
+_written: dict[tuple[str, str, str], str] = {}
+
+
+def _once(name: str, spark: SparkSession, sf: str, write: Callable[[str], None]) -> str:
+    """Path of a derived table in the shared work folder; written on first use."""
+    key = (name, spark.sparkContext.applicationId, sf)
+    if key not in _written:
+        path = f"{work_folder(spark)}/{name}"
+        write(path)
+        _written[key] = path
+    return _written[key]
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -84,37 +96,43 @@ def event_lines(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def sample_ledger(spark: SparkSession, sf: str) -> DataFrame:
+def parsed_ledger(spark: SparkSession, sf: str) -> DataFrame:
+    """Ledger records parsed from the event lines in this query."""
     return ledger.ledger_records(event_lines(spark, sf))
 
 
-def log_folder(spark: SparkSession, sf: str) -> str:
-    """Conversations written once per session as log files, with an unfinished last line.
+def sample_ledger(spark: SparkSession, sf: str) -> DataFrame:
+    """The stored ledger of the sample logs, written once per session."""
+    path = _once("ledger", spark, sf, lambda path: tables.write_ledger(parsed_ledger(spark, sf), path))
+    return tables.read_ledger(spark, path)
+
+
+def _write_logs(lines: DataFrame, path: str) -> None:
+    """Log files with an unfinished last line.
 
     Every line ends in "}", so with that as the row separator each row starts
     with the newline of the line before it and the file ends without one.
     """
-    key = (spark.sparkContext.applicationId, sf)
-    if key not in _log_folders:
-        folder = work_folder(spark) + "/logs"
-        newline = F.when(F.col("byte_start") > 0, "\n").otherwise("")
-        open_line = F.regexp_replace(F.col("raw").cast("string"), r"\}\n\z", "")
-        (
-            event_lines(spark, sf)
-            .select(
-                F.regexp_replace("source", r"\.jsonl$", "").alias("log"),
-                "byte_start",
-                F.concat(newline, open_line).alias("value"),
-            )
-            .repartition("log")
-            .sortWithinPartitions("log", "byte_start")
-            .drop("byte_start")
-            .write.partitionBy("log")
-            .option("lineSep", "}")
-            .text(folder)
+    newline = F.when(F.col("byte_start") > 0, "\n").otherwise("")
+    open_line = F.regexp_replace(F.col("raw").cast("string"), r"\}\n\z", "")
+    (
+        lines.select(
+            F.regexp_replace("source", r"\.jsonl$", "").alias("log"),
+            "byte_start",
+            F.concat(newline, open_line).alias("value"),
         )
-        _log_folders[key] = folder
-    return _log_folders[key]
+        .repartition("log")
+        .sortWithinPartitions("log", "byte_start")
+        .drop("byte_start")
+        .write.partitionBy("log")
+        .option("lineSep", "}")
+        .text(path)
+    )
+
+
+def log_folder(spark: SparkSession, sf: str) -> str:
+    """Folder of log files with the conversations, written once per session."""
+    return _once("logs", spark, sf, lambda path: _write_logs(event_lines(spark, sf), path))
 
 
 def listed_logs(spark: SparkSession, sf: str) -> DataFrame:
