@@ -6,8 +6,9 @@ no built-in for; that one step is an Arrow UDF fed only the rows that need it.
 
 from __future__ import annotations
 
+from unicodedata import is_normalized, normalize
+
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,12 +43,15 @@ _ABOVE_LATIN = r"[^\x00-\x{2ff}]"
 
 @F.arrow_udf(T.StringType())
 def _nfc(values: pa.Array) -> pa.Array:
-    return pc.utf8_normalize(values, form="NFC")
+    # Arrow's own utf8_normalize leaves NFC text decomposed, so Python's is used.
+    normal = [None if text is None else normalize("NFC", text) for text in values.to_pylist()]
+    return pa.array(normal, pa.string())
 
 
 @F.arrow_udf(T.BooleanType())
 def _equals_nfc(values: pa.Array) -> pa.Array:
-    return pc.equal(values, pc.utf8_normalize(values, form="NFC"))
+    equal = [None if text is None else is_normalized("NFC", text) for text in values.to_pylist()]
+    return pa.array(equal, pa.bool_())
 
 
 def nfc(text: Column) -> Column:
