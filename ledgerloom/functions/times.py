@@ -15,6 +15,8 @@ _TIME = r"(?:(\d\d)(?::(\d\d)(?::(\d\d)(?:[.,](\d+))?)?)?|(\d\d)(\d\d)(?:(\d\d)(
 _OFFSET = r"([+-])(\d\d)(?::?(\d\d)(?::?(\d\d)(?:[.,]\d+)?)?)?"
 _ISO = rf"(?s)\A{_DATE}.{_TIME}{_OFFSET}\z"
 
+_USUAL = r"\A(?!0000)\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d(?:\.\d{1,6})?(?:Z|[+-]\d\d:\d\d)\z"
+
 # The alternatives of one field exclude each other, so joining their groups
 # leaves the one that matched.
 _FIELDS = {
@@ -74,17 +76,27 @@ def _instant(fields: Column) -> Column:
     return F.when(valid, shifted)
 
 
+def _epoch_plus(micros: Column) -> Column:
+    zero = F.lit(0)
+    seconds = micros.cast("decimal(18,0)") / F.lit(1_000_000).cast("decimal(7,0)")
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return epoch + F.make_dt_interval(zero, zero, zero, seconds.cast("decimal(18,6)"))
+
+
 def utc_instant(text: Column) -> Column:
     """UTC wall time of an ISO timestamp; null if unparsable or without an offset.
 
     Calendar, basic and week dates are read, with any one character between
-    date and time. Strings without an offset have no instant.
+    date and time. Strings without an offset have no instant. The usual form is
+    cast directly; only strings that are not of it are taken apart by fields.
     """
+    usual = F.when(text.rlike(_USUAL), F.unix_micros(text.try_cast("timestamp")))
     iso = F.replace(text, F.lit("Z"), F.lit("+00:00"))
     fields = F.split(F.regexp_replace(iso, _ISO, _FIELD_LIST), r"\|", -1)
-    return bind(
+    by_field = bind(
         F.when(iso.rlike(_ISO), fields), lambda f: F.when(f.isNotNull(), _instant(f))
     )
+    return F.coalesce(_epoch_plus(usual), by_field)
 
 
 def day_in_zone(instant: Column, zone: str) -> Column:

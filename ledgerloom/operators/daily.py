@@ -137,10 +137,9 @@ def render_digests(items: DataFrame, summary: DataFrame, zone: str = "UTC") -> D
 def write_digests(documents: DataFrame, path: str) -> None:
     """Write one folder per day; days not in ``documents`` stay as they are."""
     (
-        documents.select("day", F.col("document").alias("value"))
+        documents.select("day", F.regexp_replace("document", r"\n\z", "").alias("value"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .option("lineSep", "")
         .partitionBy("day")
         .text(path)
     )

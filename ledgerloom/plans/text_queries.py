@@ -84,7 +84,7 @@ _SAFE = f"""{o.strip('text')} <> '' AND nfc_normalize(text) = text
         ({_SAFE} AND strlen(text) <= 4800 AND length(text) <= 1200
          AND NOT regexp_matches(text, '[\\n\\r\\t]')) AS line_ok,
         (nfc_normalize(decomposed) = decomposed) AS decomposed_is_nfc
-        FROM (SELECT *, replace(text, 'é', 'e' || chr(769)) AS decomposed FROM documents)""",
+        FROM (SELECT *, replace(text, chr(233), 'e' || chr(769)) AS decomposed FROM documents)""",
 )
 def safe_text_check(spark: SparkSession, sf: str) -> DataFrame:
     body = F.col("text")
@@ -92,7 +92,7 @@ def safe_text_check(spark: SparkSession, sf: str) -> DataFrame:
         "doc_id",
         text.is_safe_text(body, 65_536).alias("body_ok"),
         text.is_safe_text(body, 4_800, 1_200, single_line=True).alias("line_ok"),
-        text.is_nfc(F.replace(body, F.lit("é"), F.lit("é"))).alias("decomposed_is_nfc"),
+        text.is_nfc(F.replace(body, F.lit("\u00e9"), F.lit("e\u0301"))).alias("decomposed_is_nfc"),
     )
 
 

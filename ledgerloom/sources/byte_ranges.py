@@ -30,15 +30,20 @@ RANGES_SCHEMA = "source string, path string, range_start bigint, range_end bigin
 HASHES_SCHEMA = RANGES_SCHEMA + ", sha256 string"
 
 
-def open_uri(uri: str) -> pa.NativeFile:
-    """Open a Hadoop-style path for random access."""
+def resolve_uri(uri: str) -> tuple[fs.FileSystem, str]:
+    """Filesystem and path of a Hadoop-style path."""
     if "://" not in uri:
-        return fs.LocalFileSystem().open_input_file(uri.removeprefix("file:"))
+        return fs.LocalFileSystem(), uri.removeprefix("file:")
     scheme, rest = uri.split("://", 1)
     if scheme == "file":
-        return fs.LocalFileSystem().open_input_file(unquote(rest))
+        return fs.LocalFileSystem(), unquote(rest)
     scheme = {"s3a": "s3", "s3n": "s3"}.get(scheme, scheme)
-    filesystem, path = fs.FileSystem.from_uri(f"{scheme}://{quote(rest)}")
+    return fs.FileSystem.from_uri(f"{scheme}://{quote(rest)}")
+
+
+def open_uri(uri: str) -> pa.NativeFile:
+    """Open a path for random access."""
+    filesystem, path = resolve_uri(uri)
     return filesystem.open_input_file(path)
 
 
@@ -82,22 +87,29 @@ def lines_in_range(
         position += len(chunk)
 
 
+def line_batches(
+    handle: pa.NativeFile, source: str, start: int, end: int
+) -> Iterator[pa.RecordBatch]:
+    """Arrow batches of the lines of one range; the bytes are not copied per line."""
+    for bounds, data in lines_in_range(handle, start, end):
+        count = len(bounds) - 1
+        offsets = pa.py_buffer((bounds - bounds[0]).astype(np.int32))
+        yield pa.record_batch(
+            [
+                pa.array([source] * count, pa.string()),
+                pa.array(bounds[:-1], pa.int64()),
+                pa.array(bounds[1:], pa.int64()),
+                pa.Array.from_buffers(pa.binary(), count, [None, offsets, data]),
+            ],
+            names=["source", "byte_start", "byte_end", "raw"],
+        )
+
+
 def _line_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():
             with open_uri(row["path"]) as handle:
-                for bounds, data in lines_in_range(handle, row["range_start"], row["range_end"]):
-                    count = len(bounds) - 1
-                    offsets = pa.py_buffer((bounds - bounds[0]).astype(np.int32))
-                    yield pa.record_batch(
-                        [
-                            pa.array([row["source"]] * count, pa.string()),
-                            pa.array(bounds[:-1], pa.int64()),
-                            pa.array(bounds[1:], pa.int64()),
-                            pa.Array.from_buffers(pa.binary(), count, [None, offsets, data]),
-                        ],
-                        names=["source", "byte_start", "byte_end", "raw"],
-                    )
+                yield from line_batches(handle, row["source"], row["range_start"], row["range_end"])
 
 
 def _frontier_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,7 +151,10 @@ def qualified(spark: SparkSession, path: str) -> str:
 
 
 def list_sources(spark: SparkSession, root: str, pattern: str = "*.jsonl") -> DataFrame:
-    """Log files under ``root`` as (source, path, length); contents are not read."""
+    """Log files under ``root`` as (source, path, length); contents are not read.
+
+    Spark leaves empty files out; a log is listed from its first byte on.
+    """
     prefix = qualified(spark, root).rstrip("/") + "/"
     return (
         spark.read.format("binaryFile")
