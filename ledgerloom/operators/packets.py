@@ -249,13 +249,13 @@ def rebind_failures(items: DataFrame, ledger: DataFrame) -> DataFrame:
     )
 
 
-def stale_packets(packets: DataFrame, cursors: DataFrame, applied: DataFrame) -> DataFrame:
-    """Packets prepared against an older cursor and not applied since.
+def stale_packets(packets: DataFrame, cursors: DataFrame) -> DataFrame:
+    """Packets prepared against another cursor than the current one.
 
-    ``applied`` holds the packet hashes of applied batches.
+    Packets whose batch is in place are left out by the caller: applying them
+    again changes nothing.
     """
     now = cursors.select("day", F.col("checkpoint_sha256").alias("current_sha256"))
-    done = applied.select("packet_sha256").distinct()
     return (
         packets.join(now, "day", "left")
         .withColumn(
@@ -263,5 +263,4 @@ def stale_packets(packets: DataFrame, cursors: DataFrame, applied: DataFrame) ->
             F.coalesce("current_sha256", empty_checkpoint_sha256(F.col("timezone"))),
         )
         .where(F.col("current_sha256") != F.col("cursor_sha256"))
-        .join(done, "packet_sha256", "left_anti")
     )

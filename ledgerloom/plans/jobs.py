@@ -88,11 +88,11 @@ def ingest(
         ledger.parsed_events(lines, max_event_bytes, on_reject), max_chars
     )
     seen = Observation("ingest")
-    counted = found.observe(
-        seen,
+    counters = [
         F.count_if(~F.col("supported")).alias("unsupported"),
         F.count_if(F.col("supported")).alias("supported"),
-    )
+    ]
+    counted = found.observe(seen, *counters)
     records = ledger.with_identity(counted.where("supported"))
     if replay:
         known = store.read("ledger")
@@ -114,7 +114,8 @@ def ingest(
     sources = frontier.agg(
         F.count("*").alias("sources"), F.sum(F.col("length") - F.col("consumed")).alias("pending")
     ).first()
-    counts = seen.get
+    # A plan whose result turns out empty is cut short and observes nothing.
+    counts = seen.get if written else found.agg(*counters).first()
     result = IngestResult(
         written,
         counts["supported"] - written,
@@ -159,7 +160,7 @@ def archive_digests(
     """
 
     def read(path: str) -> DataFrame:
-        rows = spark.read.option("wholetext", "true").text(path)
+        rows = spark.read.text(path, wholetext=True)
         text = F.regexp_replace("value", r"\n\z", "")
         return rows.select(F.col("day").cast("date").alias("day"), text.alias("document"))
 
@@ -234,7 +235,7 @@ def apply_daily(
     accounted = store.read("accounted").where(F.col("lane") == "daily")
     cursors = packets.cursor_checkpoints(accounted, _applied(store), zone)
     _require_none(
-        packets.stale_packets(todo, cursors, store.read("batches")).select("packet_sha256", "day"),
+        packets.stale_packets(todo, cursors).select("packet_sha256", "day"),
         "a packet is stale against the current cursor",
     )
     run = store.last_run("daily") + 1

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.bounds import PacketBounds
 from ledgerloom.functions import ident
+from ledgerloom.functions import ident
 from ledgerloom.operators import apply, packets
 from ledgerloom.plans import oracle_ctes as o
 from ledgerloom.plans.daily_queries import daily_records
@@ -191,15 +192,16 @@ def packet_rebind(spark: SparkSession, sf: str) -> DataFrame:
 def stale_cursor(spark: SparkSession, sf: str) -> DataFrame:
     """Packets after another batch was applied to every day; the first day's packet is that batch."""
     records = available_records(spark, sf)
-    built = sample_packets(spark, sf)
+    named = ident.batch_id(F.col("packet_sha256"), F.lit("result"))
+    built = sample_packets(spark, sf).withColumn("batch_id", named)
     before = applied_batches(records)
     more = before.where(F.col("batch_seq") == 2).select(
         "lane", "day", F.lit(3).alias("batch_seq"), F.sha2("batch_id", 256).alias("batch_id")
     )
     now = packets.cursor_checkpoints(accounted_ids(records), before.unionByName(more), ZONE)
     first_day = before.agg(F.min("day")).scalar()
-    applied = built.where(F.col("day") == first_day)
-    return packets.stale_packets(built, now, applied).select("day", "packet_sha256")
+    todo = apply.unapplied(built, built.where(F.col("day") == first_day))
+    return packets.stale_packets(todo, now).select("day", "packet_sha256")
 
 
 NEXT_FIT = _PENDING + f""",
