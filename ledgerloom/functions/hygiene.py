@@ -23,7 +23,8 @@ PRIVATE_ROOTS = ("handoffs", "model-daily", "structured")
 
 def private_pattern_hits(text: Column) -> dict[str, Column]:
     """One boolean per private-data pattern."""
-    return {name: text.rlike(pattern) for name, pattern in PRIVATE_PATTERNS.items()}
+    # (?U) makes word boundaries Unicode ones on every Java version.
+    return {name: text.rlike("(?U)" + pattern) for name, pattern in PRIVATE_PATTERNS.items()}
 
 
 def first_private_pattern(text: Column) -> Column:

@@ -17,8 +17,16 @@ DAILY_ORDER = ("captured_at", "record_id")
 
 
 def with_local_day(ledger: DataFrame, zone: str = "UTC") -> DataFrame:
-    """Add ``day``; records without a usable timestamp belong to no day."""
-    dated = with_once(ledger, day=times.local_day(F.col("captured_at"), zone))
+    """Add ``day``; records without a usable timestamp belong to no day.
+
+    A stored ledger holds the parsed instant, so its timestamps are not parsed again.
+    """
+    if "captured_utc" in ledger.columns:
+        dated = ledger.where(F.col("captured_utc").isNotNull()).withColumn(
+            "day", times.day_in_zone(F.col("captured_utc"), zone)
+        )
+    else:
+        dated = with_once(ledger, day=times.local_day(F.col("captured_at"), zone))
     return dated.where(F.col("day").isNotNull())
 
 

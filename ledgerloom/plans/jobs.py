@@ -18,11 +18,10 @@ from ledgerloom.bounds import (
     DigestBounds,
     PacketBounds,
 )
-from ledgerloom.functions import ident, routes, times
-from ledgerloom.functions.once import with_once
+from ledgerloom.functions import ident, routes
 from ledgerloom.operators import apply, daily, decisions, documents, ledger, packets
 from ledgerloom.session import configure
-from ledgerloom.sources import byte_ranges
+from ledgerloom.sources import byte_ranges, tables
 from ledgerloom.sources.run_tables import RunTables
 
 
@@ -101,13 +100,12 @@ def ingest(
         is_new = F.when(F.col("status") == "conflict", F.raise_error(conflict).cast("boolean"))
         records = records.where(is_new.otherwise(F.col("status") == "new")).drop("status", "content_sha256")
     leftover = store.read_run("ledger", run)
-    dated = with_once(records, utc_day=times.utc_day(F.col("captured_at")))
     if leftover.limit(1).count():
         # A run that was not committed left rows; they must be what is written again.
         _require_none(
             ledger.unproven_tail(leftover, records), "rows beyond the last commit are not exact replays"
         )
-    store.write("ledger", run, dated, ("utc_day",))
+    store.write("ledger", run, tables.with_instant(records), ("utc_day",))
     written = store.read_run("ledger", run).count()
     fresh = byte_ranges.byte_ranges(frontier, range_bytes)
     store.write("segments", run, byte_ranges.hash_ranges(fresh, tasks).drop("path"))

@@ -231,8 +231,8 @@ def canonical_path_check(spark: SparkSession, sf: str) -> DataFrame:
     "casefold_collisions",
     """WITH paths AS (SELECT DISTINCT source || '/' || split_part(text, ' ', 1) AS path FROM documents
          UNION SELECT source || '/' || lower(split_part(text, ' ', 1)) FROM documents)
-       SELECT lower(path) AS folded, count(DISTINCT path) AS paths, min(path) AS first_path
-       FROM paths GROUP BY 1 HAVING count(DISTINCT path) > 1""",
+       SELECT count(DISTINCT path) AS paths, min(path) AS first_path
+       FROM paths GROUP BY lower(path) HAVING count(DISTINCT path) > 1""",
 )
 def casefold_collisions(spark: SparkSession, sf: str) -> DataFrame:
     word = F.split_part("text", F.lit(" "), F.lit(1))
@@ -240,7 +240,7 @@ def casefold_collisions(spark: SparkSession, sf: str) -> DataFrame:
     paths = documents.select(F.concat_ws("/", "source", word).alias("path")).unionByName(
         documents.select(F.concat_ws("/", "source", F.lower(word)).alias("path"))
     )
-    return docs.casefold_collisions(paths)
+    return docs.casefold_collisions(paths).select("paths", "first_path")
 
 
 def _shaped_props(spark: SparkSession, sf: str) -> DataFrame:

@@ -9,7 +9,15 @@ from ledgerloom.functions import times
 from ledgerloom.functions.once import with_once
 from ledgerloom.operators.ledger import LEDGER_COLUMNS, LEDGER_SCHEMA, from_json_lines, to_json_lines
 
-STORED_LEDGER_SCHEMA = LEDGER_SCHEMA + ", utc_day date"
+STORED_LEDGER_SCHEMA = LEDGER_SCHEMA + ", captured_utc timestamp_ntz, utc_day date"
+
+
+def with_instant(records: DataFrame) -> DataFrame:
+    """Records as they are stored: with the parsed instant and its UTC day."""
+    timed = with_once(
+        records.select(*LEDGER_COLUMNS), captured_utc=times.utc_instant(F.col("captured_at"))
+    )
+    return timed.withColumn("utc_day", F.col("captured_utc").cast("date"))
 
 
 def write_ledger(records: DataFrame, path: str, mode: str = "append") -> None:
@@ -18,8 +26,7 @@ def write_ledger(records: DataFrame, path: str, mode: str = "append") -> None:
     The rebalance hint sizes files by what a day really holds: a hot day is
     split over many tasks and small days share one.
     """
-    dated = with_once(records.select(*LEDGER_COLUMNS), utc_day=times.utc_day(F.col("captured_at")))
-    dated.hint("rebalance", "utc_day").write.mode(mode).partitionBy("utc_day").parquet(path)
+    with_instant(records).hint("rebalance", "utc_day").write.mode(mode).partitionBy("utc_day").parquet(path)
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:

@@ -14,13 +14,10 @@ from fnmatch import fnmatch
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 
-from ledgerloom.functions import times
-from ledgerloom.functions.once import with_once
 from ledgerloom.operators import ledger
-from ledgerloom.sources import byte_ranges
+from ledgerloom.sources import byte_ranges, tables
 from ledgerloom.sources.run_tables import RunTables
 
 FORMAT = "log_lines"
@@ -95,8 +92,7 @@ def stream_ledger(lines: DataFrame, store: RunTables, checkpoint: str, **trigger
         if run <= store.last_run("ingest"):
             return
         records = ledger.ledger_records(batch)
-        dated = with_once(records, utc_day=times.utc_day(F.col("captured_at")))
-        store.write("ledger", run, dated, ("utc_day",))
+        store.write("ledger", run, tables.with_instant(records), ("utc_day",))
         store.commit("ingest", run, {"batch": number})
 
     writer = lines.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)

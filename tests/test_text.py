@@ -161,3 +161,9 @@ def test_private_data(spark):
     paths = ["a/state.json", "state.json/b", "x.packet.json", "handoffs/y", "y/handoffs", "ok.md"]
     names = evaluate(spark, paths, out=hygiene.is_private_artifact(F.col("t")))
     assert [row["out"] for row in names] == [True, False, True, True, False, False]
+
+
+def test_casefold(spark):
+    values = ["Straße", "STRASSE", "Σίσυφος", "ﬁx", "Plain/Path", "É"]
+    found = evaluate(spark, values, out=routes.casefold(F.col("t")))
+    assert [row["out"] for row in found] == [value.casefold() for value in values]
