@@ -75,33 +75,43 @@ def digest_items(records: DataFrame, bounds: DigestBounds | None = None) -> Data
     )
 
 
-def selection_json(*ids: str) -> Column:
-    """Canonical JSON of the (record_id, text_sha256) pairs of a bounded selection, in order."""
-    ordered = F.array_sort(F.collect_list(F.struct("seq", *ids)))
-    return F.to_json(
-        F.transform(ordered, lambda row: F.struct(*[row[name].alias(name) for name in sorted(ids)]))
+def _block() -> Column:
+    """Markdown block of one digest item."""
+    place = "provenance"
+    return F.concat(
+        F.lit("## "), F.col("seq").cast("string"), F.lit(". "), F.initcap("role"),
+        F.lit("\n\n- `record="), F.substring("record_id", 1, 12),
+        F.lit(" source="), F.col(f"{place}.source_ref"),
+        F.lit(" bytes="), F.col(f"{place}.byte_start").cast("string"),
+        F.lit("-"), F.col(f"{place}.byte_end").cast("string"),
+        F.lit(" text="), F.substring("text_sha256", 1, 12),
+        F.lit("`\n- "), F.col("excerpt"), F.lit("\n\n"),
     )
 
 
-def selection_hashes(items: DataFrame) -> DataFrame:
-    """Per day: number of selected records and the hash of what was selected."""
-    return items.groupBy("day").agg(
+def selected_days(items: DataFrame, with_blocks: bool = False) -> DataFrame:
+    """Per day: number of selected records and the hash of what was selected.
+
+    A day holds at most the digest bound of items. ``with_blocks`` adds their
+    Markdown blocks, joined in order.
+    """
+    fields = ["seq", "record_id", "text_sha256"]
+    if with_blocks:
+        items, fields = items.withColumn("block", _block()), [*fields, "block"]
+    grouped = items.groupBy("day").agg(
         F.count("*").alias("records"),
         F.sum("excerpt_bytes").alias("excerpt_bytes"),
-        ident.sha256_hex(selection_json("record_id", "text_sha256")).alias("selection_sha256"),
+        F.array_sort(F.collect_list(F.struct(*fields))).alias("selected"),
     )
+    pairs = F.transform("selected", lambda row: F.struct(row["record_id"].alias("record_id"), row["text_sha256"].alias("text_sha256")))
+    columns = ["day", "records", "excerpt_bytes", ident.sha256_hex(F.to_json(pairs)).alias("selection_sha256")]
+    if with_blocks:
+        columns.append(F.array_join(F.transform("selected", lambda row: row["block"]), "").alias("blocks"))
+    return grouped.select(*columns)
 
 
-def digest_summary(
-    records: DataFrame, bounds: DigestBounds | None = None, days: DataFrame | None = None
-) -> DataFrame:
-    """Per day: selected, omitted and the selection hash.
-
-    ``days`` lists the days to report; days without records get an empty digest.
-    Without it every day that has records is reported.
-    """
+def _with_omitted(records: DataFrame, chosen: DataFrame, days: DataFrame | None) -> DataFrame:
     available = records.groupBy("day").agg(F.count("*").alias("available"))
-    chosen = selection_hashes(digest_items(records, bounds))
     listed = available if days is None else days.select("day").distinct().join(available, "day", "left")
     empty = ident.sha256_hex(F.lit("[]"))
     zero = F.lit(0).cast("bigint")
@@ -111,35 +121,40 @@ def digest_summary(
         .withColumn("excerpt_bytes", F.coalesce("excerpt_bytes", zero))
         .withColumn("omitted", F.coalesce("available", zero) - F.col("records"))
         .withColumn("selection_sha256", F.coalesce("selection_sha256", empty))
-        .select("day", "records", "omitted", "excerpt_bytes", "selection_sha256")
     )
 
 
-def render_digests(items: DataFrame, summary: DataFrame, zone: str = "UTC") -> DataFrame:
-    """One Markdown document per day. Each day holds at most the digest bound of items."""
-    place = "provenance"
-    item = F.concat(
-        F.lit("## "), F.col("seq").cast("string"), F.lit(". "), F.initcap("role"),
-        F.lit("\n\n- `record="), F.substring("record_id", 1, 12),
-        F.lit(" source="), F.col(f"{place}.source_ref"),
-        F.lit(" bytes="), F.col(f"{place}.byte_start").cast("string"),
-        F.lit("-"), F.col(f"{place}.byte_end").cast("string"),
-        F.lit(" text="), F.substring("text_sha256", 1, 12),
-        F.lit("`\n- "), F.col("excerpt"), F.lit("\n\n"),
-    )
-    ordered = F.array_sort(F.collect_list(F.struct("seq", item.alias("block"))))
-    blocks = items.groupBy("day").agg(
-        F.array_join(F.transform(ordered, lambda row: row["block"]), "").alias("body")
+def digest_summary(
+    records: DataFrame, bounds: DigestBounds | None = None, days: DataFrame | None = None
+) -> DataFrame:
+    """Per day: selected, omitted and the selection hash.
+
+    ``days`` lists the days to report; days without records get an empty digest.
+    Without it every day that has records is reported.
+    """
+    chosen = selected_days(digest_items(records, bounds))
+    return _with_omitted(records, chosen, days).select(
+        "day", "records", "omitted", "excerpt_bytes", "selection_sha256"
     )
+
+
+def digest_documents(
+    records: DataFrame,
+    zone: str = "UTC",
+    bounds: DigestBounds | None = None,
+    days: DataFrame | None = None,
+) -> DataFrame:
+    """One Markdown document per day, with the counts and hash of ``digest_summary``."""
+    chosen = selected_days(digest_items(records, bounds), with_blocks=True)
     document = F.concat(
         F.lit("# Daily digest — "), F.col("day").cast("string"), F.lit(f" ({zone})\n\n"),
         F.lit("Local chronological excerpts only; not a summary.\n\n"),
-        F.coalesce("body", F.lit("")),
+        F.coalesce("blocks", F.lit("")),
         F.lit("<!-- provenance=v1 records="), F.col("records").cast("string"),
         F.lit(" omitted="), F.col("omitted").cast("string"),
         F.lit(" selection_sha256="), F.col("selection_sha256"), F.lit(" -->\n"),
     )
-    return summary.join(blocks, "day", "left").select("day", document.alias("document"))
+    return _with_omitted(records, chosen, days).select("day", document.alias("document"))
 
 
 def write_digests(documents: DataFrame, path: str) -> None:

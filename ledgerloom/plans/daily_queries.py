@@ -77,7 +77,7 @@ def budgeted_prefix(spark: SparkSession, sf: str) -> DataFrame:
     o.with_(o.DIGEST, f"SELECT day, records, selection_sha256 FROM ({_SUMMARY_SQL})"),
 )
 def selection_hash(spark: SparkSession, sf: str) -> DataFrame:
-    hashes = daily.selection_hashes(daily.digest_items(daily_records(spark, sf)))
+    hashes = daily.selected_days(daily.digest_items(daily_records(spark, sf)))
     return hashes.select("day", "records", "selection_sha256")
 
 
@@ -100,14 +100,9 @@ FROM digest_items JOIN (""" + _SUMMARY_SQL + """) USING (day) GROUP BY day
 """
 
 
-def digest_documents(spark: SparkSession, sf: str) -> DataFrame:
-    records = daily_records(spark, sf)
-    return daily.render_digests(daily.digest_items(records), daily.digest_summary(records), ZONE)
-
-
 @query("digest_render", o.with_(o.DIGEST, _RENDER_SQL))
 def digest_render(spark: SparkSession, sf: str) -> DataFrame:
-    return digest_documents(spark, sf)
+    return daily.digest_documents(daily_records(spark, sf), ZONE)
 
 
 @query(

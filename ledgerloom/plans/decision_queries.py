@@ -10,13 +10,17 @@ from ledgerloom.operators import apply, decisions, packets
 from ledgerloom.plans import oracle_ctes as o
 from ledgerloom.plans.packet_queries import BOUNDS, NEXT_FIT, available_records
 from ledgerloom.plans.registry import query
-from ledgerloom.plans.sample_tables import ZONE
+from ledgerloom.plans.sample_tables import ZONE, stored_once
 
 ENTRY_SOURCES = 3
 
 
 def decision_items(spark: SparkSession, sf: str) -> DataFrame:
-    """Items of all batches of one run, with a packet hash per batch."""
+    """The stored items of all batches of one run, with a packet hash per batch."""
+    return stored_once("batched_items", spark, sf, lambda: _batched(spark, sf))
+
+
+def _batched(spark: SparkSession, sf: str) -> DataFrame:
     batched = packets.batched_items(available_records(spark, sf), BOUNDS)
     packet = F.concat_ws("#", F.lit("packet"), F.col("day").cast("string"), F.col("batch_no").cast("string"))
     return batched.withColumn("packet_sha256", ident.sha256_hex(packet)).withColumnRenamed("record_id", "item_id")

@@ -145,8 +145,7 @@ def write_daily_digests(
     records = daily.with_local_day(store.read("ledger"), zone)
     if days is not None:
         records = records.join(days.select("day").distinct(), "day", "left_semi")
-    summary = daily.digest_summary(records, bounds, days)
-    daily.write_digests(daily.render_digests(daily.digest_items(records, bounds), summary, zone), folder)
+    daily.write_digests(daily.digest_documents(records, zone, bounds, days), folder)
 
 
 def archive_digests(

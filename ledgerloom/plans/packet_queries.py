@@ -12,7 +12,7 @@ from ledgerloom.operators import apply, packets
 from ledgerloom.plans import oracle_ctes as o
 from ledgerloom.plans.daily_queries import daily_records
 from ledgerloom.plans.registry import query
-from ledgerloom.plans.sample_tables import ZONE
+from ledgerloom.plans.sample_tables import ZONE, stored_once
 
 BOUNDS = PacketBounds(max_items=60, item_bytes=600, total_bytes=16_000)
 LANE = "daily"
@@ -70,6 +70,11 @@ items AS (SELECT *, sha256(packet_text) AS packet_text_sha256, packet_text <> te
 
 
 def sample_packets(spark: SparkSession, sf: str) -> DataFrame:
+    """The stored packets of ``built_packets``: a packet is frozen before it is decided on."""
+    return stored_once("packets", spark, sf, lambda: built_packets(spark, sf))
+
+
+def built_packets(spark: SparkSession, sf: str) -> DataFrame:
     """The next packet of every day after the morning run."""
     records = available_records(spark, sf)
     accounted = accounted_ids(records)
@@ -143,7 +148,7 @@ packets AS (SELECT *, sha256(body) AS packet_sha256 FROM packet_bodies)
     ),
 )
 def packet_build(spark: SparkSession, sf: str) -> DataFrame:
-    return sample_packets(spark, sf).select(
+    return built_packets(spark, sf).select(
         "day", "packet_sha256", F.size("items").cast("bigint").alias("items"), "not_yet_admitted"
     )
 

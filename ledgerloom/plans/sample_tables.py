@@ -21,6 +21,12 @@ ZONE = "Asia/Seoul"
 _written: dict[tuple[str, str, str], str] = {}
 
 
+def stored_once(name: str, spark: SparkSession, sf: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A derived table that is stored in the work folder on first use and read from there."""
+    path = _once(name, spark, sf, lambda path: build().hint("rebalance").write.parquet(path))
+    return spark.read.parquet(path)
+
+
 def _once(name: str, spark: SparkSession, sf: str, write: Callable[[str], None]) -> str:
     """Path of a derived table in the shared work folder; written on first use."""
     key = (name, spark.sparkContext.applicationId, sf)
