@@ -27,10 +27,9 @@ def private_pattern_hits(text: Column) -> dict[str, Column]:
     return {name: text.rlike("(?U)" + pattern) for name, pattern in PRIVATE_PATTERNS.items()}
 
 
-def first_private_pattern(text: Column) -> Column:
+def first_hit(hits: Mapping[str, Column]) -> Column:
     """Name of the first pattern found: one finding per text, null if none."""
-    hits = [F.when(hit, F.lit(name)) for name, hit in private_pattern_hits(text).items()]
-    return F.coalesce(*hits)
+    return F.coalesce(*[F.when(hit, F.lit(name)) for name, hit in hits.items()])
 
 
 def is_private_artifact(path: Column) -> Column:

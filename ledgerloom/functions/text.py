@@ -26,6 +26,13 @@ WHITESPACE_CLASS = (
     r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 )
 
+# Any run but a lone space: two spaces or more, or one at most and then another kind.
+_RUN_TO_COLLAPSE = (
+    r"(?: {2,}| ?[\t-\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}])"
+    + WHITESPACE_CLASS
+    + "*"
+)
+
 # Code points that never appear in excerpts or accepted text.
 INVISIBLE_CLASS = r"[\x{200b}-\x{200f}\x{202a}-\x{202e}\x{2066}-\x{2069}]"
 FORBIDDEN_CLASS = (
@@ -70,7 +77,8 @@ def strip(text: Column) -> Column:
 
 
 def collapse_whitespace(text: Column) -> Column:
-    return strip(F.regexp_replace(text, WHITESPACE_CLASS + "+", " "))
+    """White space runs as one space, ends stripped; single spaces need no replacing."""
+    return strip(F.regexp_replace(text, _RUN_TO_COLLAPSE, " "))
 
 
 def bounded_text(text: Column, max_chars: int = MAX_MESSAGE_CHARS) -> Column:

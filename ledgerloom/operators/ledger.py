@@ -64,11 +64,13 @@ def messages(parsed: DataFrame, max_chars: int = MAX_MESSAGE_CHARS) -> DataFrame
 
 
 def with_identity(
-    supported: DataFrame, ns: ident.Namespaces = ident.DEFAULT_NAMESPACES
+    found: DataFrame,
+    ns: ident.Namespaces = ident.DEFAULT_NAMESPACES,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Ledger records of supported messages."""
+    """Ledger records of messages, with the columns in ``keep``."""
     return (
-        supported.withColumn("source_ref", ident.source_ref(F.col("source"), ns))
+        found.withColumn("source_ref", ident.source_ref(F.col("source"), ns))
         .withColumn("event_sha256", F.sha2("raw", 256))
         .select(
             F.lit(SCHEMA_VERSION).alias("schema_version"),
@@ -81,6 +83,7 @@ def with_identity(
             "text",
             ident.sha256_hex(F.col("text")).alias("text_sha256"),
             F.struct("source_ref", "byte_start", "byte_end", "event_sha256").alias("provenance"),
+            *keep,
         )
     )
 
@@ -178,20 +181,31 @@ def duplicate_ids(df: DataFrame, id_column: str) -> DataFrame:
     return df.groupBy(id_column).agg(F.count("*").alias("copies")).where(F.col("copies") > 1)
 
 
-def ingest_counters(found: DataFrame, status: DataFrame, frontier: DataFrame) -> DataFrame:
-    """One row: new, duplicate, sources, pending bytes, unsupported."""
-    unsupported = found.agg(F.count_if(~F.col("supported")))
+def ingest_counters(found: DataFrame, ledger: DataFrame, frontier: DataFrame) -> DataFrame:
+    """One row: new, duplicate, sources, pending bytes, unsupported.
+
+    ``found`` are the parsed messages and other events of an ingest; they are
+    read once, and conflicts with the ledger are left to ``replay_conflicts``.
+    """
     pending = F.coalesce(F.sum(F.col("length") - F.col("consumed")), F.lit(0))
     sources = frontier.agg(
         F.struct(F.count("*").alias("sources_checked"), pending.alias("pending_bytes"))
     )
-    records = status.agg(
-        F.count_if(F.col("status") == "new").alias("new_records"),
-        F.count_if(F.col("status") == "duplicate").alias("duplicate_records"),
+    known = ledger.select("record_id", F.lit(True).alias("known"))
+    supported, is_known = F.col("supported"), F.col("known").isNotNull()
+    counts = (
+        with_identity(found, keep=("supported",))
+        .select("record_id", "supported")
+        .join(known, "record_id", "left")
+        .agg(
+            F.count_if(supported & ~is_known).alias("new_records"),
+            F.count_if(supported & is_known).alias("duplicate_records"),
+            F.count_if(~supported).alias("unsupported_events"),
+        )
+    )
+    return counts.select("*", sources.scalar().alias("_sources")).select(
+        "new_records", "duplicate_records", "_sources.*", "unsupported_events"
     )
-    return records.select(
-        "*", sources.scalar().alias("_sources"), unsupported.scalar().alias("unsupported_events")
-    ).select("new_records", "duplicate_records", "_sources.*", "unsupported_events")
 
 
 def ledger_rules() -> dict[str, Column]:

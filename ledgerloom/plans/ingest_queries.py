@@ -312,9 +312,7 @@ def crash_replay(spark: SparkSession, sf: str) -> DataFrame:
 )
 def ingest_counters(spark: SparkSession, sf: str) -> DataFrame:
     found = ledger.messages(ledger.parsed_events(event_lines(spark, sf)))
-    records = ledger.with_identity(found.where("supported"))
-    status = ledger.classify_candidates(records, _existing(records))
-    return ledger.ingest_counters(found, status, _frontier(spark, sf))
+    return ledger.ingest_counters(found, _existing(sample_ledger(spark, sf)), _frontier(spark, sf))
 
 
 @query(

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import ledger
-from ledgerloom.session import configure, work_folder
+from ledgerloom.session import configure, spread, work_folder
 from ledgerloom.sources import byte_ranges, tables
 
 ZONE = "Asia/Seoul"
@@ -39,7 +39,7 @@ def _once(name: str, spark: SparkSession, sf: str, write: Callable[[str], None])
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     configure(spark)
-    return spark.read.parquet(f"{sf.rstrip('/')}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf.rstrip('/')}/{name}.parquet"))
 
 
 def iso_utc(wall_time: Column) -> Column:

@@ -154,7 +154,8 @@ def private_data_scan(spark: SparkSession, sf: str) -> DataFrame:
         .unionByName(texts("pages", link, "home_links"))
     )
     flags = hygiene.private_pattern_hits(F.col("body"))
-    found = with_once(everything, first=hygiene.first_private_pattern(F.col("body")), **flags)
+    found = with_once(everything, **flags)
+    found = found.withColumn("first", hygiene.first_hit({name: F.col(name) for name in flags}))
     rows = [
         F.struct(
             F.lit(name).alias("pattern"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from ledgerloom.bounds import MAX_BATCHES_PER_RUN
 
@@ -22,6 +22,16 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows of a small scan over all cores.
+
+    A scan of at least as many partitions as there are cores, as any large
+    table's is, stays as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def work_folder(spark: SparkSession) -> str:
     """New folder under the cluster's shared checkpoint folder.
 

@@ -154,7 +154,7 @@ def test_private_data(spark):
         "see /Users/ann/x", "see /home/bob/x", "key sk-" + "a1" * 8, "id 123E4567-e89b-12d3-a456-426614174000",
         "sk-short", "/home/", "nothing",
     ]
-    found = evaluate(spark, values, out=hygiene.first_private_pattern(F.col("t")))
+    found = evaluate(spark, values, out=hygiene.first_hit(hygiene.private_pattern_hits(F.col("t"))))
     assert [row["out"] for row in found] == [
         "mac_home_path", "linux_home_path", "secret_key", "uuid", None, None, None,
     ]
