@@ -58,7 +58,6 @@ def digest_items(records: DataFrame, bounds: DigestBounds | None = None) -> Data
         records,
         ["day"],
         DAILY_ORDER,
-        "record_id",
         lambda body: text.excerpt(body, bounds.excerpt_bytes),
         bounds.max_records,
         bounds.max_bytes,

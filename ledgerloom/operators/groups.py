@@ -14,15 +14,16 @@ SALTS = 32
 
 
 def first_rows(
-    df: DataFrame, group: Sequence[str], order: Sequence[str], limit: int, unique: str
+    df: DataFrame, group: Sequence[str], order: Sequence[str], limit: int
 ) -> DataFrame:
     """First ``limit`` rows of every group, numbered from 1 in ``seq``.
 
     The limit is applied per task before the shuffle, then per salt, then per
     group, so the last step sees at most ``SALTS * limit`` rows of a group no
-    matter how many rows the group has.
+    matter how many rows the group has. All rows of a task get one salt, so a
+    task sends at most ``limit`` rows of a group.
     """
-    salt = F.pmod(F.xxhash64(unique), F.lit(SALTS))
+    salt = F.pmod(F.spark_partition_id(), F.lit(SALTS))
     by_salt = Window.partitionBy(*group, "_salt").orderBy(*order)
     by_group = Window.partitionBy(*group).orderBy(*order)
     return (
@@ -39,7 +40,6 @@ def budgeted_prefix(
     df: DataFrame,
     group: Sequence[str],
     order: Sequence[str],
-    unique: str,
     bound: Callable[[Column], Column],
     max_items: int,
     total_bytes: int,
@@ -57,7 +57,7 @@ def budgeted_prefix(
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     fits_alone = (F.col("seq") > 1) | (F.octet_length("_bound") <= total_bytes)
-    first = first_rows(df, group, order, max_items, unique)
+    first = first_rows(df, group, order, max_items)
     return (
         with_once(first, _bound=bound(F.col(text)))
         .withColumn(
@@ -77,7 +77,6 @@ def next_fit(
     df: DataFrame,
     group: Sequence[str],
     order: Sequence[str],
-    unique: str,
     bound: Callable[[Column], Column],
     max_items: int,
     total_bytes: int,
@@ -92,7 +91,7 @@ def next_fit(
     the fold over them keeps just the first row number of each batch. ``text``
     itself is dropped.
     """
-    first = first_rows(df, group, order, max_batches * max_items, unique)
+    first = first_rows(df, group, order, max_batches * max_items)
     sized = (
         with_once(first, _bound=bound(F.col(text)))
         .withColumn("_size", F.octet_length("_bound"))

@@ -49,7 +49,6 @@ def packet_items(
     available: DataFrame,
     bounds: PacketBounds | None = None,
     order: Sequence[str] = DAILY_ORDER,
-    unique: str = "record_id",
 ) -> DataFrame:
     """Items of the next packet of every day.
 
@@ -60,7 +59,6 @@ def packet_items(
         available,
         ["day"],
         order,
-        unique,
         lambda body: text.truncate_utf8(body, bounds.item_bytes),
         bounds.max_items,
         bounds.total_bytes,
@@ -73,7 +71,6 @@ def batched_items(
     bounds: PacketBounds | None = None,
     max_batches: int = MAX_BATCHES_PER_RUN,
     order: Sequence[str] = DAILY_ORDER,
-    unique: str = "record_id",
 ) -> DataFrame:
     """Items of the next ``max_batches`` packets of every day."""
     if not 1 <= max_batches <= MAX_BATCHES_PER_RUN:
@@ -83,7 +80,6 @@ def batched_items(
         available,
         ["day"],
         order,
-        unique,
         lambda body: text.truncate_utf8(body, bounds.item_bytes),
         bounds.max_items,
         bounds.total_bytes,

@@ -9,7 +9,7 @@ from ledgerloom.functions import ident, routes
 from ledgerloom.operators import decisions, documents
 from ledgerloom.plans import oracle_ctes as o
 from ledgerloom.plans.registry import query
-from ledgerloom.plans.sample_tables import table
+from ledgerloom.plans.sample_tables import stored_once, table
 
 SWEEP_DOCUMENTS = 20
 
@@ -19,6 +19,11 @@ def _leaf(doc_id: Column) -> Column:
 
 
 def sample_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """The stored layered documents."""
+    return stored_once("documents", spark, sf, lambda: _layered(spark, sf))
+
+
+def _layered(spark: SparkSession, sf: str) -> DataFrame:
     """Documents as leaves, boards for branches with a good label, one tree per
     language but Spanish, and the root."""
     source = table(spark, sf, "documents")

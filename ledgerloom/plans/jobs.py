@@ -279,7 +279,7 @@ def prepare_sweep_items(
         ident.sha256_hex(F.col("summary")).alias("source_text_sha256"),
     )
     pending = packets.pending(entries, store.read("disposed"), "entry_id")
-    return packets.packet_items(pending, bounds, ("batch_id", "entry_no"), "entry_id")
+    return packets.packet_items(pending, bounds, ("batch_id", "entry_no"))
 
 
 def apply_documents(

@@ -61,7 +61,7 @@ def test_budgeted_prefix(spark, bounds):
     max_items, item_bytes, total = bounds
     data = days(sum(bounds))
     kept = budgeted_prefix(
-        frame(spark, data), ["day"], ["id"], "id", lambda c: truncate_utf8(c, item_bytes), max_items, total
+        frame(spark, data), ["day"], ["id"], lambda c: truncate_utf8(c, item_bytes), max_items, total
     )
     found: dict[int, list] = {}
     for row in kept.orderBy("day", "seq").collect():
@@ -76,7 +76,7 @@ def test_next_fit_repeats_the_prefix(spark, bounds, max_batches):
     max_items, item_bytes, total = bounds
     data = days(sum(bounds) + 1)
     batched = next_fit(
-        frame(spark, data), ["day"], ["id"], "id", lambda c: truncate_utf8(c, item_bytes), max_items, total, max_batches
+        frame(spark, data), ["day"], ["id"], lambda c: truncate_utf8(c, item_bytes), max_items, total, max_batches
     )
     found = {
         (row["day"], row["batch_no"], row["item_no"]): (row["id"], row["bounded"]) for row in batched.collect()
@@ -101,13 +101,13 @@ def hot(spark, rows: int = 20_000):
 
 
 def test_first_rows_of_a_hot_group(spark):
-    found = first_rows(hot(spark), ["day"], ["id"], 50, "id").where("day = 99").orderBy("seq").collect()
+    found = first_rows(hot(spark), ["day"], ["id"], 50).where("day = 99").orderBy("seq").collect()
     wanted = [r["id"] for r in hot(spark).where("day = 99").orderBy("id").limit(50).collect()]
     assert [r["id"] for r in found] == wanted and [r["seq"] for r in found] == list(range(1, 51))
 
 
 def test_rows_are_limited_before_the_shuffle(spark):
-    plan = first_rows(hot(spark), ["day"], ["id"], 50, "id")._jdf.queryExecution().executedPlan().toString()
+    plan = first_rows(hot(spark), ["day"], ["id"], 50)._jdf.queryExecution().executedPlan().toString()
     first_exchange = plan.rindex("Exchange hashpartitioning")
     assert "WindowGroupLimit" in plan[first_exchange:]
 
