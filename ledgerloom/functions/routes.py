@@ -24,11 +24,6 @@ LAYER_NUMBERS = {layer: number for number, layer in enumerate(LAYERS, start=1)}
 PARTS = ("tree", "branch", "leaf")
 
 
-def casefold(path: Column) -> Column:
-    """Case-insensitive form; upper case first, so that letters like sharp s expand."""
-    return F.replace(F.lower(F.upper(path)), F.lit("\u03c2"), F.lit("\u03c3"))
-
-
 def is_canonical_path(path: Column) -> Column:
     """Relative NFC path in canonical form: no empty, ``.`` or ``..`` part."""
     parts = F.split(path, "/", -1)

@@ -1,7 +1,8 @@
 """Text bounding, truncation and escaping as Column expressions.
 
-Everything here stays in the JVM except Unicode normalisation, which Spark has
-no built-in for; that one step is an Arrow UDF fed only the rows that need it.
+Everything here stays in the JVM except Unicode normalisation and full case
+folding, which Spark has no built-ins for; those steps are Arrow UDFs fed only
+the rows that need them.
 """
 
 from __future__ import annotations
@@ -61,6 +62,12 @@ def _equals_nfc(values: pa.Array) -> pa.Array:
     return pa.array(equal, pa.bool_())
 
 
+@F.arrow_udf(T.StringType())
+def _folded(values: pa.Array) -> pa.Array:
+    folded = [None if text is None else text.casefold() for text in values.to_pylist()]
+    return pa.array(folded, pa.string())
+
+
 def nfc(text: Column) -> Column:
     """NFC form of ``text``."""
     needs = text.rlike(_ABOVE_LATIN)
@@ -72,6 +79,12 @@ def is_nfc(text: Column) -> Column:
     return F.coalesce(_equals_nfc(F.when(text.rlike(_ABOVE_LATIN), text)), text.isNotNull())
 
 
+def casefold(text: Column) -> Column:
+    """Full Unicode case folding; rows of ASCII send no bytes to Python."""
+    wide = text.rlike(r"[^\x00-\x7f]")
+    return F.when(wide, _folded(F.when(wide, text))).otherwise(F.lower(text))
+
+
 def strip(text: Column) -> Column:
     return F.btrim(text, F.lit(WHITESPACE))
 

@@ -160,7 +160,7 @@ def upsert(documents: DataFrame, changes: DataFrame) -> DataFrame:
 def casefold_collisions(paths: DataFrame, path: str = "path") -> DataFrame:
     """Groups of different paths that are equal ignoring case."""
     return (
-        paths.select(routes.casefold(F.col(path)).alias("folded"), F.col(path).alias("path"))
+        paths.select(text.casefold(F.col(path)).alias("folded"), F.col(path).alias("path"))
         .distinct()
         .groupBy("folded")
         .agg(F.count("*").alias("paths"), F.min("path").alias("first_path"))

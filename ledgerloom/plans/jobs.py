@@ -282,6 +282,19 @@ def prepare_sweep_items(
     return packets.packet_items(pending, bounds, ("batch_id", "entry_no"))
 
 
+def current_documents(store: RunTables) -> DataFrame:
+    """The latest version of every document.
+
+    A run stores only the documents it wrote. Bodies are read only where they
+    are used; checks need just keys and hashes.
+    """
+    return (
+        store.read("documents")
+        .groupBy("target_key")
+        .agg(F.max_by("body", "run").alias("body"), F.max_by("sha256", "run").alias("sha256"))
+    )
+
+
 def apply_documents(
     store: RunTables,
     items: DataFrame,
@@ -290,16 +303,16 @@ def apply_documents(
     dispositions: DataFrame,
     frozen_snapshot_sha256: str | None = None,
 ) -> int:
-    """Check document decisions and write the next version of the documents.
+    """Check document decisions and write the documents they create or replace.
 
     ``items`` holds (packet_sha256, day, item_id, daily_result_sha256). The
     job is refused if documents changed since the snapshot was frozen or if a
-    document would be left without its parent. Returns the version number.
+    document would be left without its parent. Returns the number of the run.
     """
     _require_none(
         decisions.validate_structured(items, context, changes, dispositions), "document decisions are invalid"
     )
-    current = store.latest("documents")
+    current = current_documents(store)
     if frozen_snapshot_sha256 is not None:
         now = documents.snapshot_hash(current).first()["snapshot_sha256"]
         if now != frozen_snapshot_sha256:
@@ -308,14 +321,13 @@ def apply_documents(
     _require_none(ledger.duplicate_ids(keyed, "target_key"), "two packets change one document")
     _require_none(documents.orphans(current, keyed), "a document has no parent")
     run = store.last_run("documents") + 1
-    store.write("documents", run, documents.upsert(current, keyed))
+    store.write("documents", run, keyed.withColumn("sha256", ident.sha256_hex(F.col("body"))))
     disposed = items.select(F.lit("documents").alias("lane"), "day", F.col("item_id").alias("id"))
-    before = store.latest("disposed")
-    store.write("disposed", run, apply.advance_cursor(before, disposed))
+    store.write("disposed", run, disposed.distinct())
     behind = dispositions.join(
         items.select("packet_sha256", F.col("item_id").alias("entry_id"), F.col("daily_result_sha256").alias("result_sha256")),
         ["packet_sha256", "entry_id"],
     )
     store.write("sweeps", run, apply.provenance_sets(behind))
-    store.commit("documents", run, {"version": run})
+    store.commit("documents", run, {"documents": store.read_run("documents", run).count()})
     return run

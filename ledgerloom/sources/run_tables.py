@@ -14,8 +14,6 @@ from pyspark.sql import functions as F
 from ledgerloom.sources.byte_ranges import FRONTIER_SCHEMA
 from ledgerloom.sources.tables import STORED_LEDGER_SCHEMA
 
-TARGET = "struct<layer:string,tree:string,branch:string,leaf:string>"
-
 # Table name: (lane whose commits it follows, schema).
 TABLES: dict[str, tuple[str, str]] = {
     "ledger": ("ingest", STORED_LEDGER_SCHEMA),
@@ -92,7 +90,3 @@ class RunTables:
             return self.spark.createDataFrame([], full)
         rows = self.spark.read.schema(full).parquet(self._folder(name))
         return rows.where(F.col("run") <= last)
-
-    def latest(self, name: str) -> DataFrame:
-        """Rows of the last committed run of a table that every run writes whole."""
-        return self.read_run(name, self.last_run(TABLES[name][0]))

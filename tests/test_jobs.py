@@ -256,17 +256,17 @@ def test_documents_are_created_and_replaced(spark, logs, store, tmp_path):
         jobs.apply_documents(store, sweep, context, creates.where("change_no <> 2"), promoted)
     with pytest.raises(jobs.LedgerError, match="invalid"):
         jobs.apply_documents(store, sweep, context, creates, promoted.where("false"))
-    empty = documents.snapshot_hash(store.latest("documents")).first()["snapshot_sha256"]
+    empty = documents.snapshot_hash(jobs.current_documents(store)).first()["snapshot_sha256"]
     assert jobs.apply_documents(store, sweep, context, creates, promoted, empty) == 1
-    assert store.latest("documents").count() == 4
+    assert jobs.current_documents(store).count() == 4
     assert jobs.prepare_sweep_items(store).count() == 0
     with pytest.raises(jobs.LedgerError, match="snapshot"):
         jobs.apply_documents(store, sweep, context, creates, promoted, empty)
-    now = store.latest("documents").select(F.lit("a" * 64).alias("packet_sha256"), "target_key", F.col("sha256").alias("document_sha256"))
+    now = jobs.current_documents(store).select(F.lit("a" * 64).alias("packet_sha256"), "target_key", F.col("sha256").alias("document_sha256"))
     old = spark.range(1).select(ident.sha256_hex(F.lit("Body"))).first()[0]
     replaced = change(0, chain[3], "replace", old, "New body")
     assert jobs.apply_documents(store, sweep, now, replaced, promoted) == 2
-    bodies = {r["target_key"]: r["body"] for r in store.latest("documents").collect()}
+    bodies = {r["target_key"]: r["body"] for r in jobs.current_documents(store).collect()}
     assert bodies["stm/work/spark/note"] == "New body" and len(bodies) == 4
     with pytest.raises(jobs.LedgerError, match="preimage"):
         jobs.apply_documents(store, sweep, now, change(0, chain[3], "replace", "0" * 64), promoted)
