@@ -159,7 +159,12 @@ def labelled(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def sweep_context(spark: SparkSession, sf: str) -> DataFrame:
-    """Frozen documents of every sweep: its leaves and their boards."""
+    """The stored frozen documents of every sweep."""
+    return stored_once("sweep_context", spark, sf, lambda: _frozen_context(spark, sf))
+
+
+def _frozen_context(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents of every sweep: its leaves and their boards."""
     number = F.expr(f"doc_id div {SWEEP_DOCUMENTS}").cast("string")
     members = table(spark, sf, "documents").select(
         ident.sha256_hex(F.concat(F.lit("sweep-"), number)).alias("packet_sha256"),
@@ -185,6 +190,16 @@ def _target(layer: str, with_leaf: bool) -> Column:
 
 
 def sweep_decisions(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The stored items, changes and dispositions of every sweep."""
+    names = ("sweep_items", "sweep_changes", "sweep_dispositions")
+    items, changes, dispositions = (
+        stored_once(name, spark, sf, lambda place=place: _decided(spark, sf)[place])
+        for place, name in enumerate(names)
+    )
+    return items, changes, dispositions
+
+
+def _decided(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Items, changes and dispositions of every sweep, with faults by language and length."""
     entries = labelled(spark, sf)
     items = entries.select("packet_sha256", F.col("entry_id").alias("item_id"))
