@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.bounds import MAX_COMMITS_PER_DAY
 from ledgerloom.functions import ident, text
+from ledgerloom.operators.groups import first_rows
 
 PACKET = "packet_sha256"
 
@@ -150,16 +152,27 @@ def provenance_sets(disposed: DataFrame) -> DataFrame:
     )
 
 
+def commit_lists(commits: DataFrame) -> DataFrame:
+    """Commit hashes of every day in batch order.
+
+    A day with more commits than its bound stops the job before they are gathered.
+    """
+    allowed = first_rows(
+        commits.select("day", "batch_id", "commit_sha256"), ["day"], ["batch_id"], MAX_COMMITS_PER_DAY + 1
+    )
+    excess = F.raise_error(F.concat(F.lit("too many commits for "), F.col("day").cast("string")))
+    checked = F.when(F.col("seq") > MAX_COMMITS_PER_DAY, excess.cast("string")).otherwise(F.col("commit_sha256"))
+    ordered = F.array_sort(F.collect_list(F.struct("seq", checked.alias("commit_sha256"))))
+    return allowed.groupBy("day").agg(F.transform(ordered, lambda c: c["commit_sha256"]).alias("commits"))
+
+
 def commit_set_matches(packets: DataFrame, commits: DataFrame) -> DataFrame:
     """Per packet: whether its day still has exactly the commits it was built from.
 
     ``packets`` holds (packet_sha256, day, commits), a bounded list in batch
     order; ``commits`` (day, batch_id, commit_sha256).
     """
-    ordered = F.array_sort(F.collect_list(F.struct("batch_id", "commit_sha256")))
-    current = commits.groupBy("day").agg(
-        F.transform(ordered, lambda c: c["commit_sha256"]).alias("current")
-    )
+    current = commit_lists(commits).select("day", F.col("commits").alias("current"))
     nothing = F.array().cast("array<string>")
     return packets.join(current, "day", "left").select(
         PACKET,

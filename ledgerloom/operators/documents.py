@@ -88,31 +88,37 @@ def context_join(entries: DataFrame, bindings: DataFrame, documents: DataFrame)
 def context_snapshots(documents: DataFrame, bindings: DataFrame) -> DataFrame:
     """Per packet: size and hash of its frozen documents and bindings.
 
-    A packet has at most a fixed number of documents and bytes; ``within_bounds``
-    says so. ``documents`` holds (packet_sha256, layer_number, path,
+    A packet has at most a fixed number of documents and bytes. Only packets
+    ``within_bounds`` are gathered and hashed; the others are reported without
+    a hash. ``documents`` holds (packet_sha256, layer_number, path,
     document_sha256, size).
     """
-    docs = documents.groupBy("packet_sha256").agg(
-        F.count("*").alias("documents"),
-        F.sum("size").alias("bytes"),
-        F.to_json(
-            F.array_sort(F.collect_list(F.struct("layer_number", "path", "document_sha256")))
-        ).alias("docs_json"),
+    bounded = (F.col("documents") <= MAX_CONTEXT_DOCUMENTS) & (F.col("bytes") <= MAX_CONTEXT_BYTES)
+    sizes = (
+        documents.groupBy("packet_sha256")
+        .agg(F.count("*").alias("documents"), F.sum("size").alias("bytes"))
+        .withColumn("within_bounds", bounded)
+    )
+    accepted = sizes.where("within_bounds").select("packet_sha256")
+    ordered = F.array_sort(F.collect_list(F.struct("layer_number", "path", "document_sha256")))
+    docs = (
+        documents.join(accepted, "packet_sha256", "left_semi")
+        .groupBy("packet_sha256")
+        .agg(F.to_json(ordered).alias("docs_json"))
     )
     routes_json = (
-        bindings.groupBy("packet_sha256", "entry_id")
+        bindings.join(accepted, "packet_sha256", "left_semi")
+        .distinct()
+        .groupBy("packet_sha256", "entry_id")
         .agg(F.array_sort(F.collect_set("path")).alias("paths"))
         .groupBy("packet_sha256")
         .agg(F.to_json(F.array_sort(F.collect_list(F.struct("entry_id", "paths")))).alias("routes_json"))
     )
-    bounded = (F.col("documents") <= MAX_CONTEXT_DOCUMENTS) & (F.col("bytes") <= MAX_CONTEXT_BYTES)
+    body = F.concat(F.col("docs_json"), F.lit("\n"), F.coalesce("routes_json", F.lit("[]")))
     return (
-        docs.join(routes_json, "packet_sha256", "left")
-        .withColumn(
-            "snapshot_sha256",
-            ident.sha256_hex(F.concat_ws("\n", "docs_json", F.coalesce("routes_json", F.lit("[]")))),
-        )
-        .withColumn("within_bounds", bounded)
+        sizes.join(docs, "packet_sha256", "left")
+        .join(routes_json, "packet_sha256", "left")
+        .withColumn("snapshot_sha256", ident.sha256_hex(body))
         .select("packet_sha256", "documents", "bytes", "snapshot_sha256", "within_bounds")
     )
 

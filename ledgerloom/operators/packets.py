@@ -154,7 +154,7 @@ def build_packets(
     counts: DataFrame,
     cursors: DataFrame,
     stage: str,
-    source_version: str | Column,
+    source_version: str | DataFrame,
     zone: str = "UTC",
     bounds: PacketBounds | None = None,
     item_fields: Sequence[str] = (
@@ -169,10 +169,10 @@ def build_packets(
     """One row per day with its items nested and ``packet_sha256`` over all of it.
 
     Items are bound through the hashes of their texts. A day has at most
-    ``max_items`` of them.
+    ``max_items`` of them. ``source_version`` names the state the items come
+    from, for all days or per day as (day, source_version).
     """
     bounds = bounds or PacketBounds()
-    version = F.lit(source_version) if isinstance(source_version, str) else source_version
     nested = F.array_sort(F.collect_list(F.struct("seq", "packet_text", "packet_bytes", *item_fields)))
     grouped = items.groupBy("day").agg(nested.alias("items"))
     bare = F.transform("items", lambda i: F.struct(*[i[n].alias(n) for n in sorted(item_fields)]))
@@ -190,12 +190,15 @@ def build_packets(
         "stage": F.col("stage"),
         "timezone": F.col("timezone"),
     }
+    if isinstance(source_version, str):
+        versioned = grouped.withColumn("source_version", F.lit(source_version))
+    else:
+        versioned = grouped.join(source_version.select("day", "source_version"), "day")
     return (
-        grouped.join(counts.select("day", "not_yet_admitted"), "day")
+        versioned.join(counts.select("day", "not_yet_admitted"), "day")
         .join(cursors.select("day", F.col("checkpoint_sha256").alias("cursor_sha256")), "day", "left")
         .withColumn("stage", F.lit(stage))
         .withColumn("timezone", F.lit(zone))
-        .withColumn("source_version", version)
         .withColumn(
             "cursor_sha256",
             F.coalesce("cursor_sha256", empty_checkpoint_sha256(F.col("timezone"))),

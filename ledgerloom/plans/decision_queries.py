@@ -295,10 +295,7 @@ def commit_set_equal(spark: SparkSession, sf: str) -> DataFrame:
     batches, entries = sample_batches(decision_items(spark, sf))
     commits = apply.commit_rows(batches, apply.batch_documents(batches, entries))
     frozen = commits.join(batches.where(F.col("batch_no") <= 2).select("batch_id"), "batch_id", "left_semi")
-    in_order = F.array_sort(F.collect_list(F.struct("batch_id", "commit_sha256")))
-    sweeps = frozen.groupBy("day").agg(
-        F.transform(in_order, lambda c: c["commit_sha256"]).alias("commits")
-    ).withColumn("packet_sha256", ident.sha256_hex(F.concat_ws("#", F.lit("sweep"), F.col("day").cast("string"))))
+    sweeps = apply.commit_lists(frozen).withColumn("packet_sha256", ident.sha256_hex(F.concat_ws("#", F.lit("sweep"), F.col("day").cast("string"))))
     matched = apply.commit_set_matches(sweeps, commits)
     return matched.select(
         "day",

@@ -371,7 +371,8 @@ def context_join(spark: SparkSession, sf: str) -> DataFrame:
     o.with_(
         _BINDINGS,
         """SELECT d.packet_sha256, d.documents, d.bytes, d.documents <= 96 AND d.bytes <= 160000 AS within_bounds,
-             sha256(docs_json || chr(10) || coalesce(routes_json, '[]')) AS snapshot_sha256
+             CASE WHEN d.documents <= 96 AND d.bytes <= 160000 THEN
+               sha256(docs_json || chr(10) || coalesce(routes_json, '[]')) END AS snapshot_sha256
            FROM (SELECT packet_sha256, count(*) AS documents, CAST(sum(strlen(body)) AS BIGINT) AS bytes,
                '[' || string_agg('{"layer_number":' || CASE layer WHEN 'stm' THEN 4 ELSE 3 END || ',"path":"' || path
                  || '","document_sha256":"' || sha256 || '"}', ',' ORDER BY layer = 'stm', path) || ']' AS docs_json

@@ -204,6 +204,7 @@ def prepare_daily_batches(
     max_batches: int = MAX_BATCHES_PER_RUN,
 ) -> DataFrame:
     """Items of the next ``max_batches`` packets of every day, as one table."""
+    configure(store.spark)
     records = daily.with_local_day(store.read("ledger"), zone).select(
         "day", "record_id", "captured_at", "role", "text", F.col("text_sha256").alias("source_text_sha256")
     )
@@ -262,13 +263,8 @@ def apply_daily(
     return applied
 
 
-def prepare_sweep_items(
-    store: RunTables, zone: str = "UTC", bounds: PacketBounds | None = None
-) -> DataFrame:
-    """Items of the next sweep of every day: committed entries not disposed of yet.
-
-    Entries are taken in batch order, then by position.
-    """
+def _undisposed_entries(store: RunTables) -> DataFrame:
+    """Committed entries that no sweep disposed of yet."""
     entries = apply.entries_with_results(store.read("entries").drop("run"), store.read("batches")).select(
         "day",
         "batch_id",
@@ -278,8 +274,32 @@ def prepare_sweep_items(
         F.col("summary").alias("text"),
         ident.sha256_hex(F.col("summary")).alias("source_text_sha256"),
     )
-    pending = packets.pending(entries, store.read("disposed"), "entry_id")
-    return packets.packet_items(pending, bounds, ("batch_id", "entry_no"))
+    return packets.pending(entries, store.read("disposed"), "entry_id")
+
+
+SWEEP_ORDER = ("batch_id", "entry_no")
+
+
+def prepare_sweep_items(store: RunTables, bounds: PacketBounds | None = None) -> DataFrame:
+    """Items of the next sweep of every day, in batch order, then by position."""
+    return packets.packet_items(_undisposed_entries(store), bounds, SWEEP_ORDER)
+
+
+def prepare_sweep_packets(
+    store: RunTables, zone: str = "UTC", bounds: PacketBounds | None = None
+) -> DataFrame:
+    """The next sweep's packet of every day, bound to the day's commits and the cursor."""
+    available = _undisposed_entries(store)
+    items = packets.packet_items(available, bounds, SWEEP_ORDER)
+    counts = packets.not_yet_admitted(available, items)
+    no_batches = _applied(store).where("false")
+    cursors = packets.cursor_checkpoints(store.read("disposed"), no_batches, zone)
+    commits = apply.commit_lists(store.read("batch_commits"))
+    version = commits.select("day", ident.sha256_hex(F.to_json("commits")).alias("source_version"))
+    fields = ("entry_id", "daily_result_sha256", "source_text_sha256", "packet_text_sha256", "truncated")
+    return packets.build_packets(
+        items, counts, cursors, packets.DOCUMENT_STAGE, version, zone, bounds, fields
+    )
 
 
 def current_documents(store: RunTables) -> DataFrame:

@@ -11,6 +11,7 @@ from ledgerloom.bounds import MAX_BATCHES_PER_RUN
 
 # Largest "first rows per group" limit used here: one full run of packets.
 _GROUP_LIMIT = MAX_BATCHES_PER_RUN * 200
+_SMALL_SCAN_TASKS = 16
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -23,13 +24,12 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Rows of a small scan over all cores.
+    """Rows of a very small scan over a few cores.
 
-    A scan of at least as many partitions as there are cores, as any large
-    table's is, stays as it is.
+    A scan of at least that many partitions, as any large table's is, stays as it is.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    wanted = min(df.sparkSession.sparkContext.defaultParallelism, _SMALL_SCAN_TASKS)
+    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
 
 
 def work_folder(spark: SparkSession) -> str:

@@ -226,6 +226,9 @@ def test_documents_are_created_and_replaced(spark, logs, store, tmp_path):
     jobs.ingest(spark, str(logs), store)
     prepared = frozen(spark, jobs.prepare_daily_packets(store), tmp_path / "p")
     jobs.apply_daily(store, prepared, *decide(packets.exploded_items(prepared)))
+    packet = jobs.prepare_sweep_packets(store).first()
+    assert packet["stage"] == packets.DOCUMENT_STAGE and len(packet["items"]) == 2
+    assert jobs.prepare_sweep_packets(store).first()["packet_sha256"] == packet["packet_sha256"]
     sweep = frozen(spark, jobs.prepare_sweep_items(store), tmp_path / "s").select(
         F.lit("a" * 64).alias("packet_sha256"), "day", F.col("entry_id").alias("item_id"), "daily_result_sha256"
     )
