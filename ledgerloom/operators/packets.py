@@ -88,17 +88,6 @@ def batched_items(
     return _bound_items(batched)
 
 
-def not_yet_admitted(available: DataFrame, items: DataFrame) -> DataFrame:
-    """Per day: available, admitted and left over."""
-    return (
-        available.groupBy("day")
-        .agg(F.count("*").alias("available"))
-        .join(items.groupBy("day").agg(F.count("*").alias("admitted")), "day", "left")
-        .withColumn("admitted", F.coalesce("admitted", F.lit(0).cast("bigint")))
-        .withColumn("not_yet_admitted", F.col("available") - F.col("admitted"))
-    )
-
-
 def checkpoint_sha256(timezone: Column, accounted: Column, batches: Column) -> Column:
     return ident.digest(
         {"accounted_sha256": accounted, "applied_batches": batches, "timezone": timezone}
@@ -151,7 +140,7 @@ def cursor_checkpoints(accounted: DataFrame, batches: DataFrame, zone: str = "UT
 
 def build_packets(
     items: DataFrame,
-    counts: DataFrame,
+    available: DataFrame,
     cursors: DataFrame,
     stage: str,
     source_version: str | DataFrame,
@@ -169,7 +158,8 @@ def build_packets(
     """One row per day with its items nested and ``packet_sha256`` over all of it.
 
     Items are bound through the hashes of their texts. A day has at most
-    ``max_items`` of them. ``source_version`` names the state the items come
+    ``max_items`` of them; what is left of ``available`` is counted as not yet
+    admitted. ``source_version`` names the state the items come
     from, for all days or per day as (day, source_version).
     """
     bounds = bounds or PacketBounds()
@@ -194,8 +184,11 @@ def build_packets(
         versioned = grouped.withColumn("source_version", F.lit(source_version))
     else:
         versioned = grouped.join(source_version.select("day", "source_version"), "day")
+    counts = available.groupBy("day").agg(F.count("*").alias("available"))
     return (
-        versioned.join(counts.select("day", "not_yet_admitted"), "day")
+        versioned.join(counts, "day")
+        .withColumn("not_yet_admitted", F.col("available") - F.size("items"))
+        .drop("available")
         .join(cursors.select("day", F.col("checkpoint_sha256").alias("cursor_sha256")), "day", "left")
         .withColumn("stage", F.lit(stage))
         .withColumn("timezone", F.lit(zone))

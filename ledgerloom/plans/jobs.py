@@ -193,8 +193,7 @@ def prepare_daily_packets(
     items = packets.packet_items(available, bounds)
     cursors = packets.cursor_checkpoints(accounted, _applied(store), zone)
     version = f"ledger-run-{store.last_run('ingest')}"
-    counts = packets.not_yet_admitted(available, items)
-    return packets.build_packets(items, counts, cursors, packets.DAILY_STAGE, version, zone, bounds)
+    return packets.build_packets(items, available, cursors, packets.DAILY_STAGE, version, zone, bounds)
 
 
 def prepare_daily_batches(
@@ -291,14 +290,13 @@ def prepare_sweep_packets(
     """The next sweep's packet of every day, bound to the day's commits and the cursor."""
     available = _undisposed_entries(store)
     items = packets.packet_items(available, bounds, SWEEP_ORDER)
-    counts = packets.not_yet_admitted(available, items)
     no_batches = _applied(store).where("false")
     cursors = packets.cursor_checkpoints(store.read("disposed"), no_batches, zone)
     commits = apply.commit_lists(store.read("batch_commits"))
     version = commits.select("day", ident.sha256_hex(F.to_json("commits")).alias("source_version"))
     fields = ("entry_id", "daily_result_sha256", "source_text_sha256", "packet_text_sha256", "truncated")
     return packets.build_packets(
-        items, counts, cursors, packets.DOCUMENT_STAGE, version, zone, bounds, fields
+        items, available, cursors, packets.DOCUMENT_STAGE, version, zone, bounds, fields
     )
 
 

@@ -80,10 +80,9 @@ def built_packets(spark: SparkSession, sf: str) -> DataFrame:
     accounted = accounted_ids(records)
     available = packets.pending(records, accounted)
     items = packets.packet_items(available, BOUNDS)
-    counts = packets.not_yet_admitted(available, items)
     cursors = packets.cursor_checkpoints(accounted, applied_batches(records), ZONE)
     return packets.build_packets(
-        items, counts, cursors, packets.DAILY_STAGE, SOURCE_VERSION, ZONE, BOUNDS
+        items, available, cursors, packets.DAILY_STAGE, SOURCE_VERSION, ZONE, BOUNDS
     )
 
 
