@@ -13,6 +13,7 @@ MESSAGE_ROLES = ("user", "assistant")
 TEXT_PART_TYPES = ("input_text", "output_text", "text")
 
 ASCII_WHITESPACE = " \t\n\x0b\x0c\r"
+JSON_WHITESPACE = " \t\n\r"
 _ESCAPES_AND_PAIRS = r"\\\\|\\u[dD][89abAB][0-9a-fA-F]{2}\\u[dD][c-fC-F][0-9a-fA-F]{2}"
 _SURROGATE = r"\\u[dD][89a-fA-F][0-9a-fA-F]{2}"
 _LONG_INTEGER = r"(?<![\d.]|[eE][+-]|[eE])\d{65,}(?![\d.eE])"
@@ -26,7 +27,7 @@ def is_blank(raw: Column) -> Column:
 
 def _has_lone_surrogate(text: Column) -> Column:
     paired = F.regexp_replace(text, _ESCAPES_AND_PAIRS, "")
-    return text.rlike(_SURROGATE) & paired.rlike(_SURROGATE)
+    return F.contains(text, F.lit("\\u")) & text.rlike(_SURROGATE) & paired.rlike(_SURROGATE)
 
 
 def _has_oversized_number(text: Column) -> Column:
@@ -40,37 +41,38 @@ def _has_oversized_number(text: Column) -> Column:
 def with_strict_event(
     lines: DataFrame, raw: str = "raw", max_event_bytes: int = MAX_EVENT_BYTES
 ) -> DataFrame:
-    """Add ``event`` (VARIANT, null if rejected) and ``reject_reason`` (null if accepted).
+    """Add ``event`` (VARIANT, null if rejected), ``reject_reason`` (null if
+    accepted) and ``event_sha256``.
 
     An event is one JSON object in valid UTF-8 with no duplicate keys, no
-    non-finite or oversized numbers and no lone surrogates. Each line is parsed
-    inside an envelope whose second key is the line's own hash, so that text
-    after the object cannot go unnoticed.
+    non-finite or oversized numbers and no lone surrogates. A line is parsed as
+    the first element of an array whose second is the line's own hash: if the
+    hash is not found in second place, the line is more or less than one value.
     """
     if max_event_bytes < 1:
         raise ValueError("max_event_bytes must be positive")
-    text, envelope = F.col("_text"), F.col("_envelope")
-    keys = F.map_keys(envelope.cast("map<string,variant>"))
-    whole = bind(keys, lambda k: (F.size(k) == 2) & F.array_contains(k, F.col("_seal")))
+    text, sealed, seal = F.col("_text"), F.col("_sealed"), F.col("event_sha256")
+    whole = F.coalesce(F.try_variant_get(sealed, "$[1]", "string") == seal, F.lit(False))
+    is_object = F.startswith(F.ltrim(text, F.lit(JSON_WHITESPACE)), F.lit("{"))
     reason = (
         F.when(F.octet_length(raw) > max_event_bytes, "oversize")
         .when(text.isNull(), "invalid_utf8")
-        .when(envelope.isNull() | ~whole, "malformed")
+        .when(~whole, "malformed")
+        .when(~is_object, "not_object")
         .when(_has_oversized_number(text), "oversized_number")
-        .when(~F.schema_of_variant(F.variant_get(envelope, "$.r", "variant")).startswith("OBJECT"), "not_object")
         .when(_has_lone_surrogate(text), "lone_surrogate")
     )
     small = F.octet_length(raw) <= max_event_bytes
-    sealed = F.concat(F.lit('{"r":'), text, F.lit(',"'), F.col("_seal"), F.lit('":1}'))
     steps = with_once(
         lines,
         _text=F.when(small, F.try_validate_utf8(F.col(raw).cast("string"))),
-        _seal=F.sha2(F.col(raw), 256),
+        event_sha256=F.sha2(F.col(raw), 256),
     )
-    steps = with_once(steps, _envelope=F.try_parse_json(sealed))
+    array = F.concat(F.lit("["), text, F.lit(',"'), seal, F.lit('"]'))
+    steps = with_once(steps, _sealed=F.try_parse_json(array))
     steps = with_once(steps, reject_reason=reason)
-    event = F.when(F.col("reject_reason").isNull(), F.variant_get(envelope, "$.r", "variant"))
-    return with_once(steps, event=event).drop("_text", "_seal", "_envelope")
+    event = F.when(F.col("reject_reason").isNull(), F.variant_get(sealed, "$[0]", "variant"))
+    return with_once(steps, event=event).drop("_text", "_sealed")
 
 
 def fail_on_reject(events: DataFrame) -> DataFrame:

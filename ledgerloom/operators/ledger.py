@@ -71,7 +71,6 @@ def with_identity(
     """Ledger records of messages, with the columns in ``keep``."""
     return (
         found.withColumn("source_ref", ident.source_ref(F.col("source"), ns))
-        .withColumn("event_sha256", F.sha2("raw", 256))
         .select(
             F.lit(SCHEMA_VERSION).alias("schema_version"),
             F.lit(TRANSFORM_VERSION).alias("transform_version"),
