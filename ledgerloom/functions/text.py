@@ -86,7 +86,15 @@ def casefold(text: Column) -> Column:
 
 
 def strip(text: Column) -> Column:
-    return F.btrim(text, F.lit(WHITESPACE))
+    """Text without white space at its ends; most texts have none and are not copied."""
+    spaces = F.lit(WHITESPACE)
+
+    def trimmed(value: Column) -> Column:
+        first, last = F.substring(value, 1, 1), F.substring(value, -1, 1)
+        bare = ~F.contains(spaces, first) & ~F.contains(spaces, last)
+        return F.when(bare, value).otherwise(F.btrim(value, spaces))
+
+    return bind(text, trimmed)
 
 
 def collapse_whitespace(text: Column) -> Column:

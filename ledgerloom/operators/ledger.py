@@ -58,9 +58,14 @@ def messages(parsed: DataFrame, max_chars: int = MAX_MESSAGE_CHARS) -> DataFrame
         _content=F.try_variant_get(event, "$.payload.content", "variant"),
         captured_at=events.captured_at(event),
     )
-    body = text.bounded_text(events.content_text(F.col("_content")), max_chars)
-    filled = with_once(named, text=F.when(F.col("role").isNotNull(), F.nullif(body, F.lit(""))))
-    return filled.drop("_content").withColumn("supported", F.col("text").isNotNull())
+    content = F.when(F.col("role").isNotNull(), events.content_text(F.col("_content")))
+    found = with_once(named, _found=content)
+    bounded = with_once(found, text=text.bounded_text(F.col("_found"), max_chars))
+    return (
+        bounded.drop("_content", "_found")
+        .withColumn("text", F.when(F.col("text") != "", F.col("text")))
+        .withColumn("supported", F.col("text").isNotNull())
+    )
 
 
 def with_identity(
