@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import rules, sharding
+from ledgerloom.llm import jaccard, rules, sharding
 
 SHARDS = 16
 
@@ -16,6 +16,42 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
 
 
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents linked at 90 percent of three-word shingles, with their components."""
+    joined = jaccard.join(_documents(spark, sf_dir), jaccard.Threshold(90), length=3)
+    return joined.members.select("doc_id", "n_shingles", "component_id", "class_id")
+
+
+OP1_SQL = r"""
+WITH RECURSIVE d AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+        lambda x: x <> '') AS w
+    FROM documents
+),
+s AS (
+    SELECT DISTINCT doc_id, array_to_string(w[i : i + 2], ' ') AS g
+    FROM d, unnest(range(1, greatest(len(w) - 1, 2))) AS x(i) WHERE len(w) > 0
+),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+links AS (
+    SELECT a.doc_id AS u, b.doc_id AS v FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id
+    JOIN n na ON na.doc_id = a.doc_id JOIN n nb ON nb.doc_id = b.doc_id
+    GROUP BY a.doc_id, b.doc_id, na.n, nb.n HAVING 100 * count(*) >= 90 * (na.n + nb.n - count(*))
+),
+reach(doc_id, r) AS (
+    SELECT doc_id, doc_id FROM d UNION SELECT reach.doc_id, v FROM reach JOIN links ON r = u
+),
+c AS (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id),
+same AS (
+    SELECT doc_id, coalesce(min(doc_id) OVER (PARTITION BY g), doc_id) AS class_id
+    FROM (SELECT doc_id, list_sort(list(g)) AS g FROM s GROUP BY doc_id)
+)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id, coalesce(class_id, d.doc_id) AS class_id
+FROM d LEFT JOIN n USING (doc_id) JOIN c USING (doc_id) LEFT JOIN same USING (doc_id)
+"""
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents dealt into shards by the ``rows`` law."""
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -92,8 +128,12 @@ FROM b
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op3_sharding": op3_sharding,
     "op10_quality_rules": op10_quality_rules,
 }
 
-ORACLES: dict[str, str] = {"op10_quality_rules": OP10_SQL}
+ORACLES: dict[str, str] = {
+    "op1_ngram_jaccard_join": OP1_SQL,
+    "op10_quality_rules": OP10_SQL,
+}
