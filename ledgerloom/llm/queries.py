@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import jaccard, rules, sharding
+from ledgerloom.llm import jaccard, lm, rules, sharding
 
 SHARDS = 16
 
@@ -52,6 +52,12 @@ FROM d LEFT JOIN n USING (doc_id) JOIN c USING (doc_id) LEFT JOIN same USING (do
 """
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document under a bigram model of the documents that are not held out."""
+    digest = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    return lm.score(_documents(spark, sf_dir), digest % 7 == 2)
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents dealt into shards by the ``rows`` law."""
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -129,6 +135,7 @@ FROM b
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+    "op2_lm_scoring": op2_lm_scoring,
     "op3_sharding": op3_sharding,
     "op10_quality_rules": op10_quality_rules,
 }
