@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import jaccard, lm, rules, sharding
+from ledgerloom.llm import jaccard, lm, neardup, rules, sharding
 
 SHARDS = 16
 
@@ -79,6 +79,29 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings against those of their label at a cosine of 0.98."""
+    return neardup.join(spark.read.parquet(f"{sf_dir.rstrip('/')}/embeddings.parquet"))
+
+
+OP7_SQL = """
+WITH RECURSIVE e AS (
+    SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+),
+links AS (
+    SELECT a.vec_id AS u, b.vec_id AS w
+    FROM e a JOIN e b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+    WHERE list_cosine_similarity(a.v, b.v) >= 0.98
+),
+reach(vec_id, r) AS (
+    SELECT vec_id, vec_id FROM e UNION SELECT reach.vec_id, w FROM reach JOIN links ON r = u
+),
+n AS (SELECT u, count(*) AS n FROM links GROUP BY u)
+SELECT vec_id, coalesce(any_value(n.n), 0)::BIGINT AS n_links, min(r) AS component_id, min(r) = vec_id AS kept
+FROM reach LEFT JOIN n ON u = vec_id GROUP BY vec_id
+"""
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measures and verdict of the quality rules for every document."""
     judged = rules.judge(_documents(spark, sf_dir).select("doc_id", "text"))
@@ -137,10 +160,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_lm_scoring": op2_lm_scoring,
     "op3_sharding": op3_sharding,
+    "op7_embedding_neardup": op7_embedding_neardup,
     "op10_quality_rules": op10_quality_rules,
 }
 
 ORACLES: dict[str, str] = {
     "op1_ngram_jaccard_join": OP1_SQL,
+    "op7_embedding_neardup": OP7_SQL,
     "op10_quality_rules": OP10_SQL,
 }
