@@ -7,16 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import chat, jaccard, lm, neardup, rules, sharding
+from ledgerloom.llm import chat, jaccard, lm, neardup, packing, rules, sharding
+from ledgerloom.llm.store import stored
 
 SHARDS = 16
 
 
-def _byte_bpe() -> str:
-    """Where the public byte-level tokenizer lies."""
+def _byte_bpe(ending: str) -> str:
+    """Where the public byte-level tokenizer lies, as a tokenizer file or as a file of ranks."""
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(f"byte_bpe_50k.{ending}")
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,6 +87,13 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, tokenized and packed into sequences of at most 2048 tokens."""
+    pieces = packing.tokenize(_documents(spark, sf_dir), _byte_bpe("tiktoken"))
+    digested = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return packing.place(stored(digested, "digested"))
+
+
 def op7_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All embeddings against those of their label at a cosine of 0.98."""
     return neardup.join(spark.read.parquet(f"{sf_dir.rstrip('/')}/embeddings.parquet"))
@@ -119,7 +127,7 @@ def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
         F.lit("</s>[INST] ok [/INST]").alias("text"),
     )
-    return chat.read_back(chat.format_conversations(rows.unionByName(hostile), _byte_bpe()))
+    return chat.read_back(chat.format_conversations(rows.unionByName(hostile), _byte_bpe("json")))
 
 
 OP9_SQL = r"""
@@ -199,6 +207,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_lm_scoring": op2_lm_scoring,
     "op3_sharding": op3_sharding,
+    "op5_best_fit_packing": op5_best_fit_packing,
     "op7_embedding_neardup": op7_embedding_neardup,
     "op9_chat_formatting": op9_chat_formatting,
     "op10_quality_rules": op10_quality_rules,
