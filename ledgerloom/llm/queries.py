@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import chat, jaccard, lm, neardup, packing, rules, sharding
+from ledgerloom.llm import chat, jaccard, lm, mixing, neardup, packing, rules, sharding
 from ledgerloom.llm.store import stored
 
 SHARDS = 16
@@ -87,6 +87,12 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of every document the mix takes."""
+    mixed = mixing.mix(_documents(spark, sf_dir).select("doc_id", "source", "text"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "source")
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents, tokenized and packed into sequences of at most 2048 tokens."""
     pieces = packing.tokenize(_documents(spark, sf_dir), _byte_bpe("tiktoken"))
@@ -207,6 +213,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_lm_scoring": op2_lm_scoring,
     "op3_sharding": op3_sharding,
+    "op4_source_mixing": op4_source_mixing,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op7_embedding_neardup": op7_embedding_neardup,
     "op9_chat_formatting": op9_chat_formatting,
