@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import chat, jaccard, lm, mixing, neardup, packing, rules, sharding
+from ledgerloom.llm import chat, jaccard, lm, mixing, neardup, packing, pii, rules, sharding
 from ledgerloom.llm.store import stored
 
 SHARDS = 16
@@ -100,6 +100,21 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.place(stored(digested, "digested"))
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    found = pii.find(_documents(spark, sf_dir).select("doc_id", "text"), keep=lambda rows: rows.drop("text"))
+
+    def count(kind: str):
+        return F.size(F.filter("base_spans", lambda s: s["kind"] == pii.KINDS.index(kind))).cast("bigint")
+
+    return found.select(
+        "doc_id",
+        *[count(kind).alias(f"n_{kind}") for kind in pii.KINDS],
+        F.sha2(pii.listing("base_spans"), 256).alias("base_sha256"),
+        pii.listing("spans").alias("spans"),
+    )
+
+
 def op7_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All embeddings against those of their label at a cosine of 0.98."""
     return neardup.join(spark.read.parquet(f"{sf_dir.rstrip('/')}/embeddings.parquet"))
@@ -215,6 +230,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_sharding": op3_sharding,
     "op4_source_mixing": op4_source_mixing,
     "op5_best_fit_packing": op5_best_fit_packing,
+    "op6_pii": op6_pii,
     "op7_embedding_neardup": op7_embedding_neardup,
     "op9_chat_formatting": op9_chat_formatting,
     "op10_quality_rules": op10_quality_rules,
