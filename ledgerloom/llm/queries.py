@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import chat, jaccard, lm, mixing, neardup, packing, pii, rules, sharding
+from ledgerloom.llm import chat, jaccard, lm, mixing, neardup, packing, pii, quality, rules, sharding
 from ledgerloom.llm.store import stored
 
 SHARDS = 16
@@ -138,6 +138,16 @@ FROM reach LEFT JOIN n ON u = vec_id GROUP BY vec_id
 """
 
 
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, learned from the labels that are not held out."""
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 3 == 1
+    labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet").where(~held_out)
+    scored = quality.score(_documents(spark, sf_dir), labels)
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
 def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations, and one whose texts hold control strings, formatted and read back."""
     rows = spark.read.parquet(f"{sf_dir.rstrip('/')}/conversations.parquet").select("conv_id", "turn", "role", "text")
@@ -232,6 +242,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_pii": op6_pii,
     "op7_embedding_neardup": op7_embedding_neardup,
+    "op8_quality_classifier": op8_quality_classifier,
     "op9_chat_formatting": op9_chat_formatting,
     "op10_quality_rules": op10_quality_rules,
 }
