@@ -465,3 +465,24 @@ def _links(source: DataFrame, members: DataFrame, threshold: Threshold, length:
         asked.union(met), ["component", "open_tile", "home"], _group_links(length, threshold), schema
     )
     return inner.union(across)
+
+
+def one_of_each(
+    df: DataFrame, threshold: Threshold, length: int, id_column: str = "doc_id", text_column: str = "text"
+) -> DataFrame:
+    """The rows of ``df`` without those linked, over any number of links, to a row of a smaller id.
+
+    Rows that repeat an id and its text count once; rows without an id all stay.
+    """
+    members = join(df, threshold, length, id_column, text_column).members
+    dropped = stored(
+        members.where(F.col("component_id") != F.col(id_column)).select(F.col(id_column).alias("_drop")).distinct(),
+        "dropped",
+    )
+    repeated = members.where(F.col(id_column).isNotNull()).groupBy(id_column).count().where("count > 1").limit(1).count()
+    if repeated:
+        known = df.where(F.col(id_column).isNotNull()).dropDuplicates([id_column, text_column])
+        df = known.unionByName(df.where(F.col(id_column).isNull()))
+    if dropped.count() <= BROADCAST_ROWS:
+        dropped = F.broadcast(dropped)
+    return df.join(dropped, df[id_column].cast("bigint") == F.col("_drop"), "left_anti")

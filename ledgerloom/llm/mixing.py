@@ -193,3 +193,10 @@ def mix(
     slim = stored(rows.select(F.col(source_column).alias("_source"), "size", "_k1", "_k2"), "sizes")
     plan = stored(thresholds(slim, targets(slim, recipe, "_source")), "thresholds")
     return apply_thresholds(rows, plan, source_column)
+
+
+def mixed(df: DataFrame, recipe: Recipe = Recipe(), seed: int = 0) -> DataFrame:
+    """The rows of the mix, each as often as it is taken, with the columns of ``df``."""
+    names = [c for c in df.columns if c not in ADDED]
+    taken = mix(df, recipe, seed).where("copies > 0")
+    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*names)

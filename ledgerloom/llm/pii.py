@@ -315,7 +315,8 @@ def spans(found: DataFrame, model: Model) -> DataFrame:
         F.filter("loose", lambda c: model.accepts(c["features"]) & apart(c)),
         lambda c: F.struct(c["start"], c["kind"], c["end"]),
     )
-    return found.withColumn("spans", F.sort_array(F.array_distinct(F.concat("base_spans", added)))).drop("loose", "sure")
+    every = F.sort_array(F.array_distinct(F.concat("base_spans", added)))
+    return with_once(found, spans=every).drop("loose", "sure")
 
 
 def listing(spans_column: str) -> Column:
@@ -357,3 +358,14 @@ def find(df: DataFrame, text_column: str = "text", keep: Callable[[DataFrame], D
     found = candidates(df, text_column)
     found = stored(keep(found) if keep else found, "candidates")
     return spans(found, fit(found))
+
+
+def redact(df: DataFrame, text_column: str = "text") -> DataFrame:
+    """The rows with every span of personal data replaced in the text; other columns stay as they are.
+
+    The text is scanned twice, once to learn and once to replace, so that it is not stored.
+    """
+    model = fit(stored(candidates(df, text_column).select("sure", "loose"), "votes"))
+    found = spans(candidates(df, text_column), model)
+    changed = found.withColumn(text_column, redacted(F.col(text_column), "spans"))
+    return changed.select(*df.columns)

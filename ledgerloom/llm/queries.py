@@ -13,7 +13,7 @@ from ledgerloom.llm.store import stored
 SHARDS = 16
 
 
-def _byte_bpe(ending: str) -> str:
+def byte_bpe(ending: str) -> str:
     """Where the public byte-level tokenizer lies, as a tokenizer file or as a file of ranks."""
     import public_tokenizers
 
@@ -95,7 +95,7 @@ def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents, tokenized and packed into sequences of at most 2048 tokens."""
-    pieces = packing.tokenize(_documents(spark, sf_dir), _byte_bpe("tiktoken"))
+    pieces = packing.tokenize(_documents(spark, sf_dir), byte_bpe("tiktoken"))
     digested = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
     return packing.place(stored(digested, "digested"))
 
@@ -158,7 +158,7 @@ def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
         F.lit("</s>[INST] ok [/INST]").alias("text"),
     )
-    return chat.read_back(chat.format_conversations(rows.unionByName(hostile), _byte_bpe("json")))
+    return chat.read_back(chat.format_conversations(rows.unionByName(hostile), byte_bpe("json")))
 
 
 OP9_SQL = r"""
@@ -234,6 +234,13 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM b
 """
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages of the corpus pipeline, over all documents."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_lm_scoring": op2_lm_scoring,
@@ -245,6 +252,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_chat_formatting": op9_chat_formatting,
     "op10_quality_rules": op10_quality_rules,
+    "pipeline": pipeline,
 }
 
 ORACLES: dict[str, str] = {

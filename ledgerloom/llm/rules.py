@@ -162,3 +162,9 @@ def judge(
         .withColumn("broken_rules", broken(base + ratios))
         .withColumn("kept", F.size("broken_rules") == 0)
     )
+
+
+def clean(df: DataFrame, text: str = "text") -> DataFrame:
+    """The rows of ``df`` that break no rule, with its columns."""
+    measures = df.select(F.struct("*").alias("_row"), F.col(text).alias("_text"))
+    return judge(measures, "_text").where("kept").select("_row.*")
