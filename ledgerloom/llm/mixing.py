@@ -197,6 +197,6 @@ def mix(
 
 def mixed(df: DataFrame, recipe: Recipe = Recipe(), seed: int = 0) -> DataFrame:
     """The rows of the mix, each as often as it is taken, with the columns of ``df``."""
-    names = [c for c in df.columns if c not in ADDED]
-    taken = mix(df, recipe, seed).where("copies > 0")
-    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*names)
+    rows = df.select(F.struct("*").alias("_row"), "doc_id", "source", "text")
+    taken = mix(rows, recipe, seed).where("copies > 0")
+    return taken.select("_row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("_row.*")

@@ -365,7 +365,10 @@ def redact(df: DataFrame, text_column: str = "text") -> DataFrame:
 
     The text is scanned twice, once to learn and once to replace, so that it is not stored.
     """
-    model = fit(stored(candidates(df, text_column).select("sure", "loose"), "votes"))
-    found = spans(candidates(df, text_column), model)
-    changed = found.withColumn(text_column, redacted(F.col(text_column), "spans"))
-    return changed.select(*df.columns)
+    rows = df.select(F.struct("*").alias("_row"), F.col(text_column).alias("_text"))
+    model = fit(stored(candidates(rows, "_text").select("sure", "loose"), "votes"))
+    found = spans(candidates(rows, "_text"), model)
+    changed = redacted(F.col("_text"), "spans")
+    return found.select(
+        *[changed.alias(name) if name == text_column else F.col("_row")[name].alias(name) for name in df.columns]
+    )
