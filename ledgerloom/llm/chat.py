@@ -21,7 +21,6 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -56,8 +55,17 @@ def read_turns(text: str) -> list[tuple[str, str]]:
     return [(unescape(role), unescape(body)) for role, body in _TURN.findall(text)]
 
 
-@cache
+_TOKENIZERS: dict = {}
+
+
 def _tokenizer(path: str):
+    """The tokenizer with the control strings as tokens; read once where it is used."""
+    if path not in _TOKENIZERS:
+        _TOKENIZERS[path] = _with_control_tokens(path)
+    return _TOKENIZERS[path]
+
+
+def _with_control_tokens(path: str):
     from tokenizers import AddedToken, Tokenizer, processors
 
     tokenizer = Tokenizer.from_file(path)

@@ -19,7 +19,6 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,9 +33,17 @@ END_ID = 0
 BATCH_BYTES = 1 << 22
 
 
-@cache
+_ENCODERS: dict = {}
+
+
 def _encoder(rank_path: str):
-    """Byte-level BPE from a file of ranks; its ids are those of the tokenizer with the same vocabulary."""
+    """Byte-level BPE from a file of ranks, read once where it is used; the ids are those of the same vocabulary."""
+    if rank_path not in _ENCODERS:
+        _ENCODERS[rank_path] = _read_encoder(rank_path)
+    return _ENCODERS[rank_path]
+
+
+def _read_encoder(rank_path: str):
     import base64
 
     import public_tokenizers

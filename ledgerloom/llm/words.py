@@ -39,12 +39,17 @@ def _byte_values(lower: bool) -> np.ndarray:
 _VALUES = {lower: _byte_values(lower) for lower in (True, False)}
 _IS_SPACE = np.zeros(256, dtype=bool)
 _IS_SPACE[list(_SPACES)] = True
-_POWERS = np.multiply.accumulate(
-    np.concatenate([[np.uint64(1)], np.full(BLOCK - 1, _BASE, dtype=np.uint64)])
-)
-_INVERSE = np.multiply.accumulate(
-    np.concatenate([[np.uint64(1)], np.full(BLOCK - 1, pow(_BASE, -1, 1 << 64), dtype=np.uint64)])
-)
+_TABLES: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
+def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse; made once where they are used."""
+    if size not in _TABLES:
+        _TABLES[size] = tuple(
+            np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(size - 1, base, np.uint64)]))
+            for base in (_BASE, pow(_BASE, -1, 1 << 64))
+        )
+    return _TABLES[size]
 
 
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -65,6 +70,7 @@ def word_hashes(texts: pa.Array, lower: bool = True) -> tuple[np.ndarray, np.nda
     hashes, begins = [], []
     carried, carried_length, carried_begin = 0, 0, 0
     position, end = int(offsets[0]), int(offsets[-1])
+    powers, inverse = _powers(BLOCK)
     while position < end:
         block = data[position : min(position + BLOCK, end)]
         size = len(block)
@@ -78,9 +84,9 @@ def word_hashes(texts: pa.Array, lower: bool = True) -> tuple[np.ndarray, np.nda
         after[-1], after[:-1] = True, space[1:]
         after[inner[inner > 0] - 1] = True
         last = np.flatnonzero(after & ~space)
-        sums = np.cumsum(_VALUES[lower][block] * _POWERS[:size], dtype=np.uint64)
+        sums = np.cumsum(_VALUES[lower][block] * powers[:size], dtype=np.uint64)
         below = np.where(first > 0, sums[np.maximum(first, 1) - 1], np.uint64(0))
-        values = (sums[last] - below) * _INVERSE[first]
+        values = (sums[last] - below) * inverse[first]
         begin = first + position
         lengths = last - first + 1
         if carried_length:
