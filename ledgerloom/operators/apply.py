@@ -10,6 +10,8 @@ from ledgerloom.functions import ident, text
 from ledgerloom.operators.groups import first_rows
 
 PACKET = "packet_sha256"
+#: Leading digits of a commit's hash by which a day's commits are hashed in parts.
+COMMIT_PREFIX = 3
 
 
 def result_hashes(entries: DataFrame, omitted: DataFrame, packets: DataFrame) -> DataFrame:
@@ -152,6 +154,34 @@ def provenance_sets(disposed: DataFrame) -> DataFrame:
     )
 
 
+def commit_digests(commits: DataFrame) -> DataFrame:
+    """(day, source_version): a hash over all commits of every day, however many there are."""
+    prefix = F.substring("commit_sha256", 1, COMMIT_PREFIX)
+    parts = commits.groupBy("day", prefix.alias("prefix")).agg(
+        ident.sha256_hex(F.array_join(F.array_sort(F.collect_list("commit_sha256")), "\n")).alias("part")
+    )
+    ordered = F.array_sort(F.collect_list(F.struct("prefix", "part")))
+    joined = F.array_join(F.transform(ordered, lambda row: row["part"]), "\n")
+    return parts.groupBy("day").agg(ident.sha256_hex(joined).alias("source_version"))
+
+
+def sweep_results(packets: DataFrame, changes: DataFrame, dispositions: DataFrame) -> DataFrame:
+    """(packet_sha256, result_sha256): a hash over all decisions of every packet, which are bounded."""
+
+    def listed(rows: DataFrame, name: str) -> DataFrame:
+        fields = [c for c in sorted(rows.columns) if c != PACKET]
+        digest = ident.sha256_hex(F.to_json(F.struct(*fields)))
+        return rows.groupBy(PACKET).agg(F.array_join(F.array_sort(F.collect_list(digest)), ",").alias(name))
+
+    body = F.concat_ws("\n", PACKET, F.coalesce("_changes", F.lit("")), F.coalesce("_dispositions", F.lit("")))
+    return (
+        packets.select(PACKET)
+        .join(listed(changes, "_changes"), PACKET, "left")
+        .join(listed(dispositions, "_dispositions"), PACKET, "left")
+        .select(PACKET, ident.sha256_hex(body).alias("result_sha256"))
+    )
+
+
 def commit_lists(commits: DataFrame) -> DataFrame:
     """Commit hashes of every day in batch order.
 

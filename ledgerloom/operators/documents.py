@@ -147,6 +147,22 @@ def stale_snapshots(packets: DataFrame, documents: DataFrame) -> DataFrame:
     )
 
 
+def wrong_preimages(documents: DataFrame, changes: DataFrame) -> DataFrame:
+    """Creates of stored documents, and replaces of documents that are not stored as expected.
+
+    ``changes`` holds (target_key, action, expected_sha256); bodies are not read.
+    """
+    stored = documents.select("target_key", F.col("sha256").alias("stored_sha256"))
+    wrong = F.when(F.col("action") == "create", F.col("stored_sha256").isNotNull()).otherwise(
+        ~F.col("expected_sha256").eqNullSafe(F.col("stored_sha256"))
+    )
+    return (
+        changes.select("target_key", "action", "expected_sha256")
+        .join(stored, "target_key", "left")
+        .where(wrong)
+    )
+
+
 def upsert(documents: DataFrame, changes: DataFrame) -> DataFrame:
     """Document set after creates and replaces of whole bodies.
 

@@ -40,6 +40,8 @@ class IngestResult:
     sources_checked: int
     pending_bytes: int
     unsupported_events: int
+    rejected_events: int
+    unsupported_total: int
 
 
 def _require_none(rows: DataFrame, message: str, error: type[LedgerError] = LedgerError) -> None:
@@ -69,13 +71,10 @@ def ingest(
     whose offsets are not to be trusted.
     """
     configure(spark)
-    last = store.last_run("ingest")
-    run = last + 1
+    run = store.last_run("ingest") + 1
     files = byte_ranges.list_sources(spark, source_root, pattern)
-    saved = store.read_run("frontier", last).select("source", F.col("consumed").alias("offset"))
-    _require_none(ledger.missing_sources(saved, files), "a tracked source is unavailable")
-    if verify_prefix:
-        _verify_prefix(spark, store, files)
+    saved = store.offsets()
+    _check_sources(spark, store, files, saved, verify_prefix)
     # Logs may grow while the job runs, so how far it reads is written down first.
     cores = spark.sparkContext.defaultParallelism
     store.write("frontier", run, byte_ranges.with_frontier(files, saved, cores))
@@ -83,9 +82,82 @@ def ingest(
     unread = frontier.withColumn("offset", F.lit(0).cast("bigint")) if replay else frontier
     tasks = byte_ranges.task_count(spark, unread, range_bytes)
     lines = byte_ranges.read_lines(byte_ranges.byte_ranges(unread, range_bytes), tasks)
-    found = ledger.messages(
-        ledger.parsed_events(lines, max_event_bytes, on_reject), max_chars
+    return _write_run(store, run, lines, frontier, tasks, range_bytes, max_chars, max_event_bytes, on_reject, replay)
+
+
+def ingest_batch(
+    store: RunTables,
+    lines: DataFrame,
+    source_root: str,
+    pattern: str = "*.jsonl",
+    max_chars: int = MAX_MESSAGE_CHARS,
+    max_event_bytes: int = MAX_EVENT_BYTES,
+    on_reject: str = "fail",
+    verify_prefix: bool = True,
+    range_bytes: int = byte_ranges.RANGE_BYTES,
+) -> IngestResult | None:
+    """Add a stream's batch of complete lines to the ledger; None if the store has them all.
+
+    The store's offsets decide which lines are new, so a batch that is run again, a new
+    stream on an old store, and a scan between two batches neither lose nor repeat a
+    line. A batch that begins past a source's offset is refused.
+    """
+    spark = configure(store.spark)
+    files = byte_ranges.list_sources(spark, source_root, pattern)
+    saved = store.offsets()
+    _check_sources(spark, store, files, saved, verify_prefix)
+    zero = F.lit(0).cast("bigint")
+    known = lines.join(saved, "source", "left").withColumn("offset", F.coalesce("offset", zero))
+    fresh = known.where(F.col("byte_start") >= F.col("offset"))
+    reached = fresh.groupBy("source").agg(
+        F.first("offset").alias("offset"), F.min("byte_start").alias("begin"), F.max("byte_end").alias("consumed")
+    )
+    run = store.last_run("ingest") + 1
+    columns = ["source", "path", "length", "offset", "consumed"]
+    store.write("frontier", run, files.join(reached, "source").where("begin = offset").select(*columns))
+    frontier = store.read_run("frontier", run)
+    _require_none(
+        reached.join(frontier.select("source"), "source", "left_anti").select("source", "offset", "begin"),
+        "a stream begins past what the store holds",
     )
+    if not frontier.limit(1).count():
+        return None
+    tasks = byte_ranges.task_count(spark, frontier, range_bytes)
+    return _write_run(
+        store, run, fresh.drop("offset"), frontier, tasks, range_bytes, max_chars, max_event_bytes, on_reject
+    )
+
+
+def _check_sources(
+    spark: SparkSession, store: RunTables, files: DataFrame, saved: DataFrame, verify_prefix: bool
+) -> None:
+    _require_none(ledger.missing_sources(saved, files), "a tracked source is unavailable")
+    if verify_prefix:
+        _verify_prefix(spark, store, files)
+
+
+def _write_run(
+    store: RunTables,
+    run: int,
+    lines: DataFrame,
+    frontier: DataFrame,
+    tasks: int,
+    range_bytes: int,
+    max_chars: int,
+    max_event_bytes: int,
+    on_reject: str,
+    replay: bool = False,
+) -> IngestResult:
+    """Write and commit the ledger rows, rejected lines and range hashes of one run."""
+    parsed = ledger.parsed_events(lines, max_event_bytes, on_reject)
+    rejected = 0
+    if on_reject == "quarantine":
+        # Their bytes are kept: the offset passes them and they are read only once.
+        bad = parsed.where("reject_reason IS NOT NULL")
+        store.write("rejected", run, bad.select("source", "byte_start", "byte_end", "reject_reason", "raw"))
+        rejected = store.read_run("rejected", run).count()
+        parsed = parsed.where("reject_reason IS NULL")
+    found = ledger.messages(parsed, max_chars)
     seen = Observation("ingest")
     counters = [
         F.count_if(~F.col("supported")).alias("unsupported"),
@@ -99,7 +171,7 @@ def ingest(
         conflict = F.concat(F.lit("conflicting record "), "record_id")
         is_new = F.when(F.col("status") == "conflict", F.raise_error(conflict).cast("boolean"))
         records = records.where(is_new.otherwise(F.col("status") == "new")).drop("status", "content_sha256")
-    leftover = store.read_run("ledger", run)
+    leftover = store.leftovers("ledger", run)
     if leftover.limit(1).count():
         # A run that was not committed left rows; they must be what is written again.
         _require_none(
@@ -114,12 +186,15 @@ def ingest(
     ).first()
     # A plan whose result turns out empty is cut short and observes nothing.
     counts = seen.get if written else found.agg(*counters).first()
+    before = store.commits("ingest").agg(F.sum(F.col("counters")["unsupported_events"])).first()[0] or 0
     result = IngestResult(
         written,
         counts["supported"] - written,
         sources["sources"],
         sources["pending"] or 0,
         counts["unsupported"],
+        rejected,
+        before + counts["unsupported"],
     )
     store.commit("ingest", run, vars(result))
     return result
@@ -176,6 +251,9 @@ def archive_digests(
         .partitionBy("year", "month", "day")
         .text(archive)
     )
+    copied = read(archive).select("day", F.sha2("document", 256).alias("sha256")) if store.exists(archive) else stored
+    lost = apply.write_once(hashed, copied, "day", "sha256").where("status <> 'identical'")
+    _require_none(lost.select("day", "status"), "an archived copy is not what was archived")
     return due.select("day", "year", "month")
 
 
@@ -284,6 +362,13 @@ def prepare_sweep_items(store: RunTables, bounds: PacketBounds | None = None) ->
     return packets.packet_items(_undisposed_entries(store), bounds, SWEEP_ORDER)
 
 
+def _verify_commits(store: RunTables) -> None:
+    """Fail if a stored batch or its document is not what its commit binds."""
+    fresh = apply.commit_rows(store.read("batches"), store.read("batch_documents"))
+    outcomes = apply.verify_commits(store.read("batch_commits"), fresh)
+    _require_none(outcomes.where("outcome <> 'ok'").select("batch_id", "day", "outcome"), "a commit does not hold")
+
+
 def prepare_sweep_packets(
     store: RunTables, zone: str = "UTC", bounds: PacketBounds | None = None
 ) -> DataFrame:
@@ -292,8 +377,8 @@ def prepare_sweep_packets(
     items = packets.packet_items(available, bounds, SWEEP_ORDER)
     no_batches = _applied(store).where("false")
     cursors = packets.cursor_checkpoints(store.read("disposed"), no_batches, zone)
-    commits = apply.commit_lists(store.read("batch_commits"))
-    version = commits.select("day", ident.sha256_hex(F.to_json("commits")).alias("source_version"))
+    _verify_commits(store)
+    version = apply.commit_digests(store.read("batch_commits"))
     fields = ("entry_id", "daily_result_sha256", "source_text_sha256", "packet_text_sha256", "truncated")
     return packets.build_packets(
         items, available, cursors, packets.DOCUMENT_STAGE, version, zone, bounds, fields
@@ -315,37 +400,58 @@ def current_documents(store: RunTables) -> DataFrame:
 
 def apply_documents(
     store: RunTables,
-    items: DataFrame,
+    prepared: DataFrame,
     context: DataFrame,
     changes: DataFrame,
     dispositions: DataFrame,
-    frozen_snapshot_sha256: str | None = None,
+    frozen_snapshot_sha256: str,
+    zone: str = "UTC",
 ) -> int:
     """Check document decisions and write the documents they create or replace.
 
-    ``items`` holds (packet_sha256, day, item_id, daily_result_sha256). The
-    job is refused if documents changed since the snapshot was frozen or if a
-    document would be left without its parent. Returns the number of the run.
+    ``prepared`` are stored packets of ``prepare_sweep_packets``. The job is refused if
+    the day's commits, the cursor or any document changed since they were frozen, if a
+    create meets a stored document or a replace another content than it expects, or if a
+    document would be left without its parent. Decisions that are in place already
+    change nothing; other decisions for the same packet are refused. Returns the run.
     """
+    items = packets.exploded_items(prepared).withColumnRenamed("entry_id", "item_id")
+    results = apply.sweep_results(prepared, changes, dispositions)
+    known = store.read("sweeps").select("packet_sha256", F.col("result_sha256").alias("stored_sha256"))
+    met = results.join(known, "packet_sha256")
+    _require_none(met.where("result_sha256 <> stored_sha256"), "a packet has other decisions in place")
+    if not results.join(known, "packet_sha256", "left_anti").limit(1).count():
+        return store.last_run("documents")
+    _require_none(met, "some packets are in place already; apply the others alone")
     _require_none(
         decisions.validate_structured(items, context, changes, dispositions), "document decisions are invalid"
     )
+    version = apply.commit_digests(store.read("batch_commits")).withColumnRenamed("source_version", "now")
+    moved = prepared.join(version, "day", "left").where(~F.col("source_version").eqNullSafe(F.col("now")))
+    _require_none(moved.select("packet_sha256", "day"), "the day's commits changed after the packet was frozen")
+    cursors = packets.cursor_checkpoints(store.read("disposed"), _applied(store).where("false"), zone)
+    _require_none(
+        packets.stale_packets(prepared, cursors).select("packet_sha256", "day"),
+        "a packet is stale against the current cursor",
+    )
     current = current_documents(store)
-    if frozen_snapshot_sha256 is not None:
-        now = documents.snapshot_hash(current).first()["snapshot_sha256"]
-        if now != frozen_snapshot_sha256:
-            raise LedgerError("documents changed after the snapshot was frozen")
-    keyed = changes.select(routes.target_key(F.col("target")).alias("target_key"), "body")
+    now = documents.snapshot_hash(current).first()["snapshot_sha256"]
+    if now != frozen_snapshot_sha256:
+        raise LedgerError("documents changed after the snapshot was frozen")
+    keyed = changes.select(
+        routes.target_key(F.col("target")).alias("target_key"), "action", "expected_sha256", "body"
+    )
     _require_none(ledger.duplicate_ids(keyed, "target_key"), "two packets change one document")
-    _require_none(documents.orphans(current, keyed), "a document has no parent")
+    _require_none(documents.wrong_preimages(current, keyed), "a stored document is not the expected preimage")
+    _require_none(documents.orphans(current, keyed.select("target_key", "body")), "a document has no parent")
     run = store.last_run("documents") + 1
-    store.write("documents", run, keyed.withColumn("sha256", ident.sha256_hex(F.col("body"))))
+    store.write("documents", run, keyed.select("target_key", "body", ident.sha256_hex(F.col("body")).alias("sha256")))
     disposed = items.select(F.lit("documents").alias("lane"), "day", F.col("item_id").alias("id"))
     store.write("disposed", run, disposed.distinct())
     behind = dispositions.join(
         items.select("packet_sha256", F.col("item_id").alias("entry_id"), F.col("daily_result_sha256").alias("result_sha256")),
         ["packet_sha256", "entry_id"],
     )
-    store.write("sweeps", run, apply.provenance_sets(behind))
+    store.write("sweeps", run, apply.provenance_sets(behind).join(results, "packet_sha256"))
     store.commit("documents", run, {"documents": store.read_run("documents", run).count()})
     return run

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from fnmatch import fnmatchcase
 from urllib.parse import quote, unquote
 
 import numpy as np
@@ -150,23 +151,53 @@ def qualified(spark: SparkSession, path: str) -> str:
     return hadoop_path.getFileSystem(conf).makeQualified(hadoop_path).toString()
 
 
+def listed_files(uri: str, pattern: str, recursive: bool) -> Iterator[tuple[str, int, bool]]:
+    """(path below ``uri``, length, whether it is a folder) of matching files, and of folders unless recursive.
+
+    Every name counts, also hidden ones, and so do empty files.
+    """
+    filesystem, base = resolve_uri(uri)
+    prefix = len(base.rstrip("/")) + 1
+    for info in filesystem.get_file_info(fs.FileSelector(base, recursive=recursive)):
+        if info.type == fs.FileType.File and fnmatchcase(info.base_name, pattern):
+            yield info.path[prefix:], info.size, False
+        elif info.type == fs.FileType.Directory and not recursive:
+            yield info.path[prefix:], 0, True
+
+
+def _listed_batches(root: str, pattern: str):
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for folder in batch.column("folder").to_pylist():
+                found = [(f"{folder}/{name}", size) for name, size, _ in listed_files(f"{root}/{folder}", pattern, True)]
+                if found:
+                    yield pa.record_batch(
+                        [
+                            pa.array([name for name, _ in found]),
+                            pa.array([f"{root}/{name}" for name, _ in found]),
+                            pa.array([size for _, size in found], pa.int64()),
+                        ],
+                        names=["source", "path", "length"],
+                    )
+
+    return apply
+
+
 def list_sources(spark: SparkSession, root: str, pattern: str = "*.jsonl") -> DataFrame:
-    """Log files under ``root`` as (source, path, length); contents are not read.
+    """All log files under ``root`` as (source, path, length); contents are not read.
 
-    Spark leaves empty files out; a log is listed from its first byte on.
+    The folders right below ``root`` are listed by tasks, each with all it holds.
     """
-    prefix = qualified(spark, root).rstrip("/") + "/"
-    return (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", pattern)
-        .load(root)
-        .select(
-            F.expr(f"substring(path, {len(prefix) + 1})").alias("source"),
-            "path",
-            "length",
-        )
-    )
+    base = qualified(spark, root).rstrip("/")
+    top = list(listed_files(base, pattern, False))
+    schema = "source string, path string, length bigint"
+    files = spark.createDataFrame([(name, f"{base}/{name}", size) for name, size, folder in top if not folder], schema)
+    folders = [(name,) for name, _, folder in top if folder]
+    if not folders:
+        return files
+    tasks = min(len(folders), max(spark.sparkContext.defaultParallelism, 64))
+    below = spark.createDataFrame(folders, "folder string").repartition(tasks)
+    return files.union(below.mapInArrow(_listed_batches(base, pattern), schema))
 
 
 def with_frontier(files: DataFrame, offsets: DataFrame | None = None, tasks: int = 64) -> DataFrame:

@@ -1,12 +1,17 @@
-"""Tables written in numbered runs and read only up to the last committed run.
+"""Tables written in numbered runs, of which readers see only the committed ones.
 
-A run overwrites its own folders, so a run that was lost half-way is simply
-written again. Its commit row comes last; until then readers do not see it.
+A writer puts a run's rows into folders of its own attempt and commits by creating the
+run's commit file, which names the attempt and fails if the file exists. So of two
+writers on one run one is refused, and what a lost or refused writer left is never read.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import json
+import uuid
+from dataclasses import dataclass, field
+
+from py4j.protocol import Py4JJavaError
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +22,7 @@ from ledgerloom.sources.tables import STORED_LEDGER_SCHEMA
 # Table name: (lane whose commits it follows, schema).
 TABLES: dict[str, tuple[str, str]] = {
     "ledger": ("ingest", STORED_LEDGER_SCHEMA),
+    "rejected": ("ingest", "source string, byte_start bigint, byte_end bigint, reject_reason string, raw binary"),
     "frontier": ("ingest", FRONTIER_SCHEMA),
     "segments": ("ingest", "source string, range_start bigint, range_end bigint, sha256 string"),
     "accounted": ("daily", "lane string, day date, id string"),
@@ -38,55 +44,91 @@ TABLES: dict[str, tuple[str, str]] = {
     ),
     "documents": ("documents", "target_key string, body string, sha256 string"),
     "disposed": ("documents", "lane string, day date, id string"),
-    "sweeps": ("documents", "packet_sha256 string, result_sha256s string, results int"),
+    "sweeps": ("documents", "packet_sha256 string, result_sha256s string, results int, result_sha256 string"),
 }
 
 
+class RunTakenError(RuntimeError):
+    """Another writer committed the run first."""
+
+
 @dataclass(frozen=True)
 class RunTables:
     spark: SparkSession
     root: str
+    attempt: str = field(default_factory=lambda: uuid.uuid4().hex)
 
     def _folder(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
 
-    def exists(self, path: str) -> bool:
+    def _hadoop(self, path: str) -> tuple:
         hadoop_path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        return hadoop_path.getFileSystem(conf).exists(hadoop_path)
+        return hadoop_path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), hadoop_path
+
+    def exists(self, path: str) -> bool:
+        filesystem, hadoop_path = self._hadoop(path)
+        return filesystem.exists(hadoop_path)
 
     def run_folder(self, name: str, run: int) -> str:
         return f"{self._folder(name)}/run={run}"
 
-    def last_run(self, lane: str) -> int:
-        """Number of the last committed run of a lane, 0 if there is none."""
+    def _attempt_folder(self, name: str, run: int) -> str:
+        return f"{self.run_folder(name, run)}/attempt={self.attempt}"
+
+    def commits(self, lane: str) -> DataFrame:
+        """(run, attempt, counters) of the committed runs of a lane."""
+        schema = "run int, attempt string, counters map<string,bigint>"
         folder = self._folder(f"commits/{lane}")
         if not self.exists(folder):
-            return 0
-        return self.spark.read.parquet(folder).agg(F.max("run").alias("run")).first()["run"] or 0
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).json(folder)
+
+    def last_run(self, lane: str) -> int:
+        """Number of the last committed run of a lane, 0 if there is none."""
+        return self.commits(lane).agg(F.max("run").alias("run")).first()["run"] or 0
 
     def commit(self, lane: str, run: int, counters: dict[str, int]) -> None:
-        row = self.spark.range(1).select(*[F.lit(v).cast("bigint").alias(k) for k, v in counters.items()])
-        row.coalesce(1).write.mode("overwrite").parquet(self.run_folder(f"commits/{lane}", run))
+        """Make this attempt the run; refused if the run is committed already."""
+        body = json.dumps({"run": run, "attempt": self.attempt, "counters": counters}) + "\n"
+        filesystem, path = self._hadoop(f"{self._folder(f'commits/{lane}')}/run-{run}.json")
+        try:
+            out = filesystem.create(path, False)
+        except Py4JJavaError as error:
+            if "FileAlreadyExists" in str(error.java_exception):
+                raise RunTakenError(f"run {run} of {lane} is committed already") from None
+            raise
+        out.write(bytearray(body.encode()))
+        out.close()
 
     def write(self, name: str, run: int, rows: DataFrame, partition_by: tuple[str, ...] = ()) -> None:
         """Write a run's rows, with files sized by what the partitions hold."""
         hinted = rows.hint("rebalance", *partition_by) if partition_by else rows.hint("rebalance")
-        hinted.write.mode("overwrite").partitionBy(*partition_by).parquet(self.run_folder(name, run))
+        hinted.write.mode("overwrite").partitionBy(*partition_by).parquet(self._attempt_folder(name, run))
 
-    def read_run(self, name: str, run: int) -> DataFrame:
-        """Rows of one run, committed or not."""
+    def _rows(self, name: str, folder: str) -> DataFrame:
         _, schema = TABLES[name]
-        if run < 1 or not self.exists(self.run_folder(name, run)):
+        if not self.exists(folder):
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(self.run_folder(name, run))
+        return self.spark.read.schema(schema).parquet(folder)
+
+    def read_run(self, name: str, run: int) -> DataFrame:
+        """What this attempt wrote of a run, committed or not."""
+        return self._rows(name, self._attempt_folder(name, run))
+
+    def leftovers(self, name: str, run: int) -> DataFrame:
+        """What any attempt wrote of a run."""
+        return self._rows(name, self.run_folder(name, run))
 
     def read(self, name: str) -> DataFrame:
         """Rows of all committed runs, with their ``run``."""
         lane, schema = TABLES[name]
-        full = f"{schema}, run int"
-        last = self.last_run(lane)
-        if last < 1 or not self.exists(self._folder(name)):
-            return self.spark.createDataFrame([], full)
-        rows = self.spark.read.schema(full).parquet(self._folder(name))
-        return rows.where(F.col("run") <= last)
+        if not self.exists(self._folder(name)):
+            return self.spark.createDataFrame([], f"{schema}, run int")
+        rows = self.spark.read.schema(f"{schema}, run int, attempt string").parquet(self._folder(name))
+        committed = self.commits(lane).select("run", "attempt")
+        columns = [c for c in rows.columns if c != "attempt"]
+        return rows.join(committed, ["run", "attempt"], "left_semi").select(*columns)
+
+    def offsets(self) -> DataFrame:
+        """(source, offset): how far each source was processed by all committed runs."""
+        return self.read("frontier").groupBy("source").agg(F.max("consumed").alias("offset"))

@@ -9,15 +9,13 @@ the batch that brings their newline.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from fnmatch import fnmatch
 
 import pyarrow as pa
-from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 
-from ledgerloom.operators import ledger
-from ledgerloom.sources import byte_ranges, tables
+from ledgerloom.plans import jobs
+from ledgerloom.sources import byte_ranges
 from ledgerloom.sources.run_tables import RunTables
 
 FORMAT = "log_lines"
@@ -38,14 +36,7 @@ class LogStreamReader(DataSourceStreamReader):
         return {}
 
     def latestOffset(self) -> dict[str, int]:
-        filesystem, base = byte_ranges.resolve_uri(self.root)
-        found = filesystem.get_file_info(fs.FileSelector(base, recursive=True))
-        prefix = len(base.rstrip("/")) + 1
-        return {
-            info.path[prefix:]: info.size
-            for info in found
-            if info.type == fs.FileType.File and fnmatch(info.base_name, self.pattern)
-        }
+        return {name: size for name, size, _ in byte_ranges.listed_files(self.root, self.pattern, True)}
 
     def partitions(self, start: dict[str, int], end: dict[str, int]) -> list[LogRange]:
         ranges = []
@@ -80,20 +71,26 @@ def read_log_stream(spark: SparkSession, root: str, pattern: str = "*.jsonl") ->
     return spark.readStream.format(FORMAT).option("path", root).option("pattern", pattern).load()
 
 
-def stream_ledger(lines: DataFrame, store: RunTables, checkpoint: str, **trigger: object) -> object:
-    """Start writing the ledger from a stream of lines; returns the query.
-
-    A batch is written to the run of its number and committed after it, so a
-    batch that is run again after a failure replaces what it wrote before.
+def stream_ledger(
+    spark: SparkSession,
+    root: str,
+    store: RunTables,
+    checkpoint: str,
+    pattern: str = "*.jsonl",
+    trigger: dict[str, object] | None = None,
+    **options: object,
+) -> object:
+    """Start writing the ledger from the logs under ``root``; returns the query.
+
+    Every batch is checked and committed as a run of the store, which keeps offsets, range
+    hashes, rejected lines and counters for streams and scans alike. ``options`` are those
+    of ``jobs.ingest_batch``; with ``verify_prefix=False`` a scheduled ``jobs.ingest``
+    can check processed bytes instead of every batch.
     """
 
-    def write(batch: DataFrame, number: int) -> None:
-        run = number + 1
-        if run <= store.last_run("ingest"):
-            return
-        records = ledger.ledger_records(batch)
-        store.write("ledger", run, tables.with_instant(records), ("utc_day",))
-        store.commit("ingest", run, {"batch": number})
+    def write(batch: DataFrame, _: int) -> None:
+        # A writer of its own for each batch, so that a refused one leaves nothing to the next.
+        jobs.ingest_batch(RunTables(store.spark, store.root), batch, root, pattern, **options)
 
-    writer = lines.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-    return writer.trigger(**(trigger or {"availableNow": True})).start()
+    writer = read_log_stream(spark, root, pattern).writeStream.foreachBatch(write)
+    return writer.option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from ledgerloom.bounds import DigestBounds, PacketBounds
 from ledgerloom.functions import ident, routes
-from ledgerloom.operators import documents, packets
+from ledgerloom.operators import apply, documents, packets
 from ledgerloom.plans import jobs
-from ledgerloom.sources.run_tables import RunTables
+from ledgerloom.sources.run_tables import RunTables, RunTakenError
 
 
 def event(text, minute=0, role="user", kind="message", day="2024-07-24") -> bytes:
@@ -44,6 +44,7 @@ def ledger_rows(store):
 def test_ingest_twice_and_hide_paths(spark, logs, store):
     assert vars(jobs.ingest(spark, str(logs), store)) == {
         "new_records": 2, "duplicate_records": 0, "sources_checked": 1, "pending_bytes": 0, "unsupported_events": 1,
+        "rejected_events": 0, "unsupported_total": 1,
     }
     before = ledger_rows(store)
     again = jobs.ingest(spark, str(logs), store)
@@ -90,7 +91,30 @@ def test_malformed_line_fails_unless_kept_apart(spark, logs, store):
         jobs.ingest(spark, str(logs), store)
     assert store.last_run("ingest") == 0 and store.read("ledger").count() == 0
     result = jobs.ingest(spark, str(logs), store, on_reject="quarantine")
-    assert (result.new_records, result.unsupported_events) == (3, 2)
+    assert (result.new_records, result.unsupported_events, result.rejected_events) == (3, 1, 1)
+    kept = store.read("rejected").first()
+    assert bytes(kept["raw"]).strip() == b"{nope}" and kept["source"] == "2024/bad.jsonl"
+    (logs / "2024" / "more.jsonl").write_bytes(event("tool", 2, kind="function_call"))
+    assert jobs.ingest(spark, str(logs), store).unsupported_total == 2
+
+
+def test_one_of_two_writers_is_refused(spark, logs, store):
+    other = RunTables(spark, store.root)
+    commit = RunTables.commit
+
+    def overtaken(self, lane, run, counters):
+        RunTables.commit = commit
+        jobs.ingest(spark, str(logs), other)
+        commit(self, lane, run, counters)
+
+    try:
+        RunTables.commit = overtaken
+        with pytest.raises(RunTakenError):
+            jobs.ingest(spark, str(logs), store)
+    finally:
+        RunTables.commit = commit
+    assert store.read("ledger").count() == 2 and store.last_run("ingest") == 1
+    assert jobs.ingest(spark, str(logs), store).new_records == 0
 
 
 def test_same_content_elsewhere_is_kept(spark, logs, store):
@@ -229,47 +253,90 @@ def test_documents_are_created_and_replaced(spark, logs, store, tmp_path):
     packet = jobs.prepare_sweep_packets(store).first()
     assert packet["stage"] == packets.DOCUMENT_STAGE and len(packet["items"]) == 2
     assert jobs.prepare_sweep_packets(store).first()["packet_sha256"] == packet["packet_sha256"]
-    sweep = frozen(spark, jobs.prepare_sweep_items(store), tmp_path / "s").select(
-        F.lit("a" * 64).alias("packet_sha256"), "day", F.col("entry_id").alias("item_id"), "daily_result_sha256"
-    )
+    swept = frozen(spark, jobs.prepare_sweep_packets(store), tmp_path / "s")
+    sha = packet["packet_sha256"]
     none = F.lit(None).cast("string")
 
     def target(layer, *parts):
         named = [F.lit(p).alias(n) for p, n in zip(parts, routes.PARTS, strict=False)]
         return F.struct(F.lit(layer).alias("layer"), *named, *[none.alias(n) for n in routes.PARTS[len(parts):]])
 
-    def change(number, where, action="create", expected=None, body="Body", sources=None):
+    def change(number, where, action="create", expected=None, body="Body", packet_sha256=sha):
         return spark.range(1).select(
-            F.lit("a" * 64).alias("packet_sha256"), F.lit(number).alias("change_no"), F.lit(action).alias("action"),
+            F.lit(packet_sha256).alias("packet_sha256"), F.lit(number).alias("change_no"), F.lit(action).alias("action"),
             where.alias("target"), F.lit(expected).cast("string").alias("expected_sha256"), F.lit(body).alias("body"),
-            (F.lit(sources) if sources else F.array().cast("array<string>")).alias("source_entry_ids"),
+            F.array().cast("array<string>").alias("source_entry_ids"),
             F.lit("why").alias("reason"), F.lit("high").alias("confidence"),
         )
 
+    def promoted(stored, where):
+        return packets.exploded_items(stored).select(
+            "packet_sha256", "entry_id", F.lit("promoted").alias("status"), F.array(where).alias("targets"), F.lit("kept").alias("reason"),
+        )
+
+    def snapshot():
+        return documents.snapshot_hash(jobs.current_documents(store)).first()["snapshot_sha256"]
+
+    def context(packet_sha256):
+        return jobs.current_documents(store).select(F.lit(packet_sha256).alias("packet_sha256"), "target_key", F.col("sha256").alias("document_sha256"))
+
     chain = [target("xltm"), target("ltm", "work"), target("mtm", "work", "spark"), target("stm", "work", "spark", "note")]
     creates = change(0, chain[0])
     for number, where in enumerate(chain[1:], start=1):
         creates = creates.unionByName(change(number, where))
-    promoted = sweep.select(
-        "packet_sha256", F.col("item_id").alias("entry_id"), F.lit("promoted").alias("status"),
-        F.array(chain[3]).alias("targets"), F.lit("kept").alias("reason"),
-    )
-    context = spark.createDataFrame([], "packet_sha256 string, target_key string, document_sha256 string")
+    decided = promoted(swept, chain[3])
+    empty = snapshot()
     with pytest.raises(jobs.LedgerError, match="parent"):
-        jobs.apply_documents(store, sweep, context, creates.where("change_no <> 2"), promoted)
+        jobs.apply_documents(store, swept, context(sha), creates.where("change_no <> 2"), decided, empty)
     with pytest.raises(jobs.LedgerError, match="invalid"):
-        jobs.apply_documents(store, sweep, context, creates, promoted.where("false"))
-    empty = documents.snapshot_hash(jobs.current_documents(store)).first()["snapshot_sha256"]
-    assert jobs.apply_documents(store, sweep, context, creates, promoted, empty) == 1
-    assert jobs.current_documents(store).count() == 4
-    assert jobs.prepare_sweep_items(store).count() == 0
+        jobs.apply_documents(store, swept, context(sha), creates, decided.where("false"), empty)
     with pytest.raises(jobs.LedgerError, match="snapshot"):
-        jobs.apply_documents(store, sweep, context, creates, promoted, empty)
-    now = jobs.current_documents(store).select(F.lit("a" * 64).alias("packet_sha256"), "target_key", F.col("sha256").alias("document_sha256"))
+        jobs.apply_documents(store, swept, context(sha), creates, decided, "0" * 64)
+    with pytest.raises(jobs.LedgerError, match="commits changed"):
+        jobs.apply_documents(store, swept.withColumn("source_version", F.lit("0" * 64)), context(sha), creates, decided, empty)
+    with pytest.raises(jobs.LedgerError, match="stale"):
+        jobs.apply_documents(store, swept.withColumn("cursor_sha256", F.lit("0" * 64)), context(sha), creates, decided, empty)
+    assert jobs.apply_documents(store, swept, context(sha), creates, decided, empty) == 1
+    assert jobs.current_documents(store).count() == 4
+    assert jobs.prepare_sweep_packets(store).count() == 0
+    # The same decisions again change nothing; others for the packet are refused.
+    assert jobs.apply_documents(store, swept, context(sha), creates, decided, empty) == 1
+    with pytest.raises(jobs.LedgerError, match="other decisions"):
+        jobs.apply_documents(store, swept, context(sha), change(0, chain[0], body="Other"), decided, empty)
+    (logs / "2024" / "later.jsonl").write_bytes(event("later", 30))
+    jobs.ingest(spark, str(logs), store)
+    later = frozen(spark, jobs.prepare_daily_packets(store), tmp_path / "p2")
+    jobs.apply_daily(store, later, *decide(packets.exploded_items(later)))
+    second = frozen(spark, jobs.prepare_sweep_packets(store), tmp_path / "s2")
+    sha2 = second.first()["packet_sha256"]
     old = spark.range(1).select(ident.sha256_hex(F.lit("Body"))).first()[0]
-    replaced = change(0, chain[3], "replace", old, "New body")
-    assert jobs.apply_documents(store, sweep, now, replaced, promoted) == 2
+    blind = spark.createDataFrame([], "packet_sha256 string, target_key string, document_sha256 string")
+    with pytest.raises(jobs.LedgerError, match="preimage"):
+        jobs.apply_documents(store, second, blind, change(0, chain[3], packet_sha256=sha2), promoted(second, chain[3]), snapshot())
+    wrong = change(0, chain[3], "replace", "0" * 64, packet_sha256=sha2)
+    with pytest.raises(jobs.LedgerError, match="preimage"):
+        jobs.apply_documents(store, second, context(sha2), wrong, promoted(second, chain[3]), snapshot())
+    replaced = change(0, chain[3], "replace", old, "New body", packet_sha256=sha2)
+    assert jobs.apply_documents(store, second, context(sha2), replaced, promoted(second, chain[3]), snapshot()) == 2
     bodies = {r["target_key"]: r["body"] for r in jobs.current_documents(store).collect()}
     assert bodies["stm/work/spark/note"] == "New body" and len(bodies) == 4
-    with pytest.raises(jobs.LedgerError, match="preimage"):
-        jobs.apply_documents(store, sweep, now, change(0, chain[3], "replace", "0" * 64), promoted)
+    assert store.read("sweeps").count() == 2
+
+
+def test_damaged_batches_stop_a_sweep(spark, logs, store, tmp_path):
+    jobs.ingest(spark, str(logs), store)
+    prepared = frozen(spark, jobs.prepare_daily_packets(store), tmp_path / "p")
+    jobs.apply_daily(store, prepared, *decide(packets.exploded_items(prepared)))
+    changed = store.read_run("batch_documents", 1).withColumn("document", F.lit("changed"))
+    changed = spark.createDataFrame(changed.collect(), changed.schema)
+    store.write("batch_documents", 1, changed)
+    with pytest.raises(jobs.LedgerError, match="commit does not hold"):
+        jobs.prepare_sweep_packets(store)
+
+
+def test_a_day_may_have_any_number_of_commits(spark):
+    rows = [(f"{i:064x}", f"{(i * 7919) % 600:064x}") for i in range(600)]
+    commits = spark.createDataFrame(rows, "batch_id string, commit_sha256 string").withColumn("day", F.lit("2024-01-01").cast("date"))
+    first = apply.commit_digests(commits).first()["source_version"]
+    assert apply.commit_digests(commits.repartition(5)).first()["source_version"] == first
+    assert apply.commit_digests(commits.where("batch_id <> '%s'" % rows[5][0])).first()["source_version"] != first

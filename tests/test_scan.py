@@ -56,6 +56,7 @@ def scanned(df) -> list[tuple]:
 def test_scan_resume_and_tails(spark, tmp_path):
     rng = random.Random(5)
     files = {"a.jsonl": random_bytes(rng, 3000), "sub/b c%20.jsonl": random_bytes(rng, 500), "e.jsonl": b"", "open.jsonl": b"no end"}
+    files |= {"_y.jsonl": b"y\n", ".z.jsonl": b"z\n", ".hid/_w/w.jsonl": b"w\n"}
     for name, data in files.items():
         write(tmp_path, name, data)
     write(tmp_path, "other.txt", b"x\n")
@@ -67,7 +68,7 @@ def test_scan_resume_and_tails(spark, tmp_path):
     assert rest == [row for row in wanted if row[1] >= limits.get(row[0], 0)]
     frontier = byte_ranges.with_frontier(byte_ranges.list_sources(spark, str(tmp_path)))
     pending = {r["source"]: r["pending_bytes"] for r in byte_ranges.pending_tails(frontier).collect()}
-    assert pending == {n: len(d) - (split(d)[-1][1] if split(d) else 0) for n, d in files.items() if d}
+    assert pending == {n: len(d) - (split(d)[-1][1] if split(d) else 0) for n, d in files.items()}
 
 
 def test_range_hashes_and_mutation(spark, tmp_path):

@@ -2,7 +2,10 @@ from __future__ import annotations
 
 import json
 
+import pytest
+
 from ledgerloom.operators import ledger
+from ledgerloom.plans import jobs
 from ledgerloom.sources import byte_ranges
 from ledgerloom.sources.run_tables import RunTables
 from ledgerloom.streaming import log_stream
@@ -13,27 +16,84 @@ def event(text: str) -> bytes:
     return json.dumps(body).encode() + b"\n"
 
 
-def test_appended_lines_are_read_once(spark, tmp_path):
-    logs = tmp_path / "logs"
-    logs.mkdir()
-    store = RunTables(spark, str(tmp_path / "store"))
-    path = logs / "a.jsonl"
+@pytest.fixture
+def place(tmp_path):
+    (tmp_path / "logs").mkdir()
+    return tmp_path
+
+
+def streamed(spark, place, checkpoint="checkpoint", **options):
+    store = RunTables(spark, str(place / "store"))
+    query = log_stream.stream_ledger(spark, str(place / "logs"), store, str(place / checkpoint), **options)
+    query.awaitTermination(240)
+    if query.exception():
+        raise query.exception()
+    return texts(spark, place)
+
+
+def scanned(spark, place):
+    jobs.ingest(spark, str(place / "logs"), RunTables(spark, str(place / "store")))
+    return texts(spark, place)
+
+
+def texts(spark, place):
+    rows = RunTables(spark, str(place / "store")).read("ledger").collect()
+    assert len({r["record_id"] for r in rows}) == len(rows)
+    return sorted(r["text"] for r in rows)
 
-    def run():
-        lines = log_stream.read_log_stream(spark, str(logs))
-        log_stream.stream_ledger(lines, store, str(tmp_path / "checkpoint")).awaitTermination(120)
-        return sorted(r["text"] for r in store.read("ledger").collect())
 
+def test_appended_lines_are_read_once(spark, place):
+    path = place / "logs" / "a.jsonl"
     path.write_bytes(event("one") + event("two")[:-10])
-    assert run() == ["one"]
+    assert streamed(spark, place) == ["one"]
     path.write_bytes(event("one") + event("two") + event("three"))
-    (logs / "b.jsonl").write_bytes(event("four"))
-    assert run() == ["four", "one", "three", "two"]
-    assert run() == ["four", "one", "three", "two"]
-    batch = ledger.ledger_records(byte_ranges.scan_lines(spark, str(logs)))
-    assert sorted(r["record_id"] for r in batch.collect()) == sorted(
-        r["record_id"] for r in store.read("ledger").collect()
-    )
+    (place / "logs" / ".hidden").mkdir()
+    (place / "logs" / ".hidden" / "_b.jsonl").write_bytes(event("four"))
+    assert streamed(spark, place) == ["four", "one", "three", "two"]
+    assert streamed(spark, place) == ["four", "one", "three", "two"]
+    batch = ledger.ledger_records(byte_ranges.scan_lines(spark, str(place / "logs")))
+    stored = RunTables(spark, str(place / "store")).read("ledger")
+    assert sorted(r["record_id"] for r in batch.collect()) == sorted(r["record_id"] for r in stored.collect())
+
+
+def test_streams_and_scans_share_a_store(spark, place):
+    path = place / "logs" / "a.jsonl"
+    data = event("one")
+    path.write_bytes(data)
+    assert scanned(spark, place) == ["one"]
+    data += event("two")
+    path.write_bytes(data)
+    assert streamed(spark, place) == ["one", "two"]
+    assert scanned(spark, place) == ["one", "two"]
+    data += event("three")
+    path.write_bytes(data)
+    assert scanned(spark, place) == ["one", "three", "two"]
+    # A new checkpoint reads everything again; the store knows what it has.
+    data += event("four")
+    path.write_bytes(data)
+    assert streamed(spark, place, "other") == ["four", "one", "three", "two"]
+    totals = RunTables(spark, str(place / "store")).commits("ingest").select("counters").collect()
+    assert sum(r["counters"]["new_records"] for r in totals) == 4
+
+
+def test_changed_and_missing_sources_stop_a_stream(spark, place):
+    path = place / "logs" / "a.jsonl"
+    path.write_bytes(event("one"))
+    assert streamed(spark, place) == ["one"]
+    path.write_bytes(event("oNe") + event("two"))
+    with pytest.raises(Exception, match="processed bytes changed"):
+        streamed(spark, place)
+    path.rename(place / "logs" / "b.jsonl")
+    with pytest.raises(Exception, match="unavailable"):
+        streamed(spark, place)
+    assert texts(spark, place) == ["one"]
+
+
+def test_rejected_lines_are_kept(spark, place):
+    (place / "logs" / "a.jsonl").write_bytes(event("one") + b"{nope}\n")
+    assert streamed(spark, place, on_reject="quarantine") == ["one"]
+    row = RunTables(spark, str(place / "store")).read("rejected").first()
+    assert (row["source"], bytes(row["raw"]).strip(), row["byte_start"]) == ("a.jsonl", b"{nope}", len(event("one")))
 
 
 def test_ranges_of_a_batch_meet(tmp_path):
