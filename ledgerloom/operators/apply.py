@@ -62,24 +62,22 @@ def daily_entries(batches: DataFrame, entries: DataFrame) -> DataFrame:
 
 
 def batch_documents(batches: DataFrame, entries: DataFrame) -> DataFrame:
-    """Markdown of every batch with inert summaries."""
+    """Markdown of every batch: a list of inert summaries, then a table of what the batch binds."""
     short = F.transform("source_record_ids", lambda one: F.substring(one, 1, 12))
     block = F.concat(
-        F.lit("## "), F.col("entry_no").cast("string"), F.lit(". Daily entry\n\n- `entry="),
-        F.substring("entry_id", 1, 12), F.lit(" sources="), F.array_join(short, ","), F.lit("`\n- "),
-        text.inert_markdown(F.col("summary")), F.lit("\n\n"),
+        F.col("entry_no").cast("string"), F.lit(") "), text.inert_markdown(F.col("summary")),
+        F.lit("\n   (entry "), F.substring("entry_id", 1, 12), F.lit(", from "), F.array_join(short, " "), F.lit(")\n\n"),
     )
     ordered = F.array_sort(F.collect_list(F.struct("entry_no", block.alias("block"))))
     blocks = entries.groupBy("batch_id").agg(
         F.array_join(F.transform(ordered, lambda row: row["block"]), "").alias("body")
     )
+    bound = [(name, F.col(name)) for name in (PACKET, "result_sha256", "included", "omitted", "not_yet_admitted")]
+    rows = [F.concat(F.lit(f"| {name} | "), value.cast("string"), F.lit(" |\n")) for name, value in bound]
     document = F.concat(
-        F.lit("# Daily batch — "), F.col("day").cast("string"), F.lit(" ("), F.col("timezone"), F.lit(")\n\n"),
+        F.lit("# "), F.col("day").cast("string"), F.lit(", decided ("), F.col("timezone"), F.lit(")\n\n"),
         F.coalesce("body", F.lit("")),
-        F.lit("<!-- packet_sha256="), F.col(PACKET), F.lit(" result_sha256="), F.col("result_sha256"),
-        F.lit(" included="), F.col("included").cast("string"),
-        F.lit(" omitted="), F.col("omitted").cast("string"),
-        F.lit(" not_yet_admitted="), F.col("not_yet_admitted").cast("string"), F.lit(" -->\n"),
+        F.lit("| binds | value |\n| --- | --- |\n"), *rows,
     )
     return batches.join(blocks, "batch_id", "left").select("batch_id", "day", document.alias("document"))
 

@@ -75,17 +75,18 @@ def digest_items(records: DataFrame, bounds: DigestBounds | None = None) -> Data
 
 
 def _block() -> Column:
-    """Markdown block of one digest item."""
-    place = "provenance"
-    return F.concat(
-        F.lit("## "), F.col("seq").cast("string"), F.lit(". "), F.initcap("role"),
-        F.lit("\n\n- `record="), F.substring("record_id", 1, 12),
-        F.lit(" source="), F.col(f"{place}.source_ref"),
-        F.lit(" bytes="), F.col(f"{place}.byte_start").cast("string"),
-        F.lit("-"), F.col(f"{place}.byte_end").cast("string"),
-        F.lit(" text="), F.substring("text_sha256", 1, 12),
-        F.lit("`\n- "), F.col("excerpt"), F.lit("\n\n"),
+    """One digest item: a bold number with role and origin, then the excerpt as a quotation."""
+    start, end = F.col("provenance.byte_start"), F.col("provenance.byte_end")
+    origin = F.concat_ws(
+        " · ",
+        F.concat(F.lit("**"), F.col("seq").cast("string"), F.lit("** "), F.col("role")),
+        F.substring("record_id", 1, 12),
+        F.concat(
+            F.col("provenance.source_ref"), F.lit(" @ "), start.cast("string"), F.lit(" + "), (end - start).cast("string")
+        ),
+        F.substring("text_sha256", 1, 12),
     )
+    return F.concat(origin, F.lit("\n\n> "), F.col("excerpt"), F.lit("\n\n"))
 
 
 def selected_days(items: DataFrame, with_blocks: bool = False) -> DataFrame:
@@ -146,12 +147,11 @@ def digest_documents(
     """One Markdown document per day, with the counts and hash of ``digest_summary``."""
     chosen = selected_days(digest_items(records, bounds), with_blocks=True)
     document = F.concat(
-        F.lit("# Daily digest — "), F.col("day").cast("string"), F.lit(f" ({zone})\n\n"),
-        F.lit("Local chronological excerpts only; not a summary.\n\n"),
+        F.lit("# "), F.col("day").cast("string"), F.lit(f" in {zone}\n\n"),
         F.coalesce("blocks", F.lit("")),
-        F.lit("<!-- provenance=v1 records="), F.col("records").cast("string"),
-        F.lit(" omitted="), F.col("omitted").cast("string"),
-        F.lit(" selection_sha256="), F.col("selection_sha256"), F.lit(" -->\n"),
+        F.lit("---\n\nShown "), F.col("records").cast("string"),
+        F.lit(", left out "), F.col("omitted").cast("string"),
+        F.lit(", selection "), F.col("selection_sha256"), F.lit("\n"),
     )
     return _with_omitted(records, chosen, days).select("day", document.alias("document"))
 

@@ -88,14 +88,12 @@ def omitted_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 _RENDER_SQL = """
-SELECT day, '# Daily digest — ' || day || ' (Asia/Seoul)' || chr(10) || chr(10)
-  || 'Local chronological excerpts only; not a summary.' || chr(10) || chr(10)
-  || string_agg('## ' || seq || '. ' || upper(left(role, 1)) || substr(role, 2) || chr(10) || chr(10)
-     || '- `record=' || left(record_id, 12) || ' source=' || source_ref || ' bytes=' || byte_start || '-'
-     || byte_end || ' text=' || left(text_sha256, 12) || '`' || chr(10) || '- ' || excerpt || chr(10) || chr(10),
-     '' ORDER BY seq)
-  || '<!-- provenance=v1 records=' || any_value(records) || ' omitted=' || any_value(omitted)
-  || ' selection_sha256=' || any_value(selection_sha256) || ' -->' || chr(10) AS document
+SELECT day, '# ' || day || ' in Asia/Seoul' || chr(10) || chr(10)
+  || string_agg('**' || seq || '** ' || role || ' · ' || left(record_id, 12) || ' · ' || source_ref || ' @ '
+     || byte_start || ' + ' || (byte_end - byte_start) || ' · ' || left(text_sha256, 12) || chr(10) || chr(10)
+     || '> ' || excerpt || chr(10) || chr(10), '' ORDER BY seq)
+  || '---' || chr(10) || chr(10) || 'Shown ' || any_value(records) || ', left out ' || any_value(omitted)
+  || ', selection ' || any_value(selection_sha256) || chr(10) AS document
 FROM digest_items JOIN (""" + _SUMMARY_SQL + """) USING (day) GROUP BY day
 """
 

@@ -31,9 +31,9 @@ def _frontier(spark: SparkSession, sf: str, offsets: DataFrame | None = None) ->
     )
 
 
-def _scan(spark: SparkSession, frontier: DataFrame, range_bytes: int) -> DataFrame:
-    ranges = byte_ranges.byte_ranges(frontier, range_bytes)
-    return byte_ranges.read_lines(ranges, spark.sparkContext.defaultParallelism)
+def _scan(spark: SparkSession, frontier: DataFrame) -> DataFrame:
+    tasks = byte_ranges.task_count(spark, frontier)
+    return byte_ranges.read_lines(byte_ranges.byte_ranges(frontier), tasks)
 
 
 @query(
@@ -44,8 +44,8 @@ def _scan(spark: SparkSession, frontier: DataFrame, range_bytes: int) -> DataFra
     ),
 )
 def scan_byte_lines(spark: SparkSession, sf: str) -> DataFrame:
-    """Log files read in ranges much smaller than a file."""
-    lines = _scan(spark, _frontier(spark, sf), 1_500)
+    """Complete lines of all log files with their byte addresses."""
+    lines = _scan(spark, _frontier(spark, sf))
     return lines.select("source", "byte_start", "byte_end", F.sha2("raw", 256).alias("event_sha256"))
 
 
@@ -87,7 +87,7 @@ offsets AS (SELECT source, min(byte_end) AS first_end, max(byte_end) AS saved FR
 def incremental_resume(spark: SparkSession, sf: str) -> DataFrame:
     """Only the bytes after each log's saved offset, here the end of its first line."""
     offsets = _saved_offsets(spark, sf).select("source", F.col("first_end").alias("offset"))
-    lines = _scan(spark, _frontier(spark, sf, offsets), 64 * 1024)
+    lines = _scan(spark, _frontier(spark, sf, offsets))
     return lines.select("source", "byte_start", "byte_end", F.sha2("raw", 256).alias("event_sha256"))
 
 

@@ -169,12 +169,12 @@ def test_digests_and_archive(spark, logs, store, tmp_path):
     jobs.write_daily_digests(store, folder)
     whole = documents_in(folder)
     assert set(whole) == {"2024-07-24", "2024-07-25"}
-    assert whole["2024-07-24"].count("## ") == 2 and whole["2024-07-24"].endswith("-->\n")
+    assert whole["2024-07-24"].count("\n> ") == 2 and whole["2024-07-24"].endswith("\n")
     jobs.write_daily_digests(store, folder, bounds=DigestBounds(max_records=1), days=days)
     part = documents_in(folder)
     assert part["2024-07-25"] == whole["2024-07-25"]
-    assert part["2024-07-24"].count("## ") == 1 and "records=1 omitted=1" in part["2024-07-24"]
-    assert "records=0 omitted=0" in part["2024-07-30"]
+    assert part["2024-07-24"].count("\n> ") == 1 and "Shown 1, left out 1," in part["2024-07-24"]
+    assert "Shown 0, left out 0," in part["2024-07-30"]
     dry = jobs.archive_digests(spark, folder, archive, "2024-07-31", 5)
     assert sorted(str(r["day"]) for r in dry.collect()) == ["2024-07-24", "2024-07-25"]
     assert not store.exists(archive)
@@ -243,7 +243,7 @@ def test_all_omitted_batch_closes(spark, logs, store, tmp_path):
     entries, _ = decide(items.where("false"))
     assert jobs.apply_daily(store, prepared, entries, omitted) == 1
     assert jobs.prepare_daily_packets(store).count() == 0
-    assert "included=0 omitted=2" in store.read("batch_documents").first()["document"]
+    assert "| included | 0 |\n| omitted | 2 |" in store.read("batch_documents").first()["document"]
 
 
 def test_documents_are_created_and_replaced(spark, logs, store, tmp_path):
