@@ -156,17 +156,26 @@ def packet_build(spark: SparkSession, sf: str) -> DataFrame:
     "packet_budget_check",
     o.with_(
         _PACKETS,
-        """SELECT p.packet_sha256, count(*) AS items, CAST(max(bytes) AS BIGINT) AS max_item_bytes,
-           CAST(sum(bytes) AS BIGINT) AS total_bytes, sum(bytes) <= 12000 AS within_bounds
-           FROM items JOIN packets p USING (day) GROUP BY 1""",
+        """SELECT packet_sha256, CAST(bound AS BIGINT) AS limit_bytes, items, max_item_bytes, total_bytes,
+           total_bytes <= bound AS within_bounds
+           FROM (SELECT p.packet_sha256, count(*) AS items, CAST(max(bytes) AS BIGINT) AS max_item_bytes,
+                 CAST(sum(bytes) AS BIGINT) AS total_bytes FROM items JOIN packets p USING (day) GROUP BY 1),
+           (VALUES (12000), (16000)) AS l(bound)""",
     ),
 )
 def packet_budget_check(spark: SparkSession, sf: str) -> DataFrame:
-    """Packets against a smaller total than they were built with."""
-    tighter = PacketBounds(BOUNDS.max_items, BOUNDS.item_bytes, 12_000)
+    """Packets against a smaller total than they were built with, and against their own."""
     rows = packets.exploded_items(sample_packets(spark, sf))
-    checked = packets.budget_check(rows, ["packet_sha256"], tighter)
-    return checked.select("packet_sha256", "items", "max_item_bytes", "total_bytes", "within_bounds")
+
+    def checked(total: int) -> DataFrame:
+        bounds = PacketBounds(BOUNDS.max_items, BOUNDS.item_bytes, total)
+        found = packets.budget_check(rows, ["packet_sha256"], bounds)
+        return found.select(
+            "packet_sha256", F.lit(total).cast("bigint").alias("limit_bytes"), "items", "max_item_bytes",
+            "total_bytes", "within_bounds",
+        )
+
+    return checked(12_000).unionByName(checked(BOUNDS.total_bytes))
 
 
 @query(

@@ -98,45 +98,57 @@ def safe_text_check(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "identifier_check",
-    """SELECT doc_id, regexp_full_match(sha256(text), '[0-9a-f]{64}') AS sha_is_hex64,
-       regexp_full_match(md5(text), '[0-9a-f]{32}') AS md5_is_hex32,
+    """SELECT doc_id, regexp_full_match(CASE doc_id % 3 WHEN 0 THEN sha256(text) WHEN 1 THEN left(sha256(text), 63)
+         ELSE upper(sha256(text)) END, '[0-9a-f]{64}') AS sha_is_hex64,
+       regexp_full_match(CASE WHEN doc_id % 4 = 0 THEN md5(text) || '0' ELSE md5(text) END, '[0-9a-f]{32}') AS md5_is_hex32,
        regexp_full_match(word, '[a-z0-9](?:[a-z0-9-]{0,62}[a-z0-9])?') AS word_is_slug,
        regexp_full_match(word, '[A-Za-z0-9][A-Za-z0-9._:/-]{0,99}') AS word_is_model,
        word IN ('low', 'medium', 'high', 'xhigh', 'max', 'ultra') AS word_is_effort
-       FROM (SELECT *, split_part(text, ' ', 2) AS word FROM documents)""",
+       FROM (SELECT *, CASE doc_id % 5 WHEN 0 THEN 'high' WHEN 1 THEN 'High' ELSE split_part(text, ' ', 2) END AS word
+             FROM documents)""",
 )
 def identifier_check(spark: SparkSession, sf: str) -> DataFrame:
-    word = F.split_part("text", F.lit(" "), F.lit(2))
+    """Words and hashes of documents, some cut, lengthened or in capitals, against the identifier forms."""
+    number = F.col("doc_id")
+    second = F.split_part("text", F.lit(" "), F.lit(2))
+    word = F.when(number % 5 == 0, "high").when(number % 5 == 1, "High").otherwise(second)
+    sha = ident.sha256_hex(F.col("text"))
+    shaped = F.when(number % 3 == 0, sha).when(number % 3 == 1, F.left(sha, F.lit(63))).otherwise(F.upper(sha))
+    md5 = F.when(number % 4 == 0, F.concat(F.md5("text"), F.lit("0"))).otherwise(F.md5("text"))
     return table(spark, sf, "documents").select(
         "doc_id",
-        ident.is_hex64(ident.sha256_hex(F.col("text"))).alias("sha_is_hex64"),
-        ident.is_hex32(F.md5("text")).alias("md5_is_hex32"),
+        ident.is_hex64(shaped).alias("sha_is_hex64"),
+        ident.is_hex32(md5).alias("md5_is_hex32"),
         ident.is_slug(word).alias("word_is_slug"),
         ident.is_model_id(word).alias("word_is_model"),
         ident.is_effort(word).alias("word_is_effort"),
     )
 
 
-def _sql_pattern(name: str) -> str:
-    return hygiene.PRIVATE_PATTERNS[name]
-
-
+# The check's own statement of the patterns.
+_PRIVATE_SQL = {
+    "mac_home_path": r"/Users/[A-Za-z0-9_.-]+/",
+    "linux_home_path": r"/home/[A-Za-z0-9_.-]+/",
+    "secret_key": r"sk-[A-Za-z0-9]{16,}",
+    "uuid": r"(?i)\b[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}\b",
+}
 _PATTERN_UNION = " UNION ALL ".join(
     f"SELECT origin, '{name}' AS pattern, count(*) FILTER (WHERE regexp_matches(body, '{pattern}')) AS hits, "
     f"count(*) FILTER (WHERE first = '{name}') AS findings FROM found GROUP BY origin"
-    for name, pattern in hygiene.PRIVATE_PATTERNS.items()
-)
-_FIRST = " ".join(
-    f"WHEN regexp_matches(body, '{pattern}') THEN '{name}'"
-    for name, pattern in hygiene.PRIVATE_PATTERNS.items()
+    for name, pattern in _PRIVATE_SQL.items()
 )
+_FIRST = " ".join(f"WHEN regexp_matches(body, '{pattern}') THEN '{name}'" for name, pattern in _PRIVATE_SQL.items())
 
 
 @query(
     "private_data_scan",
     f"""WITH texts AS (SELECT 'documents' AS origin, text AS body FROM documents UNION ALL
         SELECT 'pages', html FROM pages UNION ALL SELECT 'conversations', text FROM conversations
-        UNION ALL SELECT 'home_links', '/home/' || regexp_extract(url, '^https?://(.*)$', 1) FROM pages),
+        UNION ALL SELECT 'made', CASE page_id % 6
+          WHEN 0 THEN '/home/' || regexp_extract(url, '^https?://(.*)$', 1) || '/x'
+          WHEN 1 THEN '/Users/me/' || url WHEN 2 THEN 'key sk-' || md5(url) WHEN 3 THEN 'sk-' || left(md5(url), 15)
+          WHEN 4 THEN 'id ' || regexp_replace(upper(md5(url)), '^(.{{8}})(.{{4}})(.{{4}})(.{{4}})(.{{12}})$', '\\1-\\2-\\3-\\4-\\5')
+          ELSE '/home/a/ and /Users/b/ and sk-' || md5(url) END FROM pages),
         found AS (SELECT *, CASE {_FIRST} END AS first FROM texts)
         {_PATTERN_UNION}""",
 )
@@ -146,12 +158,21 @@ def private_data_scan(spark: SparkSession, sf: str) -> DataFrame:
     def texts(name: str, column: Column, origin: str | None = None) -> DataFrame:
         return table(spark, sf, name).select(F.lit(origin or name).alias("origin"), column.alias("body"))
 
-    link = F.concat(F.lit("/home/"), F.regexp_extract("url", r"^https?://(.*)$", 1))
+    kind, url = F.col("page_id") % 6, F.col("url")
+    dashed = F.regexp_replace(F.upper(F.md5(url)), "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5")
+    made = (
+        F.when(kind == 0, F.concat(F.lit("/home/"), F.regexp_extract("url", r"^https?://(.*)$", 1), F.lit("/x")))
+        .when(kind == 1, F.concat(F.lit("/Users/me/"), url))
+        .when(kind == 2, F.concat(F.lit("key sk-"), F.md5(url)))
+        .when(kind == 3, F.concat(F.lit("sk-"), F.left(F.md5(url), F.lit(15))))
+        .when(kind == 4, F.concat(F.lit("id "), dashed))
+        .otherwise(F.concat(F.lit("/home/a/ and /Users/b/ and sk-"), F.md5(url)))
+    )
     everything = (
         texts("documents", F.col("text"))
         .unionByName(texts("pages", F.col("html")))
         .unionByName(texts("conversations", F.col("text")))
-        .unionByName(texts("pages", link, "home_links"))
+        .unionByName(texts("pages", made, "made"))
     )
     flags = hygiene.private_pattern_hits(F.col("body"))
     found = with_once(everything, **flags)
@@ -276,13 +297,20 @@ def strict_json_events(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "closed_keys",
-    """SELECT event_type, count(*) AS events, count(*) FILTER (WHERE json_keys(props) = ['k']) AS exact_k,
-       CAST(0 AS BIGINT) AS exact_k_and_v FROM events GROUP BY event_type""",
+    """SELECT event_type, count(*) AS events, count(*) FILTER (WHERE list_sort(json_keys(body)) = ['k']) AS exact_k,
+       count(*) FILTER (WHERE list_sort(json_keys(body)) = ['k', 'v']) AS exact_k_and_v
+       FROM (SELECT event_type, CASE event_id % 4 WHEN 1 THEN regexp_replace(props, '}$', ', "v": 1}')
+             WHEN 2 THEN '{"v": 2}' ELSE props END AS body FROM events) GROUP BY event_type""",
 )
 def closed_keys(spark: SparkSession, sf: str) -> DataFrame:
-    parsed = with_once(
-        table(spark, sf, "events").select("event_type", "props"), v=F.try_parse_json("props")
+    """Properties with a key added or replaced in some events."""
+    kind = F.col("event_id") % 4
+    body = (
+        F.when(kind == 1, F.regexp_replace("props", r"\}$", ', "v": 1}'))
+        .when(kind == 2, F.lit('{"v": 2}'))
+        .otherwise(F.col("props"))
     )
+    parsed = with_once(table(spark, sf, "events").select("event_type", body.alias("body")), v=F.try_parse_json("body"))
     return parsed.groupBy("event_type").agg(
         F.count("*").alias("events"),
         F.count_if(events.has_exact_keys(F.col("v"), ("k",))).alias("exact_k"),
