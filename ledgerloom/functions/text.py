@@ -137,9 +137,19 @@ def escape_markdown(text: Column) -> Column:
     return F.regexp_replace(text, MARKDOWN_CLASS, r"\\$1")
 
 
+def _visible_head(text: Column, count: int) -> Column:
+    """The text up to its ``count``-th visible character that is no white space."""
+    skipped = INVISIBLE_CLASS[1:-1] + WHITESPACE_CLASS[1:-1]
+    return F.regexp_extract(text, rf"\A(?:[{skipped}]*+[^{skipped}]){{0,{count}}}+", 0)
+
+
 def excerpt(text: Column, max_bytes: int) -> Column:
-    """One-line inert excerpt. Escaping comes before the byte cut."""
-    visible = F.regexp_replace(text, INVISIBLE_CLASS, "")
+    """One-line inert excerpt. Escaping comes before the byte cut.
+
+    Every visible character gives a byte at least, so what lies past one more than
+    ``max_bytes`` of them cannot be in the excerpt and is not looked at.
+    """
+    visible = F.regexp_replace(_visible_head(text, max_bytes + 1), INVISIBLE_CLASS, "")
     return truncate_utf8(escape_markdown(collapse_whitespace(visible)), max_bytes)
 
 
@@ -157,7 +167,7 @@ def is_safe_text(
         (strip(text) != "")
         & ~text.rlike(FORBIDDEN_CLASS)
         & (F.octet_length(text) <= max_bytes)
-        & is_nfc(text)
+        & is_nfc(F.when(F.octet_length(text) <= max_bytes, text))
     )
     if max_chars is not None:
         ok = ok & (F.char_length(text) <= max_chars)

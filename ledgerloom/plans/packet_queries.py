@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from ledgerloom.bounds import PacketBounds
 from ledgerloom.functions import ident
-from ledgerloom.functions import ident
 from ledgerloom.operators import apply, packets
 from ledgerloom.plans import oracle_ctes as o
 from ledgerloom.plans.daily_queries import daily_records

@@ -167,3 +167,17 @@ def test_casefold(spark):
     values = ["Straße", "STRASSE", "Σίσυφος", "ﬁx", "Plain/Path", "É"]
     found = evaluate(spark, values, out=text.casefold(F.col("t")))
     assert [row["out"] for row in found] == [value.casefold() for value in values]
+
+
+def test_excerpt_reads_no_more_than_it_needs(spark):
+    rng = random.Random(6)
+    bits = ["a", "é", "<", "*", " ", "  ", "\n", "\u200b", "\u2028", "\x85", "😀"]
+    values = ["".join(rng.choice(bits) for _ in range(rng.randint(0, 80))) for _ in range(400)] + ["", " \n", "\u200b" * 9]
+    df = spark.createDataFrame([(v,) for v in values], "t string")
+
+    def whole(column):
+        visible = F.regexp_replace(column, text.INVISIBLE_CLASS, "")
+        return text.truncate_utf8(text.escape_markdown(text.collapse_whitespace(visible)), 24)
+
+    wrong = df.where(text.excerpt(F.col("t"), 24) != whole(F.col("t")))
+    assert wrong.count() == 0
