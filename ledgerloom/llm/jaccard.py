@@ -14,8 +14,12 @@ are indexed by one tree each, or by several tiles when they are large.
 
 Equal sets are one class from the start, so copies cost nothing. Each cell contributes
 edges to its smallest member only, first within a task and then over tasks, so no cell
-emits its pairs and none is gathered. Trees skip pairs that earlier links connect, so
-links are a spanning set: enough for classes and far fewer than pairs.
+emits its pairs and none is gathered. Where classes are all that is asked for, trees skip
+pairs that earlier links connect, so links are a spanning set: enough for classes and far
+fewer than pairs. With ``count_links`` every linked pair is compared and counted, one tile or
+pair of tiles in a task, and a task still emits one number a set and a spanning set of
+links, never the pairs. Counting takes time in proportion to the pairs in large groups of near
+copies that all differ.
 
 Sets are told apart by 64-bit hashes. A link can be missed only if all difference-free
 blocks of a pair hold too few n-grams; up to six partitions are tried for small texts,
@@ -23,7 +27,8 @@ which leaves a chance far below 1e-9 for a pair right at the threshold.
 
 Defined results: null and empty texts, and texts without words, have no n-grams and link
 with nothing; a text shorter than the n-gram length is one n-gram; rows without an id
-link with nothing and get no component; repeated ids and rows each get a result row; an
+link with nothing and get no component; repeated ids and rows each get a result row, and
+the links of a row are the other rows with an id that it links with; an
 empty table gives no rows; other columns of the input are not read.
 """
 
@@ -62,7 +67,7 @@ class Threshold:
     numerator: int
     denominator: int = 100
 
-    def links(self, overlap: int, left: int, right: int) -> bool:
+    def links(self, overlap: np.ndarray | int, left: int, right: np.ndarray | int) -> np.ndarray | bool:
         return self.denominator * overlap >= self.numerator * (left + right - overlap)
 
     def overlap_needed(self, left: int, right: np.ndarray | int) -> np.ndarray | int:
@@ -199,6 +204,15 @@ def _root(parent: list[int], node: int) -> int:
     return node
 
 
+def _points(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Group counts of each set, on about as many groups as a set has n-grams, and the sizes."""
+    sizes = np.array([len(s) for s in sets], dtype=np.int64)
+    groups = 1 << int(np.clip(np.ceil(np.log2(max(1, np.median(sizes)))), 4, 12))
+    mask = np.uint64(groups - 1)
+    vectors = np.array([np.bincount((s & mask).astype(np.int64), minlength=groups) for s in sets], dtype=np.int32)
+    return vectors, sizes
+
+
 def spanning_links(
     sets: list[np.ndarray], asks: np.ndarray, threshold: Threshold
 ) -> list[tuple[int, int]]:
@@ -207,10 +221,7 @@ def spanning_links(
     The first set is compared with all others before, so that a group of near copies
     is connected by as many comparisons as it has members.
     """
-    sizes = np.array([len(s) for s in sets], dtype=np.int64)
-    groups = 1 << int(np.clip(np.ceil(np.log2(max(1, np.median(sizes)))), 4, 12))
-    mask = np.uint64(groups - 1)
-    vectors = np.array([np.bincount((s & mask).astype(np.int64), minlength=groups) for s in sets], dtype=np.int32)
+    vectors, sizes = _points(sets)
     parent = list(range(len(sets)))
     links = []
 
@@ -235,6 +246,46 @@ def spanning_links(
     return links
 
 
+def counted_links(
+    sets: list[np.ndarray], asks: np.ndarray, copies: np.ndarray, threshold: Threshold, across: bool
+) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    """Copies of the sets that each set links with, and links that connect what all links connect.
+
+    ``across`` counts pairs of an asking set and one that does not ask; else all sets ask
+    and every pair counts once.
+    """
+    vectors, sizes = _points(sets)
+    tree = CountTree(vectors, sizes)
+    values, numbers = np.unique(np.concatenate(sets), return_inverse=True)
+    grams = np.split(numbers, np.cumsum(sizes)[:-1])
+    held = np.zeros(len(values), np.int64)
+    counts = np.zeros(len(sets), np.int64)
+    parent = list(range(len(sets)))
+    spanning = []
+    waiting = ~asks if across else np.ones(len(sets), bool)
+    for i in np.flatnonzero(asks).tolist():
+        waiting[i] = False
+        found = tree.search(vectors[i], int(sizes[i]), threshold)
+        found = found[waiting[found]]
+        if len(found) == 0:
+            continue
+        held[grams[i]] = 1
+        starts = np.cumsum(sizes[found]) - sizes[found]
+        common = np.add.reduceat(held[np.concatenate([grams[j] for j in found])], starts)
+        held[grams[i]] = 0
+        linked = found[threshold.links(common, int(sizes[i]), sizes[found])]
+        counts[i] += copies[linked].sum()
+        counts[linked] += copies[i]
+        if len(spanning) == len(sets) - 1:
+            continue
+        for j in linked.tolist():
+            a, b = _root(parent, i), _root(parent, j)
+            if a != b:
+                parent[max(a, b)] = min(a, b)
+                spanning.append((i, j))
+    return counts, spanning
+
+
 def _digests(length: int):
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -331,14 +382,17 @@ def _hub_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(out[0]), pa.array(out[1])], names=["u", "v"])
 
 
-def _group_links(length: int, threshold: Threshold):
+def _group_links(length: int, threshold: Threshold, counting: str = ""):
+    """Links of one group; ``counting`` is empty, or "inner" or "across" for rows (u, u, number of links) too."""
+
     def work(group: pa.Table) -> pa.RecordBatch | None:
         group = group.combine_chunks()
         texts = pa.chunked_array(group.column("_text").chunks, pa.string()).combine_chunks()
-        sets, keys, asks = [], [], []
+        sets, keys, asks, copies = [], [], [], []
         seen = {}
         wanted = group.column("key").to_pylist()
         asking = group.column("asks").to_pylist()
+        repeats = group.column("copies").to_pylist()
         # The smallest key first: the hub that most members share.
         order = sorted(range(len(wanted)), key=lambda row: wanted[row])
         all_sets = words.distinct_runs(texts, length)
@@ -353,12 +407,25 @@ def _group_links(length: int, threshold: Threshold):
             sets.append(all_sets[row])
             keys.append(key)
             asks.append(asking[row])
+            copies.append(repeats[row])
         if len(sets) < 2:
             return None
-        links = spanning_links(sets, np.array(asks, bool), threshold)
+        if counting:
+            counts, links = counted_links(
+                sets, np.array(asks, bool), np.array(copies, np.int64), threshold, counting == "across"
+            )
+        else:
+            counts, links = np.zeros(len(sets), np.int64), spanning_links(sets, np.array(asks, bool), threshold)
+        linked = np.flatnonzero(counts)
+        names = np.array(keys, np.int64)
+        ends = np.array(links, np.int64).reshape(-1, 2)
         return pa.RecordBatch.from_arrays(
-            [pa.array([keys[i] for i, _ in links], pa.int64()), pa.array([keys[j] for _, j in links], pa.int64())],
-            names=["u", "v"],
+            [
+                pa.array(np.concatenate([names[ends[:, 0]], names[linked]])),
+                pa.array(np.concatenate([names[ends[:, 1]], names[linked]])),
+                pa.array(np.concatenate([np.zeros(len(ends), np.int64), counts[linked]])),
+            ],
+            names=["u", "v", "n"],
         )
 
     return work
@@ -366,20 +433,28 @@ def _group_links(length: int, threshold: Threshold):
 
 @dataclass(frozen=True)
 class Joined:
-    """members: (id, n_shingles, class_id, component_id); links: spanning (u, v) between classes' ids."""
+    """members: (id, n_shingles, class_id, component_id, n_links); links: spanning pairs of classes' ids.
+
+    ``n_links`` is there if links were counted.
+    """
 
     members: DataFrame
     links: DataFrame
 
 
 def join(
-    df: DataFrame, threshold: Threshold, length: int, id_column: str = "doc_id", text_column: str = "text"
+    df: DataFrame,
+    threshold: Threshold,
+    length: int,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    count_links: bool = False,
 ) -> Joined:
-    """Classes of texts connected by similarities of at least ``threshold``."""
+    """Classes of texts connected by similarities of at least ``threshold``; ``count_links`` adds each row's links."""
     source = df.select(F.col(id_column).cast("bigint").alias("_id"), F.col(text_column).alias("_text"))
     digests = stored(source.mapInArrow(_digests(length), "id long, n_shingles long, key long"), "digests")
     classes = digests.where("n_shingles > 0 AND id IS NOT NULL").groupBy("key").agg(
-        F.min("id").alias("class_id"), F.first("n_shingles").alias("n")
+        F.min("id").alias("class_id"), F.first("n_shingles").alias("n"), F.count("*").alias("copies")
     )
     cells = source.where("_id IS NOT NULL").mapInArrow(
         _cell_rows(length, threshold), "cell long, key long, hub long"
@@ -391,31 +466,39 @@ def join(
     )
     parts = components(edges)
     members = stored(
-        parts.join(classes, parts["node"] == classes["key"]).select("key", "class_id", "n", "component"), "parts"
+        parts.join(classes, parts["node"] == classes["key"]).select("key", "class_id", "n", "copies", "component"),
+        "parts",
     )
-    links = stored(_links(source, members, threshold, length), "links")
+    links = stored(_links(source, members, threshold, length, count_links), "links")
     linked = components(links)
     named = linked.join(classes, linked["node"] == classes["key"])
     least = named.groupBy("component").agg(F.min("class_id").alias("component_id"))
     found = named.join(least, "component").select("key", "component_id")
-    by_key = classes.select("key", "class_id").join(found, "key", "left")
+    by_key = classes.select("key", "class_id", "copies").join(found, "key", "left")
+    counted = []
+    if count_links:
+        sums = links.where("n > 0").groupBy(F.col("u").alias("key")).agg(F.sum("n").alias("n"))
+        by_key = by_key.join(sums, "key", "left")
+        direct = F.coalesce("n", F.lit(0)) + F.coalesce(F.col("copies") - 1, F.lit(0))
+        counted = [F.when(F.col("id").isNotNull(), direct).otherwise(0).cast("bigint").alias("n_links")]
     rows = digests.join(by_key, "key", "left").select(
         "id",
         "n_shingles",
         F.when(F.col("id").isNotNull(), F.coalesce("class_id", "id")).alias("class_id"),
         F.when(F.col("id").isNotNull(), F.coalesce("component_id", "class_id", "id")).alias("component_id"),
+        *counted,
     )
     ids = classes.select("key", "class_id")
     named_links = (
-        links.join(ids.select(F.col("key").alias("u"), F.col("class_id").alias("left_id")), "u")
+        links.where("u <> v").join(ids.select(F.col("key").alias("u"), F.col("class_id").alias("left_id")), "u")
         .join(ids.select(F.col("key").alias("v"), F.col("class_id").alias("right_id")), "v")
         .select("left_id", "right_id")
     )
     return Joined(rows.withColumnRenamed("id", id_column), named_links)
 
 
-def _links(source: DataFrame, members: DataFrame, threshold: Threshold, length: int) -> DataFrame:
-    """Spanning links inside the parts, with the texts of their members read once more."""
+def _links(source: DataFrame, members: DataFrame, threshold: Threshold, length: int, count_links: bool) -> DataFrame:
+    """Spanning links inside the parts, with the texts of their members read once more, and counts of all links."""
     sizes = members.groupBy("component").agg(
         F.ceil(F.sum("n") / TILE_NGRAMS).cast("int").alias("tiles")
     )
@@ -423,27 +506,44 @@ def _links(source: DataFrame, members: DataFrame, threshold: Threshold, length:
         "tile", F.pmod(F.xxhash64("key"), F.col("tiles")).cast("int")
     )
     rows = members.count()
-    wanted = tiled.select("class_id", "key", "component", "tiles", "tile")
+    wanted = tiled.select("class_id", "key", "copies", "component", "tiles", "tile")
     if rows <= BROADCAST_ROWS:
         wanted = F.broadcast(wanted)
     text = source.join(wanted, source["_id"] == wanted["class_id"]).drop("_id", "class_id")
     large = members.join(sizes.where("tiles > 1"), "component").limit(1).count() > 0
     if large:
         text = stored(text, "texts")
-    schema = "u long, v long"
+    schema = "u long, v long, n long"
     # A part's hub, its smallest key, is compared with every tile of the part.
     hub = F.col("key") == F.col("component")
     homes = F.when(hub, F.sequence(F.lit(0), F.col("tiles") - 1)).otherwise(F.array("tile"))
     inner = by_group(
         text.withColumn("home", F.explode(homes)).select(
-            "component", "home", "key", F.lit(True).alias("asks"), "_text"
+            "component", "home", "key", "copies", F.lit(True).alias("asks"), "_text"
         ),
         ["component", "home"],
-        _group_links(length, threshold),
+        _group_links(length, threshold, "inner" if count_links else ""),
         schema,
     )
     if not large:
         return inner
+    if count_links:
+        # The hub has met every tile already; all others meet the other tiles of their part.
+        pairs = text.where(~hub & (F.col("tiles") > 1)).withColumn(
+            "other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))
+        )
+        meetings = pairs.where("other <> tile").select(
+            "component",
+            F.least("tile", "other").alias("low"),
+            F.greatest("tile", "other").alias("high"),
+            "key",
+            "copies",
+            (F.col("tile") < F.col("other")).alias("asks"),
+            "_text",
+        )
+        return inner.union(
+            by_group(meetings, ["component", "low", "high"], _group_links(length, threshold, "across"), schema)
+        )
     inner = stored(inner, "inner")
     merged = components(inner).withColumnRenamed("component", "root")
     big = text.where("tiles > 1")
@@ -455,11 +555,12 @@ def _links(source: DataFrame, members: DataFrame, threshold: Threshold, length:
         F.col("tile").alias("open_tile"),
         F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("home"),
         "key",
+        "copies",
         F.lit(True).alias("asks"),
         "_text",
     )
     met = big.join(open_tiles, "component").select(
-        "component", "open_tile", F.col("tile").alias("home"), "key", F.lit(False).alias("asks"), "_text"
+        "component", "open_tile", F.col("tile").alias("home"), "key", "copies", F.lit(False).alias("asks"), "_text"
     )
     across = by_group(
         asked.union(met), ["component", "open_tile", "home"], _group_links(length, threshold), schema

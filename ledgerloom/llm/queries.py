@@ -25,9 +25,9 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents linked at 90 percent of three-word shingles, with their components."""
-    joined = jaccard.join(_documents(spark, sf_dir), jaccard.Threshold(90), length=3)
-    return joined.members.select("doc_id", "n_shingles", "component_id", "class_id")
+    """Documents linked at 90 percent of three-word shingles, with their components and numbers of links."""
+    joined = jaccard.join(_documents(spark, sf_dir), jaccard.Threshold(90), length=3, count_links=True)
+    return joined.members.select("doc_id", "n_shingles", "component_id", "class_id", "n_links")
 
 
 OP1_SQL = r"""
@@ -51,12 +51,15 @@ reach(doc_id, r) AS (
     SELECT doc_id, doc_id FROM d UNION SELECT reach.doc_id, v FROM reach JOIN links ON r = u
 ),
 c AS (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id),
+direct AS (SELECT u AS doc_id, count(*) AS n_links FROM links GROUP BY u),
 same AS (
     SELECT doc_id, coalesce(min(doc_id) OVER (PARTITION BY g), doc_id) AS class_id
     FROM (SELECT doc_id, list_sort(list(g)) AS g FROM s GROUP BY doc_id)
 )
-SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id, coalesce(class_id, d.doc_id) AS class_id
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id, coalesce(class_id, d.doc_id) AS class_id,
+    coalesce(n_links, 0)::BIGINT AS n_links
 FROM d LEFT JOIN n USING (doc_id) JOIN c USING (doc_id) LEFT JOIN same USING (doc_id)
+    LEFT JOIN direct USING (doc_id)
 """
 
 

@@ -44,6 +44,20 @@ def brute(rows, length, threshold):
     )
 
 
+def brute_counts(rows, length, threshold):
+    """(id, number of other rows linked) of every row, by all pairs."""
+    sets = [(i, shingles(text, length)) for i, text in rows]
+
+    def linked(a, b):
+        (i, left), (j, right) = sets[a], sets[b]
+        if a == b or i is None or j is None or not left or not right:
+            return False
+        return threshold.links(len(left & right), len(left), len(right))
+
+    every = range(len(sets))
+    return sorted(((sets[a][0], sum(linked(a, b) for b in every)) for a in every), key=str)
+
+
 def near_copies(seed=3, groups=6):
     """Groups of copies and near copies, chains that drift apart, and unrelated texts."""
     rng = random.Random(seed)
@@ -83,10 +97,24 @@ def test_components_match_all_pairs(spark, monkeypatch, numerator, length, tile)
     assert got == brute(rows, length, threshold)
 
 
+@pytest.mark.parametrize(("numerator", "length", "tile"), [(90, 3, 1_000_000), (80, 5, 1_000_000), (80, 3, 600)])
+def test_links_are_counted_as_by_all_pairs(spark, monkeypatch, numerator, length, tile):
+    monkeypatch.setattr(jaccard, "TILE_NGRAMS", tile)
+    rows = near_copies(4)
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS n", "2 AS copies", "3 AS n_links")
+    threshold = jaccard.Threshold(numerator)
+    found = jaccard.join(df, threshold, length, count_links=True).members.collect()
+    assert sorted(((r["doc_id"], r["n_links"]) for r in found), key=str) == brute_counts(rows, length, threshold)
+    components = sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in found), key=str)
+    assert components == brute(rows, length, threshold)
+
+
 def test_empty_table(spark):
     found = jaccard.join(spark.createDataFrame([], "doc_id long, text string"), jaccard.Threshold(90), 3)
     assert found.members.columns[:2] == ["doc_id", "n_shingles"]
     assert found.members.count() == 0 and found.links.count() == 0
+    counted = jaccard.join(spark.createDataFrame([], "doc_id long, text string"), jaccard.Threshold(90), 3, count_links=True)
+    assert counted.members.count() == 0 and "n_links" in counted.members.columns
 
 
 def test_one_of_each_keeps_the_least_id_and_all_columns(spark):
