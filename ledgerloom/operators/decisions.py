@@ -104,12 +104,39 @@ def producer_violations(results: DataFrame) -> DataFrame:
     )
 
 
-def validate_daily(items: DataFrame, entries: DataFrame, omitted: DataFrame) -> DataFrame:
+def producer_coverage(items: DataFrame, producers: DataFrame) -> DataFrame:
+    """Packets that do not have exactly one producer, and producers of no packet."""
+    offered = items.select(PACKET, F.lit(1).alias("offers"), F.lit(0).alias("rows"))
+    named = producers.select(PACKET, F.lit(0).alias("offers"), F.lit(1).alias("rows"))
+    rule = (
+        F.when(F.col("offered") == 0, "producer_unknown")
+        .when(F.col("named") == 0, "producer_missing")
+        .when(F.col("named") > 1, "producer_repeated")
+    )
+    return (
+        offered.unionByName(named)
+        .groupBy(PACKET)
+        .agg(F.max("offers").alias("offered"), F.sum("rows").alias("named"))
+        .select(PACKET, rule.alias("rule"), F.col("named").cast("string").alias("subject"))
+        .where("rule IS NOT NULL")
+    )
+
+
+def _with_producers(violations: DataFrame, items: DataFrame, producers: DataFrame | None) -> DataFrame:
+    if producers is None:
+        return violations
+    return violations.unionByName(producer_violations(producers)).unionByName(producer_coverage(items, producers))
+
+
+def validate_daily(
+    items: DataFrame, entries: DataFrame, omitted: DataFrame, producers: DataFrame | None = None
+) -> DataFrame:
     """All violations of daily decisions as (packet_sha256, rule, subject).
 
     ``items`` holds (packet_sha256, item_id), ``entries`` (packet_sha256,
     entry_no, source_record_ids, summary), ``omitted`` (packet_sha256,
-    record_id, reason).
+    record_id, reason). ``producers``, as for ``producer_violations``, has one row
+    a packet; without it producers are not checked.
     """
     sources = F.col("source_record_ids")
     entry_rules = [
@@ -122,12 +149,13 @@ def validate_daily(items: DataFrame, entries: DataFrame, omitted: DataFrame) ->
         _fails(ident.is_hex64(F.col("record_id")), "omission_id"),
         _fails(F.col("reason").isin(*OMISSION_REASONS), "omission_reason"),
     ]
-    return (
+    found = (
         _violations(entries, F.col("entry_no"), entry_rules)
         .unionByName(_violations(omitted, F.col("record_id"), omission_rules))
         .unionByName(_too_many(entries, MAX_DAILY_ENTRIES, "entry_count"))
         .unionByName(_coverage_violations(coverage(items, daily_assignments(entries, omitted))))
     )
+    return _with_producers(found, items, producers)
 
 
 def tally(items: DataFrame, entries: DataFrame, omitted: DataFrame, counts: DataFrame) -> DataFrame:
@@ -225,14 +253,19 @@ def disposition_check(
 
 
 def validate_structured(
-    items: DataFrame, context: DataFrame, changes: DataFrame, dispositions: DataFrame
+    items: DataFrame,
+    context: DataFrame,
+    changes: DataFrame,
+    dispositions: DataFrame,
+    producers: DataFrame | None = None,
 ) -> DataFrame:
     """All violations of document decisions as (packet_sha256, rule, subject).
 
     ``items`` holds (packet_sha256, item_id), ``context`` (packet_sha256,
     target_key, document_sha256), ``changes`` (packet_sha256, change_no, action,
     target, expected_sha256, body, source_entry_ids, reason, confidence),
-    ``dispositions`` (packet_sha256, entry_id, status, targets, reason).
+    ``dispositions`` (packet_sha256, entry_id, status, targets, reason);
+    ``producers`` as for ``validate_daily``.
     """
     sources, targets = F.col("source_entry_ids"), F.col("targets")
     change_rules = [
@@ -298,4 +331,4 @@ def validate_structured(
     result = parts[0]
     for part in parts[1:]:
         result = result.unionByName(part)
-    return result
+    return _with_producers(result, items, producers)

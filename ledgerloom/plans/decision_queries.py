@@ -140,6 +140,55 @@ def validate_daily(spark: SparkSession, sf: str) -> DataFrame:
     return decisions.validate_daily(items, *faulty_decisions(items))
 
 
+def producers_of(items: DataFrame) -> DataFrame:
+    """A producer a packet; some have none or two, or lack a name, and one is of no packet."""
+    found = items.select("packet_sha256").distinct()
+    digit = F.substring("packet_sha256", 1, 1)
+    rows = (
+        found.where(digit != "0")
+        .withColumn("copy", F.explode(F.when(digit == "1", F.sequence(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))))
+        .select(
+            "packet_sha256",
+            F.when(digit == "2", "").otherwise("tool").alias("kind"),
+            F.when(digit == "3", "\a").otherwise("1.0").alias("tool_version"),
+            F.when(digit == "4", "-model").otherwise("vendor/model-1").alias("model"),
+            F.when(digit == "5", "High").otherwise("high").alias("reasoning_effort"),
+            F.when(digit == "6", "two\nlines").otherwise("sealed").alias("isolation_profile"),
+        )
+    )
+    stray = found.agg(F.min("packet_sha256").alias("m")).where("m IS NOT NULL")
+    return rows.unionByName(
+        stray.select(
+            ident.sha256_hex(F.lit("no packet")).alias("packet_sha256"),
+            F.lit("tool").alias("kind"),
+            F.lit("1.0").alias("tool_version"),
+            F.lit("vendor/model-1").alias("model"),
+            F.lit("high").alias("reasoning_effort"),
+            F.lit("sealed").alias("isolation_profile"),
+        )
+    )
+
+
+@query(
+    "producer_check",
+    o.with_(
+        _ITEMS + ", p AS (SELECT DISTINCT packet_sha256, left(packet_sha256, 1) AS d FROM ditems)",
+        """SELECT packet_sha256, CASE d WHEN '0' THEN 'producer_missing' WHEN '1' THEN 'producer_repeated'
+             WHEN '2' THEN 'producer_kind' WHEN '3' THEN 'producer_version' WHEN '4' THEN 'producer_model'
+             WHEN '5' THEN 'producer_effort' ELSE 'producer_profile' END AS rule,
+             CASE d WHEN '0' THEN '0' WHEN '1' THEN '2' WHEN '4' THEN '-model' ELSE 'vendor/model-1' END AS subject
+           FROM p WHERE d BETWEEN '0' AND '6'
+           UNION ALL SELECT sha256('no packet'), 'producer_unknown', '1' WHERE EXISTS (SELECT * FROM p)""",
+        recursive=True,
+    ),
+)
+def producer_check(spark: SparkSession, sf: str) -> DataFrame:
+    """What is wrong with the producers of all packets of one run."""
+    items = decision_items(spark, sf)
+    producers = producers_of(items)
+    return decisions.producer_violations(producers).unionByName(decisions.producer_coverage(items, producers))
+
+
 _TALLY_SQL = """
 SELECT i.packet_sha256, count(*) AS items, any_value(coalesce(e.n, 0)) AS included_entries,
   CAST(any_value(coalesce(e.records, 0)) AS BIGINT) AS included_records,

@@ -7,6 +7,7 @@ tables under the next run number and commits that number last.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -266,10 +267,12 @@ def prepare_daily_packets(
     records = dated.select(
         "day", "record_id", "captured_at", "role", "text", F.col("text_sha256").alias("source_text_sha256")
     )
-    accounted = store.read("accounted").where(F.col("lane") == "daily")
+    accounted, applied = store.read("accounted").where(F.col("lane") == "daily"), _applied(store)
+    if day is not None:
+        accounted, applied = (rows.where(F.col("day") == F.lit(str(day)).cast("date")) for rows in (accounted, applied))
     available = packets.pending(records, accounted)
     items = packets.packet_items(available, bounds)
-    cursors = packets.cursor_checkpoints(accounted, _applied(store), zone)
+    cursors = packets.cursor_checkpoints(accounted, applied, zone)
     version = f"ledger-run-{store.last_run('ingest')}"
     return packets.build_packets(items, available, cursors, packets.DAILY_STAGE, version, zone, bounds)
 
@@ -289,22 +292,40 @@ def prepare_daily_batches(
     return packets.batched_items(packets.pending(records, accounted), bounds, max_batches)
 
 
+def _ledger_near(store: RunTables, prepared: DataFrame) -> DataFrame:
+    """The ledger's partitions that can hold records of the packets' local days."""
+    low, high = prepared.agg(F.min("day"), F.max("day")).first()
+    if low is None:
+        return store.read("ledger").where("false")
+    return store.read("ledger").where(
+        F.col("utc_day").between(low - timedelta(days=1), high + timedelta(days=1))
+    )
+
+
 def _applied(store: RunTables) -> DataFrame:
     return store.read("batches").select(F.lit("daily").alias("lane"), "day", "batch_seq", "batch_id")
 
 
 def apply_daily(
-    store: RunTables, prepared: DataFrame, entries: DataFrame, omitted: DataFrame, zone: str = "UTC"
+    store: RunTables,
+    prepared: DataFrame,
+    entries: DataFrame,
+    omitted: DataFrame,
+    zone: str = "UTC",
+    producers: DataFrame | None = None,
 ) -> int:
     """Check decisions against their packets and apply them; returns batches applied.
 
     Packets whose batch is in place are skipped, so applying twice changes
     nothing. ``prepared`` must be stored packets: they are read several times.
+    ``producers`` names who made each packet's decisions and is checked if given.
     """
     items = packets.exploded_items(prepared).withColumnRenamed("record_id", "item_id")
-    _require_none(decisions.validate_daily(items, entries, omitted), "daily decisions are invalid")
+    _require_none(decisions.validate_daily(items, entries, omitted, producers), "daily decisions are invalid")
     rebound = items.withColumnRenamed("item_id", "record_id")
-    _require_none(packets.rebind_failures(rebound, store.read("ledger")), "the ledger no longer holds an item")
+    _require_none(
+        packets.rebind_failures(rebound, _ledger_near(store, prepared)), "the ledger no longer holds an item"
+    )
     batches = apply.daily_batches(prepared, entries, omitted)
     todo = apply.unapplied(batches, store.read("batches"))
     accounted = store.read("accounted").where(F.col("lane") == "daily")
@@ -406,6 +427,7 @@ def apply_documents(
     dispositions: DataFrame,
     frozen_snapshot_sha256: str,
     zone: str = "UTC",
+    producers: DataFrame | None = None,
 ) -> int:
     """Check document decisions and write the documents they create or replace.
 
@@ -413,7 +435,8 @@ def apply_documents(
     the day's commits, the cursor or any document changed since they were frozen, if a
     create meets a stored document or a replace another content than it expects, or if a
     document would be left without its parent. Decisions that are in place already
-    change nothing; other decisions for the same packet are refused. Returns the run.
+    change nothing; other decisions for the same packet are refused. ``producers`` names who
+    made each packet's decisions and is checked if given. Returns the run.
     """
     items = packets.exploded_items(prepared).withColumnRenamed("entry_id", "item_id")
     results = apply.sweep_results(prepared, changes, dispositions)
@@ -424,7 +447,8 @@ def apply_documents(
         return store.last_run("documents")
     _require_none(met, "some packets are in place already; apply the others alone")
     _require_none(
-        decisions.validate_structured(items, context, changes, dispositions), "document decisions are invalid"
+        decisions.validate_structured(items, context, changes, dispositions, producers),
+        "document decisions are invalid",
     )
     version = apply.commit_digests(store.read("batch_commits")).withColumnRenamed("source_version", "now")
     moved = prepared.join(version, "day", "left").where(~F.col("source_version").eqNullSafe(F.col("now")))

@@ -64,6 +64,15 @@ def test_producers(spark):
     assert {rule for rule, _ in rules(decisions.producer_violations(results))} == {
         "producer_kind", "producer_model", "producer_effort", "producer_profile",
     }
+    a = sha("a")
+    good = spark.createDataFrame([(P, 1, [a], "fine")], ENTRIES), spark.createDataFrame([], OMITTED)
+    one = results.where("kind = 'tool'")
+    items = items_of(spark, a)
+    assert rules(decisions.validate_daily(items, *good, producers=one)) == set()
+    assert rules(decisions.validate_daily(items, *good, producers=one.where("false"))) == {("producer_missing", "0")}
+    assert rules(decisions.validate_daily(items, *good, producers=one.union(one))) == {("producer_repeated", "2")}
+    stray = one.union(one.selectExpr("'0' AS packet_sha256", *one.columns[1:]))
+    assert rules(decisions.validate_daily(items, *good, producers=stray)) == {("producer_unknown", "1")}
 
 
 STM = ("stm", "t", "b", "leaf")

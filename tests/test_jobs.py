@@ -217,7 +217,14 @@ def test_daily_packets_drain_and_apply_once(spark, logs, store, tmp_path):
             assert again["packet_sha256"] == prepared.first()["packet_sha256"]
             with pytest.raises(jobs.LedgerError, match="invalid"):
                 jobs.apply_daily(store, prepared, decisions[0].where("entry_no > 1"), decisions[1])
-        assert jobs.apply_daily(store, prepared, *decisions) == 1
+        named = prepared.selectExpr(
+            "packet_sha256", "'tool' AS kind", "'1' AS tool_version", "'m' AS model", "'high' AS reasoning_effort", "'p' AS isolation_profile"
+        )
+        with pytest.raises(jobs.LedgerError, match="invalid"):
+            jobs.apply_daily(store, prepared, *decisions, producers=named.withColumn("reasoning_effort", F.lit("much")))
+        of_day = jobs.prepare_daily_packets(store, bounds=bounds, day=str(prepared.first()["day"])).first()
+        assert of_day["packet_sha256"] == prepared.first()["packet_sha256"]
+        assert jobs.apply_daily(store, prepared, *decisions, producers=named) == 1
         left.append(prepared.first()["not_yet_admitted"])
         seen |= {r["record_id"] for r in items.collect()}
         if number == 0:
