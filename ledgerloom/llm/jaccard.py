@@ -58,6 +58,8 @@ LEAF = 16
 FLUSH_ROWS = 2_000_000
 #: Candidate rows up to which their ids are sent to every task; beyond, both sides are shuffled.
 BROADCAST_ROWS = 200_000
+#: A class of at least this part of all rows is frequent; there are at most so many.
+FREQUENT_PART = 1_000
 
 
 @dataclass(frozen=True)
@@ -481,7 +483,7 @@ def join(
         by_key = by_key.join(sums, "key", "left")
         direct = F.coalesce("n", F.lit(0)) + F.coalesce(F.col("copies") - 1, F.lit(0))
         counted = [F.when(F.col("id").isNotNull(), direct).otherwise(0).cast("bigint").alias("n_links")]
-    rows = digests.join(by_key, "key", "left").select(
+    rows = _with_classes(digests, stored(by_key, "by_key")).select(
         "id",
         "n_shingles",
         F.when(F.col("id").isNotNull(), F.coalesce("class_id", "id")).alias("class_id"),
@@ -497,6 +499,19 @@ def join(
     return Joined(rows.withColumnRenamed("id", id_column), named_links)
 
 
+def _with_classes(digests: DataFrame, by_key: DataFrame) -> DataFrame:
+    """Rows with what is known of their class. Frequent classes, of bounded number, are sent to the rows.
+
+    Empty sets are of no class and meet nothing.
+    """
+    least = max(1, digests.count() // FREQUENT_PART)
+    frequent = F.broadcast(by_key.where(F.col("copies") > least))
+    some, none = digests.where("n_shingles > 0"), digests.where("n_shingles = 0")
+    hot = some.join(frequent, "key")
+    rest = some.join(frequent.select("key"), "key", "left_anti").join(by_key, "key", "left")
+    return hot.unionByName(rest).unionByName(none, allowMissingColumns=True)
+
+
 def _links(source: DataFrame, members: DataFrame, threshold: Threshold, length: int, count_links: bool) -> DataFrame:
     """Spanning links inside the parts, with the texts of their members read once more, and counts of all links."""
     sizes = members.groupBy("component").agg(
