@@ -29,8 +29,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest id, of each group of near duplicates."""
-    return jaccard.one_of_each(docs, SIMILARITY, SHINGLE_WORDS)
+    """One document, that of the smallest id, of each group of near duplicates; a missing id is the largest."""
+    return jaccard.one_of_each(docs, SIMILARITY, SHINGLE_WORDS, null_ids=True)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

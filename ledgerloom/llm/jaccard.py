@@ -61,6 +61,8 @@ FLUSH_ROWS = 2_000_000
 BROADCAST_ROWS = 200_000
 #: A class of at least this part of all rows is frequent; there are at most so many.
 FREQUENT_PART = 1_000
+LARGEST_ID = (1 << 63) - 1
+NOT_SPACE = r"[^\x20\x09-\x0D]"
 
 
 @dataclass(frozen=True)
@@ -436,9 +438,9 @@ def _group_links(length: int, threshold: Threshold, counting: str = ""):
 
 @dataclass(frozen=True)
 class Joined:
-    """members: (id, n_shingles, class_id, component_id, n_links); links: spanning pairs of classes' ids.
+    """members: (id, n_shingles, class_id, component_id, n_links, key, kept_key); links: spanning pairs of classes' ids.
 
-    ``n_links`` is there if links were counted.
+    ``n_links`` is there if links were counted, ``key`` and ``kept_key`` if keys were asked for.
     """
 
     members: DataFrame
@@ -452,8 +454,13 @@ def join(
     id_column: str = "doc_id",
     text_column: str = "text",
     count_links: bool = False,
+    with_keys: bool = False,
 ) -> Joined:
-    """Classes of texts connected by similarities of at least ``threshold``; ``count_links`` adds each row's links."""
+    """Classes of texts connected by similarities of at least ``threshold``; ``count_links`` adds each row's links.
+
+    ``with_keys`` adds the key of each row's set and ``kept_key``, the least key of its
+    component's sets that have the component's id.
+    """
     source = df.select(F.col(id_column).cast("bigint").alias("_id"), F.col(text_column).alias("_text"))
     digests = stored(source.mapInArrow(_digests(length), "id long, n_shingles long, key long"), "digests")
     classes = digests.where("n_shingles > 0 AND id IS NOT NULL").groupBy("key").agg(
@@ -475,8 +482,11 @@ def join(
     links = stored(_links(source, members, threshold, length, count_links), "links")
     linked = components(links)
     named = linked.join(classes, linked["node"] == classes["key"])
-    least = named.groupBy("component").agg(F.min("class_id").alias("component_id"))
-    found = named.join(least, "component").select("key", "component_id")
+    firsts = [F.min("class_id").alias("component_id")]
+    if with_keys:
+        firsts.append(F.min_by("key", F.struct("class_id", "key")).alias("kept_key"))
+    least = named.groupBy("component").agg(*firsts)
+    found = named.join(least, "component").select("key", *least.columns[1:])
     by_key = classes.select("key", "class_id", "copies").join(found, "key", "left")
     counted = []
     if count_links:
@@ -484,12 +494,14 @@ def join(
         by_key = by_key.join(sums, "key", "left")
         direct = F.coalesce("n", F.lit(0)) + F.coalesce(F.col("copies") - 1, F.lit(0))
         counted = [F.when(F.col("id").isNotNull(), direct).otherwise(0).cast("bigint").alias("n_links")]
+    keys = ["key", F.coalesce("kept_key", "key").alias("kept_key")] if with_keys else []
     rows = _with_classes(digests, stored(by_key, "by_key")).select(
         "id",
         "n_shingles",
         F.when(F.col("id").isNotNull(), F.coalesce("class_id", "id")).alias("class_id"),
         F.when(F.col("id").isNotNull(), F.coalesce("component_id", "class_id", "id")).alias("component_id"),
         *counted,
+        *keys,
     )
     ids = classes.select("key", "class_id")
     named_links = (
@@ -584,22 +596,61 @@ def _links(source: DataFrame, members: DataFrame, threshold: Threshold, length:
     return inner.union(across)
 
 
+def _text_keys(length: int):
+    """Keys of texts' sets, as a column."""
+
+    @F.arrow_udf("long")
+    def keys(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in parts:
+            found = [
+                set_key(grams)
+                for start, stop in words.slices(texts)
+                for grams in words.distinct_runs(texts.slice(start, stop - start), length)
+            ]
+            yield pa.array(found, pa.int64())
+
+    return keys
+
+
 def one_of_each(
-    df: DataFrame, threshold: Threshold, length: int, id_column: str = "doc_id", text_column: str = "text"
+    df: DataFrame,
+    threshold: Threshold,
+    length: int,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    null_ids: bool = False,
 ) -> DataFrame:
-    """The rows of ``df`` without those linked, over any number of links, to a row of a smaller id.
+    """One row of ``df`` for each component of linked texts, one of the smallest id.
 
-    Rows that repeat an id and its text count once; rows without an id all stay.
+    Whether a row stays is decided by its own text, also where an id is repeated: of several
+    texts of the smallest id the one of the least key stays, and one row of it. Texts without
+    n-grams link with nothing and stay, once for each id and text. Rows without an id all
+    stay; with ``null_ids`` they take part as if they had the largest id.
     """
-    members = join(df, threshold, length, id_column, text_column).members
-    dropped = stored(
-        members.where(F.col("component_id") != F.col(id_column)).select(F.col(id_column).alias("_drop")).distinct(),
-        "dropped",
-    )
-    repeated = members.where(F.col(id_column).isNotNull()).groupBy(id_column).count().where("count > 1").limit(1).count()
-    if repeated:
-        known = df.where(F.col(id_column).isNotNull()).dropDuplicates([id_column, text_column])
-        df = known.unionByName(df.where(F.col(id_column).isNull()))
+    row_id = F.col(id_column).cast("bigint")
+    if null_ids:
+        row_id = F.coalesce(row_id, F.lit(LARGEST_ID))
+    source = df.select(row_id.alias("_id"), F.col(text_column).alias("_text"))
+    members = stored(join(source, threshold, length, "_id", "_text", with_keys=True).members, "members")
+    dropped = members.where("n_shingles > 0 AND (component_id <> _id OR kept_key <> key)")
+    repeated = members.where("_id IS NOT NULL").groupBy("_id").count().where("count > 1").limit(1).count()
+    if not repeated:
+        dropped = stored(dropped.select(F.col("_id").alias("_drop")), "dropped")
+        if dropped.count() <= BROADCAST_ROWS:
+            dropped = F.broadcast(dropped)
+        return df.join(dropped, row_id == F.col("_drop"), "left_anti")
+    dropped = stored(dropped.select("_id", F.col("key").alias("_key")).distinct(), "dropped")
     if dropped.count() <= BROADCAST_ROWS:
         dropped = F.broadcast(dropped)
-    return df.join(dropped, df[id_column].cast("bigint") == F.col("_drop"), "left_anti")
+    empty = ~F.regexp_like(F.coalesce(text_column, F.lit("")), F.lit(NOT_SPACE))
+    alone = F.col(id_column).isNull() & (empty if null_ids else F.lit(True))
+    # Each row as a whole, so that none of its columns is taken for one of these.
+    known = df.where(~alone).select(
+        F.struct("*").alias("_row"),
+        row_id.alias("_id"),
+        _text_keys(length)(F.col(text_column)).alias("_key"),
+        F.when(empty, F.coalesce(text_column, F.lit(""))).alias("_empty"),
+        (F.col(text_column).isNull()).alias("_null"),
+    )
+    single = known.dropDuplicates(["_id", "_key", "_empty", "_null"])
+    return single.join(dropped, ["_id", "_key"], "left_anti").select("_row.*").unionByName(df.where(alone))

@@ -128,6 +128,50 @@ def test_one_of_each_keeps_the_least_id_and_all_columns(spark):
     assert ids.count(None) == 2
 
 
+def test_one_of_each_decides_by_the_text_of_a_repeated_id(spark):
+    rng = random.Random(9)
+
+    def text(n=40):
+        return " ".join(rng.choice("abcdefghij") + str(rng.randrange(900)) for _ in range(n))
+
+    first, alone, twin, unnamed = text(), text(), text(), text()
+    rows = [
+        (1, first, "stays"),
+        (5, first + " more", "goes"),
+        (5, alone, "stays"),
+        (5, alone, "one of two"),
+        (5, alone.upper(), "one of two"),
+        (7, twin, "one of two near"),
+        (7, twin + " more", "one of two near"),
+        (8, "", "stays"),
+        (8, None, "stays"),
+        (None, first, "goes if null ids count"),
+        (None, unnamed, "one if null ids count"),
+        (None, unnamed, "one if null ids count"),
+        (None, "", "stays"),
+        (None, "", "stays"),
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _key string").repartition(3)
+
+    def kept(**options):
+        found = jaccard.one_of_each(df, jaccard.Threshold(80), 5, **options)
+        assert found.columns == df.columns
+        return [(r["doc_id"], (r["text"] or "").lower()) for r in found.collect()]
+
+    def texts(found, i):
+        return sorted(t for n, t in found if n == i)
+
+    for options in ({}, {"null_ids": True}):
+        found = kept(**options)
+        assert texts(found, 1) == [first] and texts(found, 5) == [alone] and texts(found, 8) == ["", ""]
+        assert len(texts(found, 7)) == 1 and texts(found, 7)[0].startswith(twin)
+        unnamed_texts = ["", "", unnamed] if options else sorted(["", "", first, unnamed, unnamed])
+        assert texts(found, None) == unnamed_texts
+    single = spark.createDataFrame([(1, first), (2, alone), (None, first)], "doc_id long, text string")
+    left = jaccard.one_of_each(single, jaccard.Threshold(80), 5, null_ids=True)
+    assert sorted(r["doc_id"] for r in left.collect()) == [1, 2]
+
+
 def test_every_linked_pair_shares_a_cell():
     rng = random.Random(1)
     for numerator in (90, 80):
