@@ -6,6 +6,11 @@ scan without shuffle and without Python.
 Defined results: a null or empty text has no words and fails ``min_words``;
 repeated rows are judged alike, each on its own; an empty table stays empty;
 columns of the input are kept, and ones named like an added column are replaced.
+
+The stop-word rule needs to know the language. With a language column it holds for texts
+whose language is one of ``STOP_WORDS``, in upper or lower case; texts of other or unknown
+languages have no ratio and pass it. Without one, as in the query's SQL check, it holds for
+every text and counts words as they are written, so other languages are rejected.
 """
 
 from __future__ import annotations
@@ -20,7 +25,7 @@ from ledgerloom.functions.once import bind, with_once
 SPACE = r"[\x20\x09-\x0D]+"
 WINDOW = 5
 
-# Common short words of the languages the rules know; other languages pass on a zero threshold.
+# Common short words of the languages the rules know.
 STOP_WORDS = {
     "de": "der die das und in den von zu mit sich des auf für ist im dem nicht ein eine als auch".split(),
     "en": "the of and to in a is that for it as was with be by on not he his are this at from".split(),
@@ -109,8 +114,13 @@ def _repeat_words(words: Column) -> Column:
     return F.when(twice, _repeated_exactly(words)).otherwise(F.lit(0).cast("bigint"))
 
 
-def measured(df: DataFrame, text: str = "text") -> DataFrame:
-    """Add what the rules are about, for the whole text of every row."""
+def _known_language(lang: Column) -> Column:
+    """Whether a language tag (en, EN, en-US, en_GB) is of a language with stop words."""
+    return F.coalesce(F.lower(F.regexp_extract(lang, "^[A-Za-z]+(?![A-Za-z])", 0)).isin(list(STOP_WORDS)), F.lit(False))
+
+
+def measured(df: DataFrame, text: str = "text", lang: str | None = None) -> DataFrame:
+    """Add what the rules are about, for the whole text of every row; ``lang`` names a column of language tags."""
     body = F.coalesce(F.col(text), F.lit(""))
     stop = sorted({word for words in STOP_WORDS.values() for word in words})
     split = with_once(df, _words=words_of(body))
@@ -125,22 +135,23 @@ def measured(df: DataFrame, text: str = "text") -> DataFrame:
         n_symbols=F.char_length(F.regexp_replace(body, r"[^#*$%&|<>]+", "")).cast("bigint"),
         _lines=F.struct(F.size(lines).alias("all"), F.size(F.array_distinct(lines)).alias("distinct")),
         n_repeat_words=_repeat_words(words),
-        _stops=F.size(F.filter(words, lambda word: word.isin(stop))),
+        _stops=F.size(F.filter(words, lambda word: (F.lower(word) if lang else word).isin(stop))),
     )
     some = F.greatest(F.col("n_words"), F.lit(1))
+    stop_ratio = (F.col("_stops") + 1) / some
     return (
         counted.withColumn("n_dup_lines", (F.col("_lines.all") - F.col("_lines.distinct")).cast("bigint"))
         .withColumn("repeat_percent", 100 * F.col("n_repeat_words") / some)
         .withColumn("mean_word_length", F.col("word_chars") / some)
         .withColumn("symbols_per_word", F.col("n_symbols") / some)
-        .withColumn("stop_word_ratio", (F.col("_stops") + 1) / some)
+        .withColumn("stop_word_ratio", F.when(_known_language(F.col(lang)), stop_ratio) if lang else stop_ratio)
         .withColumn("dup_line_ratio", F.col("n_dup_lines") / F.greatest(F.col("_lines.all"), F.lit(1)))
         .drop("_words", "_lines", "_stops")
     )
 
 
 def broken(rules: tuple[Rule, ...]) -> Column:
-    """Names of the rules a measured row breaks."""
+    """Names of the rules a measured row breaks; a null measure breaks none."""
     checks = []
     for rule in rules:
         value, wrong = F.col(rule.measure), F.lit(False)
@@ -153,18 +164,23 @@ def broken(rules: tuple[Rule, ...]) -> Column:
 
 
 def judge(
-    df: DataFrame, text: str = "text", base: tuple[Rule, ...] = BASE, ratios: tuple[Rule, ...] = RATIOS
+    df: DataFrame,
+    text: str = "text",
+    base: tuple[Rule, ...] = BASE,
+    ratios: tuple[Rule, ...] = RATIOS,
+    lang: str | None = None,
 ) -> DataFrame:
     """Add the measures, ``base_failed``, the names of broken rules and ``kept``."""
     return (
-        measured(df, text)
+        measured(df, text, lang)
         .withColumn("base_failed", F.size(broken(base)) > 0)
         .withColumn("broken_rules", broken(base + ratios))
         .withColumn("kept", F.size("broken_rules") == 0)
     )
 
 
-def clean(df: DataFrame, text: str = "text") -> DataFrame:
-    """The rows of ``df`` that break no rule, with its columns."""
-    measures = df.select(F.struct("*").alias("_row"), F.col(text).alias("_text"))
-    return judge(measures, "_text").where("kept").select("_row.*")
+def clean(df: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
+    """The rows of ``df`` that break no rule, with its columns; languages are taken from ``lang`` if it is there."""
+    tags = [F.col(lang).cast("string").alias("_lang")] if lang in df.columns else []
+    measures = df.select(F.struct("*").alias("_row"), F.col(text).alias("_text"), *tags)
+    return judge(measures, "_text", lang="_lang" if tags else None).where("kept").select("_row.*")

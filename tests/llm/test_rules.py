@@ -49,6 +49,19 @@ def test_clean_keeps_rows_as_they_are(spark):
     assert sorted(map(tuple, rules.clean(df).collect()), key=str) == sorted([(1, good, 5), (1, good, 5), (None, good, 7)], key=str)
 
 
+def test_stop_words_count_in_languages_that_have_some(spark):
+    italian = " ".join(f"parola{i} nuova{i}" for i in range(40))
+    capitals = " ".join(f"THE HOUSE{i} OF MAN{i}" for i in range(20))
+    rows = [
+        (1, italian, "it"), (2, italian, None), (3, italian, "en"), (4, italian, "EN-us"), (5, italian, "enm"),
+        (6, capitals, "en"), (7, capitals.lower(), "en_GB"), (8, "word", "it"), (9, italian, ""),
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert sorted(r["doc_id"] for r in rules.clean(df).collect()) == [1, 2, 5, 6, 7, 9]
+    # Without languages the rule holds for every text, as in the query's check.
+    assert sorted(r["doc_id"] for r in rules.clean(df.drop("lang")).collect()) == [7]
+
+
 def test_no_python_in_the_plan(spark):
     df = spark.createDataFrame([(1, "a")], "doc_id long, text string")
     plan = rules.judge(df)._jdf.queryExecution().executedPlan().toString()
