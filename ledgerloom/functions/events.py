@@ -48,6 +48,7 @@ def with_strict_event(
     non-finite or oversized numbers and no lone surrogates. A line is parsed as
     the first element of an array whose second is the line's own hash: if the
     hash is not found in second place, the line is more or less than one value.
+    A line that was too long to be read has null bytes.
     """
     if max_event_bytes < 1:
         raise ValueError("max_event_bytes must be positive")
@@ -55,7 +56,7 @@ def with_strict_event(
     whole = F.coalesce(F.try_variant_get(sealed, "$[1]", "string") == seal, F.lit(False))
     is_object = F.startswith(F.ltrim(text, F.lit(JSON_WHITESPACE)), F.lit("{"))
     reason = (
-        F.when(F.octet_length(raw) > max_event_bytes, "oversize")
+        F.when(F.col(raw).isNull() | (F.octet_length(raw) > max_event_bytes), "oversize")
         .when(text.isNull(), "invalid_utf8")
         .when(~whole, "malformed")
         .when(~is_object, "not_object")

@@ -40,7 +40,7 @@ def parsed_events(
     if on_reject not in ("fail", "quarantine"):
         raise ValueError("on_reject must be 'fail' or 'quarantine'")
     parsed = events.with_strict_event(
-        lines.where(~events.is_blank(F.col("raw"))), "raw", max_event_bytes
+        lines.where(F.col("raw").isNull() | ~events.is_blank(F.col("raw"))), "raw", max_event_bytes
     )
     return events.fail_on_reject(parsed) if on_reject == "fail" else parsed
 

@@ -82,7 +82,8 @@ def ingest(
     frontier = store.read_run("frontier", run)
     unread = frontier.withColumn("offset", F.lit(0).cast("bigint")) if replay else frontier
     tasks = byte_ranges.task_count(spark, unread, range_bytes)
-    lines = byte_ranges.read_lines(byte_ranges.byte_ranges(unread, range_bytes), tasks)
+    line_bytes = max(max_event_bytes, byte_ranges.LINE_BYTES)
+    lines = byte_ranges.read_lines(byte_ranges.byte_ranges(unread, range_bytes), tasks, line_bytes)
     return _write_run(store, run, lines, frontier, tasks, range_bytes, max_chars, max_event_bytes, on_reject, replay)
 
 

@@ -4,7 +4,8 @@ Files are listed by Spark, split into byte ranges, and the ranges are spread
 over the cluster as rows. A task seeks to its range and emits the lines whose
 newline lies inside it, with their exact byte addresses, so a file of any size
 is read in parallel and no shuffle or window is needed to number the bytes.
-A last line without a newline is never emitted.
+A last line without a newline is never emitted. A line of more bytes than a task may
+hold is emitted with its addresses and null bytes.
 """
 
 from __future__ import annotations
@@ -23,6 +24,9 @@ from pyspark.sql import functions as F
 RANGE_BYTES = 128 * 1024 * 1024
 CHUNK_BYTES = 8 * 1024 * 1024
 LOOKBACK_BYTES = 64 * 1024
+#: Longest line whose bytes are held, unless more is asked for; and the most that a row can carry.
+LINE_BYTES = 64 * 1024 * 1024
+MOST_LINE_BYTES = (1 << 31) - 1 - 4 * CHUNK_BYTES
 NEWLINE = 10
 
 LINES_SCHEMA = "source string, byte_start bigint, byte_end bigint, raw binary"
@@ -61,13 +65,15 @@ def last_newline_end(handle: pa.NativeFile, low: int, high: int) -> int:
 
 
 def lines_in_range(
-    handle: pa.NativeFile, start: int, end: int
-) -> Iterator[tuple[np.ndarray, pa.Buffer]]:
+    handle: pa.NativeFile, start: int, end: int, line_bytes: int = LINE_BYTES
+) -> Iterator[tuple[np.ndarray, pa.Buffer | None]]:
     """Line bounds and bytes of the lines whose newline is in [start, end).
 
     Yields absolute bounds (n + 1 positions for n lines) with the bytes between
-    the first and the last of them.
+    the first and the last of them. A line that is read over several chunks and is longer
+    than ``line_bytes`` comes alone and without bytes.
     """
+    line_bytes = min(line_bytes, MOST_LINE_BYTES)
     position = last_newline_end(handle, 0, start)
     pending: list[bytes] = []
     line_start = position
@@ -77,9 +83,18 @@ def lines_in_range(
         if not chunk:
             return
         newlines = np.flatnonzero(np.frombuffer(chunk, dtype=np.uint8) == NEWLINE)
-        if newlines.size == 0:
+        first_end = position + int(newlines[0]) + 1 if newlines.size else position + len(chunk)
+        if line_start < position and first_end - line_start > line_bytes:
+            pending = []
+            if newlines.size:
+                yield np.array([line_start, first_end]), None
+                chunk, newlines = chunk[first_end - position :], newlines[1:] - (first_end - position)
+                line_start = position = first_end
+        elif newlines.size == 0:
             pending.append(chunk)
-        else:
+        if newlines.size == 0 and line_start == position:
+            pending = [chunk]
+        elif newlines.size:
             cut = int(newlines[-1]) + 1
             bounds = np.concatenate(([line_start], position + newlines.astype(np.int64) + 1))
             yield bounds, pa.py_buffer(b"".join([*pending, chunk[:cut]]))
@@ -89,28 +104,35 @@ def lines_in_range(
 
 
 def line_batches(
-    handle: pa.NativeFile, source: str, start: int, end: int
+    handle: pa.NativeFile, source: str, start: int, end: int, line_bytes: int = LINE_BYTES
 ) -> Iterator[pa.RecordBatch]:
     """Arrow batches of the lines of one range; the bytes are not copied per line."""
-    for bounds, data in lines_in_range(handle, start, end):
+    for bounds, data in lines_in_range(handle, start, end, line_bytes):
         count = len(bounds) - 1
-        offsets = pa.py_buffer((bounds - bounds[0]).astype(np.int32))
+        if data is None:
+            raw = pa.nulls(count, pa.binary())
+        else:
+            offsets = pa.py_buffer((bounds - bounds[0]).astype(np.int32))
+            raw = pa.Array.from_buffers(pa.binary(), count, [None, offsets, data])
         yield pa.record_batch(
             [
                 pa.array([source] * count, pa.string()),
                 pa.array(bounds[:-1], pa.int64()),
                 pa.array(bounds[1:], pa.int64()),
-                pa.Array.from_buffers(pa.binary(), count, [None, offsets, data]),
+                raw,
             ],
             names=["source", "byte_start", "byte_end", "raw"],
         )
 
 
-def _line_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for row in batch.to_pylist():
-            with open_uri(row["path"]) as handle:
-                yield from line_batches(handle, row["source"], row["range_start"], row["range_end"])
+def _line_batches(line_bytes: int):
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                with open_uri(row["path"]) as handle:
+                    yield from line_batches(handle, row["source"], row["range_start"], row["range_end"], line_bytes)
+
+    return apply
 
 
 def _frontier_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -229,9 +251,9 @@ def byte_ranges(frontier: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFram
     )
 
 
-def read_lines(ranges: DataFrame, tasks: int) -> DataFrame:
-    """Lines of the given ranges as (source, byte_start, byte_end, raw)."""
-    return ranges.repartition(tasks).mapInArrow(_line_batches, LINES_SCHEMA)
+def read_lines(ranges: DataFrame, tasks: int, line_bytes: int = LINE_BYTES) -> DataFrame:
+    """Lines of the given ranges as (source, byte_start, byte_end, raw); null ``raw`` is a line over ``line_bytes``."""
+    return ranges.repartition(tasks).mapInArrow(_line_batches(line_bytes), LINES_SCHEMA)
 
 
 def hash_ranges(ranges: DataFrame, tasks: int) -> DataFrame:

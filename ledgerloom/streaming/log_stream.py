@@ -31,6 +31,7 @@ class LogStreamReader(DataSourceStreamReader):
         self.root = options["path"].rstrip("/")
         self.pattern = options.get("pattern", "*.jsonl")
         self.range_bytes = int(options.get("rangebytes", byte_ranges.RANGE_BYTES))
+        self.line_bytes = int(options.get("linebytes", byte_ranges.LINE_BYTES))
 
     def initialOffset(self) -> dict[str, int]:
         return {}
@@ -49,7 +50,7 @@ class LogStreamReader(DataSourceStreamReader):
     def read(self, partition: LogRange) -> Iterator[pa.RecordBatch]:
         with byte_ranges.open_uri(partition.path) as handle:
             yield from byte_ranges.line_batches(
-                handle, partition.source, partition.start, partition.end
+                handle, partition.source, partition.start, partition.end, self.line_bytes
             )
 
 
@@ -65,10 +66,13 @@ class LogSource(DataSource):
         return LogStreamReader(dict(self.options))
 
 
-def read_log_stream(spark: SparkSession, root: str, pattern: str = "*.jsonl") -> DataFrame:
+def read_log_stream(
+    spark: SparkSession, root: str, pattern: str = "*.jsonl", line_bytes: int = byte_ranges.LINE_BYTES
+) -> DataFrame:
     """Lines appended to the logs under ``root``, as a stream."""
     spark.dataSource.register(LogSource)
-    return spark.readStream.format(FORMAT).option("path", root).option("pattern", pattern).load()
+    reader = spark.readStream.format(FORMAT).option("path", root).option("pattern", pattern)
+    return reader.option("linebytes", str(line_bytes)).load()
 
 
 def stream_ledger(
@@ -92,5 +96,6 @@ def stream_ledger(
         # A writer of its own for each batch, so that a refused one leaves nothing to the next.
         jobs.ingest_batch(RunTables(store.spark, store.root), batch, root, pattern, **options)
 
-    writer = read_log_stream(spark, root, pattern).writeStream.foreachBatch(write)
+    line_bytes = max(options.get("max_event_bytes", 0), byte_ranges.LINE_BYTES)
+    writer = read_log_stream(spark, root, pattern, line_bytes).writeStream.foreachBatch(write)
     return writer.option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()

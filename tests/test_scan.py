@@ -43,6 +43,34 @@ def test_any_cut_gives_every_line_once(tmp_path, monkeypatch, chunk):
         assert tail == (split(data)[-1][1] if split(data) else 0)
 
 
+@pytest.mark.parametrize("chunk", [1, 3, 1000])
+def test_lines_over_the_bound_have_no_bytes(tmp_path, monkeypatch, chunk):
+    monkeypatch.setattr(byte_ranges, "CHUNK_BYTES", chunk)
+    rng = random.Random(chunk)
+    for number in range(40):
+        data = random_bytes(rng, rng.randrange(0, 120))
+        path = tmp_path / f"{number}.jsonl"
+        path.write_bytes(data)
+        cuts = sorted({0, len(data), *(rng.randrange(len(data) + 1) for _ in range(3))})
+        found = []
+        with byte_ranges.open_uri(str(path)) as handle:
+            for low, high in zip(cuts, cuts[1:], strict=False):
+                for batch in byte_ranges.line_batches(handle, "s", low, high, 7):
+                    found += [(r["byte_start"], r["byte_end"], r["raw"]) for r in batch.to_pylist()]
+        assert [row[:2] for row in found] == [row[:2] for row in split(data)]
+        for (low, high, raw), (_, _, whole) in zip(found, split(data), strict=True):
+            assert raw == whole or (raw is None and high - low > 7)
+            # Only what came within one chunk may be longer.
+            assert raw is None or len(raw) <= max(7, chunk)
+
+
+def test_a_line_without_bytes_is_rejected(spark):
+    rows = [("a", 0, 9, None), ("a", 9, 10, bytearray(b"\n"))]
+    lines = spark.createDataFrame(rows, byte_ranges.LINES_SCHEMA)
+    bad = ledger.parsed_events(lines, on_reject="quarantine").collect()
+    assert [(r["byte_start"], r["byte_end"], r["reject_reason"]) for r in bad] == [(0, 9, "oversize")]
+
+
 def write(root, name: str, data: bytes) -> None:
     path = root / name
     path.parent.mkdir(parents=True, exist_ok=True)
