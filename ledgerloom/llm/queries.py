@@ -4,10 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import chat, jaccard, lm, mixing, neardup, packing, pii, quality, rules, sharding
+from ledgerloom.functions.once import bind
+from ledgerloom.llm import (
+    chat,
+    jaccard,
+    lm,
+    merkle,
+    mixing,
+    neardup,
+    packing,
+    pii,
+    quality,
+    rules,
+    sharding,
+    spelling,
+    toxicity,
+)
 from ledgerloom.llm.store import stored
 
 SHARDS = 16
@@ -237,6 +252,190 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM b
 """
 
+#: Checksums in SQL: a table from the polynomial, and a fold over the bytes of a text.
+_CRC_TABLE = """
+crc AS (
+    SELECT list(list_reduce(list_prepend(i, range(8)), lambda c, x: CASE WHEN c & 1 = 1
+        THEN xor(3988292384, c >> 1) ELSE c >> 1 END) ORDER BY i) AS t FROM range(256) AS x(i)
+)
+"""
+
+
+def _crc_sql(text: str) -> str:
+    """Unsigned CRC-32 of a text's UTF-8 bytes, with ``crc`` in scope."""
+    code = f"hex(encode({text}))"
+    at = f"list_transform(range(length({code}) // 2), lambda k: ('0x' || substr({code}, 2 * k + 1, 2))::BIGINT)"
+    step = "lambda c, b: xor(c >> 8, crc.t[(xor(c, b) & 255) + 1])"
+    return f"xor(4294967295, list_reduce(list_prepend(4294967295, {at}), {step}))"
+
+
+_LOWER_SQL = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's leaf and proof, and what root a tampered text gives with it."""
+    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+    def leaf(text: Column) -> Column:
+        return merkle.leaf_of(F.col("doc_id"), F.col("source"), F.col("lang"), F.col("n_chars"), text)
+
+    tampered = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, F.lit(False))
+    rows = _documents(spark, sf_dir).select(
+        "doc_id",
+        "lang",
+        F.unhex(leaf(F.col("text"))).alias("leaf"),
+        F.unhex(leaf(F.when(tampered, lower).otherwise(F.col("text")))).alias("found"),
+    )
+    made = merkle.manifest(rows, F.lower(F.hex("leaf")), F.col("lang"), [F.col("doc_id")])
+    folded = merkle.folded(F.lower(F.hex("row.found")), F.col("proof"))
+    return made.leaves.select(
+        "row.doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        merkle.proof_digest(F.col("proof")).alias("proof_sha256"),
+        bind(folded, lambda root: F.struct(root.alias("folded_root"), (root == F.col("root")).alias("verified"))).alias("f"),
+        F.col("tree").alias("lang"),
+        F.col("index").alias("leaf_index"),
+    ).select("doc_id", "leaf", "subroot", "root", "proof_sha256", "f.*", "lang", "leaf_index")
+
+
+def _leaf_sql(text: str) -> str:
+    def field(value: str) -> str:
+        return f"coalesce(octet_length(encode(({value})::VARCHAR)) || ':' || ({value})::VARCHAR, '-')"
+
+    return f"sha256({' || '.join(field(v) for v in ('doc_id', 'source', 'lang', 'n_chars', text))})"
+
+
+OP11_SQL = rf"""
+WITH RECURSIVE {_CRC_TABLE},
+d AS (
+    SELECT doc_id, lang, coalesce('=' || lang, '') AS tree, {_leaf_sql("text")} AS leaf,
+        {_leaf_sql(_LOWER_SQL.format("text"))} AS lowered
+    FROM documents
+),
+l AS (
+    SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i,
+        count(*) OVER (PARTITION BY tree) AS size,
+        CASE WHEN coalesce({_crc_sql("doc_id::VARCHAR")} % 3 = 0, false) THEN lowered ELSE leaf END AS found
+    FROM d, crc
+),
+nodes(k, tree, i, size, h) AS (
+    SELECT 0, tree, i, size, leaf FROM l
+    UNION ALL
+    SELECT any_value(k) + 1, tree, i // 8, (any_value(size) + 7) // 8, sha256(string_agg(h, '' ORDER BY i))
+    FROM nodes WHERE size > 1 GROUP BY tree, i // 8
+),
+tops AS (
+    SELECT tree, h, k AS height, row_number() OVER (ORDER BY encode(tree)) - 1 AS i, count(*) OVER () AS size
+    FROM nodes WHERE size = 1
+),
+heads(k, i, size, h) AS (
+    SELECT 0, i, size, h FROM tops
+    UNION ALL
+    SELECT any_value(k) + 1, i // 8, (any_value(size) + 7) // 8, sha256(string_agg(h, '' ORDER BY i))
+    FROM heads WHERE size > 1 GROUP BY i // 8
+),
+steps AS (
+    SELECT a.tree, a.k, a.i, coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (b.i < a.i), '') AS l,
+        coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (b.i > a.i), '') AS r
+    FROM nodes a JOIN nodes b ON a.tree = b.tree AND a.k = b.k AND a.i // 8 = b.i // 8
+    WHERE a.size > 1 GROUP BY a.tree, a.k, a.i
+    UNION ALL
+    SELECT NULL, a.k, a.i, coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (b.i < a.i), ''),
+        coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (b.i > a.i), '')
+    FROM heads a JOIN heads b ON a.k = b.k AND a.i // 8 = b.i // 8
+    WHERE a.size > 1 GROUP BY a.k, a.i
+),
+path AS (
+    SELECT l.tree, l.i AS leaf_index, s.k, s.l, s.r
+    FROM l JOIN steps s ON s.tree = l.tree AND s.i = l.i // (8 ** s.k)::BIGINT
+    UNION ALL
+    SELECT l.tree, l.i, height + s.k, s.l, s.r
+    FROM l JOIN tops t ON t.tree = l.tree JOIN steps s ON s.tree IS NULL AND s.i = t.i // (8 ** s.k)::BIGINT
+),
+folds(tree, leaf_index, k, h) AS (
+    SELECT tree, i, 0, found FROM l
+    UNION ALL
+    SELECT f.tree, f.leaf_index, f.k + 1, sha256(p.l || f.h || p.r)
+    FROM folds f JOIN path p ON p.tree = f.tree AND p.leaf_index = f.leaf_index AND p.k = f.k
+),
+ends AS (SELECT tree, leaf_index, arg_max(h, k) AS h FROM folds GROUP BY tree, leaf_index),
+proofs AS (SELECT tree, leaf_index, sha256(string_agg(l || r, '' ORDER BY k)) AS h FROM path GROUP BY tree, leaf_index)
+SELECT doc_id, leaf, t.h AS subroot, root.h AS root, coalesce(p.h, sha256('')) AS proof_sha256,
+    e.h AS folded_root, e.h = root.h AS verified, lang, l.i::BIGINT AS leaf_index
+FROM l JOIN tops t USING (tree) JOIN (SELECT h FROM heads WHERE size = 1) root ON true
+    JOIN ends e ON e.tree = l.tree AND e.leaf_index = l.i LEFT JOIN proofs p ON p.tree = l.tree AND p.leaf_index = l.i
+"""
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents with the frequent words they are variants of."""
+    words = spelling.counted_words(_documents(spark, sf_dir).select("doc_id", "text"))
+    return spelling.variants(words).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+OP12_SQL = rf"""
+WITH RECURSIVE {_CRC_TABLE},
+runs AS (
+    SELECT doc_id, unnest(regexp_extract_all({_LOWER_SQL.format("coalesce(text, '')")}, '[a-z\x{{C0}}-\x{{FF}}]{{7,}}')) AS run
+    FROM documents
+),
+own AS (SELECT doc_id, run, count(*) AS n FROM runs GROUP BY doc_id, run),
+checked AS (
+    SELECT run, n, {_crc_sql("coalesce(doc_id::VARCHAR, '') || ':' || run")} AS h FROM own, crc
+),
+spelt AS (
+    SELECT n, CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word
+    FROM checked
+),
+v AS (SELECT word, sum(n)::BIGINT AS n FROM spelt WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+cut AS (
+    SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS rest
+    FROM v, unnest(range(length(word))) AS x(i)
+),
+near AS (
+    SELECT a.word, b.word AS other, b.n FROM cut a JOIN cut b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+    UNION
+    SELECT cut.word, v.word, v.n FROM cut JOIN v ON v.word = cut.rest
+    UNION
+    SELECT v.word, cut.word, cut.n FROM cut JOIN v ON v.word = cut.rest
+),
+best AS (
+    SELECT word, count(*) AS n_near, max(n) AS form_n, min(other) FILTER (n = most) AS form
+    FROM (SELECT *, max(n) OVER (PARTITION BY word) AS most FROM near) GROUP BY word
+),
+formed AS (
+    SELECT v.word, v.n, coalesce(n_near, 0)::BIGINT AS n_near,
+        CASE WHEN best.form_n >= 10 * v.n THEN form END AS form, CASE WHEN best.form_n >= 10 * v.n THEN best.form_n END AS form_n
+    FROM v LEFT JOIN best USING (word)
+),
+walk(word, here, k) AS (
+    SELECT word, word, 0 FROM formed
+    UNION ALL
+    SELECT walk.word, form, k + 1 FROM walk JOIN formed ON formed.word = walk.here WHERE form IS NOT NULL
+)
+SELECT formed.word, form, root, n, n_near, form_n::BIGINT AS form_n
+FROM formed JOIN (SELECT word, arg_max(here, k) AS root FROM walk GROUP BY word) USING (word)
+"""
+
+
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from the labels that are not held out."""
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 3 == 1
+    labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet").where(~held_out)
+    scored = toxicity.score(_documents(spark, sf_dir), labels)
+    return scored.select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+        "lang",
+        "threshold",
+        F.col("toxic").alias("over_threshold"),
+    )
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline, over all documents."""
     import corpus_pipeline
@@ -255,6 +454,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_chat_formatting": op9_chat_formatting,
     "op10_quality_rules": op10_quality_rules,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_toxicity": op13_toxicity,
     "pipeline": pipeline,
 }
 
@@ -263,4 +465,6 @@ ORACLES: dict[str, str] = {
     "op7_embedding_neardup": OP7_SQL,
     "op9_chat_formatting": OP9_SQL,
     "op10_quality_rules": OP10_SQL,
+    "op11_merkle_manifest": OP11_SQL,
+    "op12_spelling_variants": OP12_SQL,
 }

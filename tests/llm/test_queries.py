@@ -27,7 +27,7 @@ def test_query_matches_sql(spark, connection, name):
 
 def test_all_are_registered():
     assert set(queries.QUERIES) <= set(entry_points.queries())
-    assert {name.split("_")[0] for name in queries.QUERIES} == {*(f"op{n}" for n in range(1, 11)), "pipeline"}
+    assert {name.split("_")[0] for name in queries.QUERIES} == {*(f"op{n}" for n in range(1, 14)), "pipeline"}
 
 
 @pytest.mark.parametrize("name", NATIVE)
