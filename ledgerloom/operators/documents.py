@@ -11,7 +11,7 @@ from ledgerloom.bounds import (
     MAX_TITLE_BYTES,
     MAX_TITLE_CHARS,
 )
-from ledgerloom.functions import ident, routes, text
+from ledgerloom.functions import ident, routes, set_digest, text
 
 # Documents are hashed per four-digit prefix of their key's hash first, so that
 # no list of all documents is ever gathered.
@@ -139,6 +139,34 @@ def snapshot_hash(documents: DataFrame) -> DataFrame:
     )
 
 
+def document_member(key: Column, sha256: Column) -> Column:
+    """A document as a member of the snapshot's set."""
+    return F.concat_ws(" ", key, sha256)
+
+
+def snapshot_change(documents: DataFrame, changes: DataFrame) -> DataFrame:
+    """Sums (members, lanes) by which changes (target_key, sha256) move the snapshot's set digest.
+
+    Only the changed documents are hashed: what they were is taken off, what they are is added.
+    """
+    old = documents.select("target_key", "sha256").join(
+        changes.select("target_key"), "target_key", "left_semi"
+    )
+    moved = old.withColumn("leaves", F.lit(True)).unionByName(
+        changes.select("target_key", "sha256").withColumn("leaves", F.lit(False))
+    )
+    return set_digest.summed(moved, [], document_member(F.col("target_key"), F.col("sha256")), F.col("leaves"))
+
+
+def snapshot_digest(parts: DataFrame) -> DataFrame:
+    """One row: number of documents and the set digest of all keys and contents, from stored sums."""
+    whole = set_digest.combined(parts, [])
+    return whole.select(
+        F.coalesce("members", F.lit(0)).cast("bigint").alias("documents"),
+        set_digest.digest(F.col("members"), F.col("lanes")).alias("snapshot_sha256"),
+    )
+
+
 def stale_snapshots(packets: DataFrame, documents: DataFrame) -> DataFrame:
     """Packets frozen against documents that have changed since."""
     current = snapshot_hash(documents).select("snapshot_sha256").scalar()
