@@ -3,14 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.once import with_once
 from ledgerloom.functions.text import truncate_utf8
+from ledgerloom.sources.scratch import stored
 
 SALTS = 32
+#: Keys of chosen rows, some hundred bytes each, that may be sent to every task.
+BROADCAST_KEYS = 200_000
 
 
 def first_rows(
@@ -36,6 +41,23 @@ def first_rows(
     )
 
 
+def chosen_rows(
+    df: DataFrame, group: Sequence[str], order: Sequence[str], limit: int, texts: DataFrame | None = None
+) -> DataFrame:
+    """The first ``limit`` rows of every group, found by their keys before anything else is read.
+
+    Only ``group`` and ``order`` are sorted and limited; the keys found are stored, and the rows that
+    have them are taken from ``texts`` (by default ``df``), so a scan of the texts keeps the chosen ones alone.
+    Rows that tie in order with the last one are taken too. The keys are broadcast if they
+    are at most ``BROADCAST_KEYS``, else both sides are shuffled by key.
+    """
+    keys = [*group, *order]
+    chosen = stored(first_rows(df.select(*keys), group, order, limit).select(*keys).distinct(), "chosen")
+    few = F.broadcast(chosen) if chosen.count() <= BROADCAST_KEYS else chosen
+    same = reduce(and_, [F.col(f"r.{key}").eqNullSafe(F.col(f"k.{key}")) for key in keys])
+    return (df if texts is None else texts).alias("r").join(few.alias("k"), same, "left_semi")
+
+
 def budgeted_prefix(
     df: DataFrame,
     group: Sequence[str],
@@ -44,22 +66,22 @@ def budgeted_prefix(
     max_items: int,
     total_bytes: int,
     text: str = "text",
+    texts: DataFrame | None = None,
 ) -> DataFrame:
     """Rows of every group, in order, until the row or byte budget is spent.
 
     Adds ``seq``, ``bounded`` and ``bounded_bytes``. The first row is always
     kept and cut to the budget if it is larger. Sizes are not negative, so once
     the running sum passes the budget it stays there and a filter is a stop.
+    Texts are read for the rows chosen by their keys, see ``chosen_rows``.
     """
-    running = (
-        Window.partitionBy(*group)
-        .orderBy("seq")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
+    ordered = Window.partitionBy(*group).orderBy(*order)
+    running = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     fits_alone = (F.col("seq") > 1) | (F.octet_length("_bound") <= total_bytes)
-    first = first_rows(df, group, order, max_items)
+    first = chosen_rows(df, group, order, max_items, texts)
     return (
         with_once(first, _bound=bound(F.col(text)))
+        .withColumn("seq", F.row_number().over(ordered))
         .withColumn(
             "bounded",
             F.when(fits_alone, F.col("_bound")).otherwise(
@@ -68,7 +90,7 @@ def budgeted_prefix(
         )
         .withColumn("bounded_bytes", F.octet_length("bounded").cast("bigint"))
         .withColumn("_used", F.sum("bounded_bytes").over(running))
-        .where(F.col("_used") <= total_bytes)
+        .where((F.col("_used") <= total_bytes) & (F.col("seq") <= max_items))
         .drop("_bound", "_used")
     )
 
@@ -82,25 +104,29 @@ def next_fit(
     total_bytes: int,
     max_batches: int,
     text: str = "text",
+    texts: DataFrame | None = None,
 ) -> DataFrame:
     """Consecutive batches of every group: repeat ``budgeted_prefix`` on what is left.
 
     Adds ``seq``, ``batch_no``, ``item_no``, ``bounded`` and ``bounded_bytes``.
     One run takes at most ``max_batches`` batches, so at most
-    ``max_batches * max_items`` rows of a group are gathered, with bounded text;
-    the fold over them keeps just the first row number of each batch. ``text``
-    itself is dropped.
+    ``max_batches * max_items`` rows of a group are chosen, by their keys, and stored with
+    bounded text; the fold gathers their sizes alone and keeps the first row number of each
+    batch. ``text`` itself is dropped. ``batching.whole_batches`` has no such limit.
     """
-    first = first_rows(df, group, order, max_batches * max_items)
-    sized = (
+    limit = max_batches * max_items
+    first = chosen_rows(df, group, order, limit, texts)
+    ordered = Window.partitionBy(*group).orderBy(*order)
+    sized = stored(
         with_once(first, _bound=bound(F.col(text)))
         .withColumn("_size", F.octet_length("_bound"))
         .withColumn("_alone", F.octet_length(truncate_utf8(F.col("_bound"), total_bytes)))
-        .drop(text)
-    )
-    carried = [name for name in sized.columns if name not in (*group, "seq")]
+        .withColumn("seq", F.row_number().over(ordered))
+        .drop(text),
+        "sized",
+    ).where(F.col("seq") <= limit)
     gathered = sized.groupBy(*group).agg(
-        F.array_sort(F.collect_list(F.struct("seq", *carried))).alias("_rows")
+        F.array_sort(F.collect_list(F.struct("seq", "_size", "_alone"))).alias("_rows")
     )
     start = F.struct(
         F.lit(0).alias("rows"),
@@ -130,12 +156,14 @@ def next_fit(
         )
 
     starts = F.aggregate("_rows", start, step, lambda state: state["starts"])
+    opened = gathered.select(*group, starts.alias("_starts"))
+    same = reduce(and_, [F.col(f"r.{name}").eqNullSafe(F.col(f"s.{name}")) for name in group])
     before = F.filter("_starts", lambda first: first <= F.col("seq"))
     alone = F.col("item_no") == 1
     return (
-        with_once(gathered, _starts=starts)
-        .select(*group, "_starts", F.explode("_rows").alias("_row"))
-        .select(*group, "_starts", "_row.*")
+        sized.alias("r")
+        .join(opened.alias("s"), same)
+        .select("r.*", "_starts")
         .withColumn("batch_no", F.size(before))
         .withColumn("item_no", F.col("seq") - F.element_at(before, -1) + 1)
         .where(F.col("batch_no") <= max_batches)

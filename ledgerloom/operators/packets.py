@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.bounds import MAX_BATCHES_PER_RUN, PacketBounds
-from ledgerloom.functions import ident, text
+from ledgerloom.functions import ident, set_digest, text
+from ledgerloom.functions.once import with_once
+from ledgerloom.operators import batching
 from ledgerloom.operators.daily import DAILY_ORDER
 from ledgerloom.operators.groups import budgeted_prefix, next_fit
 
@@ -49,10 +51,12 @@ def packet_items(
     available: DataFrame,
     bounds: PacketBounds | None = None,
     order: Sequence[str] = DAILY_ORDER,
+    records: DataFrame | None = None,
 ) -> DataFrame:
     """Items of the next packet of every day.
 
-    ``available`` holds (day, ids, order columns, text, source_text_sha256).
+    ``available`` holds (day, ids, order columns, text, source_text_sha256). With ``records``,
+    which hold the same rows and others, texts are read from there, and ``available`` is asked for keys alone.
     """
     bounds = bounds or PacketBounds()
     admitted = budgeted_prefix(
@@ -62,6 +66,7 @@ def packet_items(
         lambda body: text.truncate_utf8(body, bounds.item_bytes),
         bounds.max_items,
         bounds.total_bytes,
+        texts=records,
     )
     return _bound_items(admitted.drop("text"))
 
@@ -71,8 +76,9 @@ def batched_items(
     bounds: PacketBounds | None = None,
     max_batches: int = MAX_BATCHES_PER_RUN,
     order: Sequence[str] = DAILY_ORDER,
+    records: DataFrame | None = None,
 ) -> DataFrame:
-    """Items of the next ``max_batches`` packets of every day."""
+    """Items of the next ``max_batches`` packets of every day; ``records`` as in ``packet_items``."""
     if not 1 <= max_batches <= MAX_BATCHES_PER_RUN:
         raise ValueError(f"max_batches must be between 1 and {MAX_BATCHES_PER_RUN}")
     bounds = bounds or PacketBounds()
@@ -84,10 +90,41 @@ def batched_items(
         bounds.max_items,
         bounds.total_bytes,
         max_batches,
+        texts=records,
     )
     return _bound_items(batched)
 
 
+def all_batched_items(
+    available: DataFrame,
+    bounds: PacketBounds | None = None,
+    order: Sequence[str] = DAILY_ORDER,
+    records: DataFrame | None = None,
+    block_rows: int = batching.BLOCK_ROWS,
+) -> DataFrame:
+    """Items of all packets of every day, however many a day has; ``records`` as in ``packet_items``.
+
+    Batches are found on the sizes of the items alone; the texts meet them by key once, at the end.
+    """
+    bounds = bounds or PacketBounds()
+    keys = ["day", *order]
+
+    def bound(body: Column) -> Column:
+        return text.truncate_utf8(body, bounds.item_bytes)
+
+    placed = batching.whole_batches(
+        available, ["day"], order, bound, bounds.max_items, bounds.total_bytes, block_rows=block_rows
+    ).select(*keys, "seq", "batch_no", "item_no")
+    rows = (available if records is None else records).join(placed, keys)
+    cut = text.truncate_utf8(F.col("_bound"), bounds.total_bytes)
+    whole = (
+        with_once(rows, _bound=bound(F.col("text")))
+        .withColumn("bounded", F.when(F.col("item_no") == 1, cut).otherwise(F.col("_bound")))
+        .withColumn("bounded_bytes", F.octet_length("bounded").cast("bigint"))
+    )
+    return _bound_items(whole.drop("_bound", "text"))
+
+
 def checkpoint_sha256(timezone: Column, accounted: Column, batches: Column) -> Column:
     return ident.digest(
         {"accounted_sha256": accounted, "applied_batches": batches, "timezone": timezone}
@@ -117,6 +154,24 @@ def cursor_checkpoints(accounted: DataFrame, batches: DataFrame, zone: str = "UT
             "accounted_sha256"
         ),
     )
+    return _checkpoints(roots, batches, zone)
+
+
+def cursors_of_digests(digests: DataFrame, batches: DataFrame, zone: str = "UTC") -> DataFrame:
+    """Hash of the cursor of every lane and day from stored sums (lane, day, members, lanes) of the accounted ids.
+
+    It costs what runs stored, a row for each of their days, and not the ids.
+    """
+    roots = set_digest.combined(digests, ["lane", "day"]).select(
+        "lane",
+        "day",
+        F.col("members").alias("accounted"),
+        set_digest.digest(F.col("members"), F.col("lanes")).alias("accounted_sha256"),
+    )
+    return _checkpoints(roots, batches, zone)
+
+
+def _checkpoints(roots: DataFrame, batches: DataFrame, zone: str) -> DataFrame:
     in_order = F.array_sort(F.collect_list(F.struct("batch_seq", "batch_id")))
     applied = batches.groupBy("lane", "day").agg(
         F.transform(in_order, lambda b: b["batch_id"]).alias("applied_batches")
