@@ -177,6 +177,12 @@ def late_arrivals(records: DataFrame, accounted: DataFrame, closed_days: DataFra
     return pending.join(closed_days.select("day").distinct(), "day", "left_semi")
 
 
+def changed_days(records: DataFrame, since: int) -> DataFrame:
+    """(day, late_records): days that runs after ``since`` added records to."""
+    added = records.where(F.col("run") > since)
+    return added.groupBy("day").agg(F.count("*").alias("late_records"))
+
+
 def archive_candidates(digests: DataFrame, today: Column, keep_days: int) -> DataFrame:
     """Digests older than ``keep_days``, with the year and month they are kept under."""
     if keep_days < 0:

@@ -19,10 +19,10 @@ from ledgerloom.bounds import (
     DigestBounds,
     PacketBounds,
 )
-from ledgerloom.functions import ident, routes
+from ledgerloom.functions import ident, routes, set_digest
 from ledgerloom.operators import apply, daily, decisions, documents, ledger, packets
 from ledgerloom.session import configure
-from ledgerloom.sources import byte_ranges, tables
+from ledgerloom.sources import byte_ranges, run_tables, tables
 from ledgerloom.sources.run_tables import RunTables
 
 
@@ -72,7 +72,7 @@ def ingest(
     whose offsets are not to be trusted.
     """
     configure(spark)
-    run = store.last_run("ingest") + 1
+    run = store.next_run("ingest")
     files = byte_ranges.list_sources(spark, source_root, pattern)
     saved = store.offsets()
     _check_sources(spark, store, files, saved, verify_prefix)
@@ -114,7 +114,7 @@ def ingest_batch(
     reached = fresh.groupBy("source").agg(
         F.first("offset").alias("offset"), F.min("byte_start").alias("begin"), F.max("byte_end").alias("consumed")
     )
-    run = store.last_run("ingest") + 1
+    run = store.next_run("ingest")
     columns = ["source", "path", "length", "offset", "consumed"]
     store.write("frontier", run, files.join(reached, "source").where("begin = offset").select(*columns))
     frontier = store.read_run("frontier", run)
@@ -225,6 +225,30 @@ def write_daily_digests(
     daily.write_digests(daily.digest_documents(records, zone, bounds, days), folder)
 
 
+def refresh_digests(
+    store: RunTables, folder: str, zone: str = "UTC", bounds: DigestBounds | None = None
+) -> list[str]:
+    """Render again the digests of the days that runs since the last refresh added records to; returns the days.
+
+    How far the ledger was rendered is committed after the digests are written, so a refresh that is lost
+    is done again, and a late record renders its day alone.
+    """
+    run = store.next_run("digests")
+    rendered = store.commits("digests").agg(F.max(F.col("counters")["ledger_run"])).first()[0] or 0
+    last = store.last_run("ingest")
+    records = daily.with_local_day(store.read("ledger").where(F.col("run") <= last), zone)
+    # Calendar days, so their number is bounded by the time the logs cover.
+    days = [row["day"] for row in daily.changed_days(records, rendered).select("day").orderBy("day").collect()]
+    if days:
+        chosen = store.spark.createDataFrame([(day,) for day in days], "day date")
+        near = records.where(F.col("utc_day").between(days[0] - timedelta(days=1), days[-1] + timedelta(days=1)))
+        of_days = near.join(F.broadcast(chosen), "day", "left_semi")
+        daily.write_digests(daily.digest_documents(of_days, zone, bounds, chosen), folder)
+    if last > rendered:
+        store.commit("digests", run, {"ledger_run": last, "days": len(days)})
+    return [str(day) for day in days]
+
+
 def archive_digests(
     spark: SparkSession, digests: str, archive: str, today: str, keep_days: int, apply_copy: bool = False
 ) -> DataFrame:
@@ -268,12 +292,13 @@ def prepare_daily_packets(
     records = dated.select(
         "day", "record_id", "captured_at", "role", "text", F.col("text_sha256").alias("source_text_sha256")
     )
-    accounted, applied = store.read("accounted").where(F.col("lane") == "daily"), _applied(store)
+    accounted, applied, digests = store.read("accounted").where(F.col("lane") == "daily"), _applied(store), _digests(store)
     if day is not None:
-        accounted, applied = (rows.where(F.col("day") == F.lit(str(day)).cast("date")) for rows in (accounted, applied))
+        of_day = F.col("day") == F.lit(str(day)).cast("date")
+        accounted, applied, digests = (rows.where(of_day) for rows in (accounted, applied, digests))
     available = packets.pending(records, accounted)
-    items = packets.packet_items(available, bounds)
-    cursors = packets.cursor_checkpoints(accounted, applied, zone)
+    items = packets.packet_items(available, bounds, records=records)
+    cursors = packets.cursors_of_digests(digests, applied, zone)
     version = f"ledger-run-{store.last_run('ingest')}"
     return packets.build_packets(items, available, cursors, packets.DAILY_STAGE, version, zone, bounds)
 
@@ -282,15 +307,18 @@ def prepare_daily_batches(
     store: RunTables,
     zone: str = "UTC",
     bounds: PacketBounds | None = None,
-    max_batches: int = MAX_BATCHES_PER_RUN,
+    max_batches: int | None = MAX_BATCHES_PER_RUN,
 ) -> DataFrame:
-    """Items of the next ``max_batches`` packets of every day, as one table."""
+    """Items of the next ``max_batches`` packets of every day, or of all of them with None, as one table."""
     configure(store.spark)
     records = daily.with_local_day(store.read("ledger"), zone).select(
         "day", "record_id", "captured_at", "role", "text", F.col("text_sha256").alias("source_text_sha256")
     )
     accounted = store.read("accounted").where(F.col("lane") == "daily")
-    return packets.batched_items(packets.pending(records, accounted), bounds, max_batches)
+    available = packets.pending(records, accounted)
+    if max_batches is None:
+        return packets.all_batched_items(available, bounds, records=records)
+    return packets.batched_items(available, bounds, max_batches, records=records)
 
 
 def _ledger_near(store: RunTables, prepared: DataFrame) -> DataFrame:
@@ -303,6 +331,18 @@ def _ledger_near(store: RunTables, prepared: DataFrame) -> DataFrame:
     )
 
 
+def _digests(store: RunTables, ids: str = "accounted") -> DataFrame:
+    """Stored sums (lane, day, members, lanes) of a table's ids, and those of runs that stored none."""
+    lane = run_tables.TABLES[ids][0]
+    parts = store.read(f"{ids}_digests")
+    older = store.commits(lane).select("run").join(parts.select("run").distinct(), "run", "left_anti")
+    runs = [row["run"] for row in older.collect()]
+    if not runs:
+        return parts.drop("run")
+    unsummed = store.read(ids).where(F.col("run").isin(runs))
+    return parts.drop("run").unionByName(set_digest.summed(unsummed, ["lane", "day"], F.col("id")))
+
+
 def _applied(store: RunTables) -> DataFrame:
     return store.read("batches").select(F.lit("daily").alias("lane"), "day", "batch_seq", "batch_id")
 
@@ -313,14 +353,16 @@ def apply_daily(
     entries: DataFrame,
     omitted: DataFrame,
     zone: str = "UTC",
-    producers: DataFrame | None = None,
+    *,
+    producers: DataFrame,
 ) -> int:
     """Check decisions against their packets and apply them; returns batches applied.
 
     Packets whose batch is in place are skipped, so applying twice changes
     nothing. ``prepared`` must be stored packets: they are read several times.
-    ``producers`` names who made each packet's decisions and is checked if given.
+    ``producers`` names who made each packet's decisions.
     """
+    run = store.next_run("daily")
     items = packets.exploded_items(prepared).withColumnRenamed("record_id", "item_id")
     _require_none(decisions.validate_daily(items, entries, omitted, producers), "daily decisions are invalid")
     rebound = items.withColumnRenamed("item_id", "record_id")
@@ -329,13 +371,11 @@ def apply_daily(
     )
     batches = apply.daily_batches(prepared, entries, omitted)
     todo = apply.unapplied(batches, store.read("batches"))
-    accounted = store.read("accounted").where(F.col("lane") == "daily")
-    cursors = packets.cursor_checkpoints(accounted, _applied(store), zone)
+    cursors = packets.cursors_of_digests(_digests(store), _applied(store), zone)
     _require_none(
         packets.stale_packets(todo, cursors).select("packet_sha256", "day"),
         "a packet is stale against the current cursor",
     )
-    run = store.last_run("daily") + 1
     numbered = todo.withColumn("batch_seq", F.lit(run).cast("bigint"))
     columns = [
         "packet_sha256", "day", "timezone", "batch_id", "batch_seq", "result_sha256",
@@ -358,6 +398,8 @@ def apply_daily(
         F.lit("daily").alias("lane"), "day", F.col("item_id").alias("id")
     )
     store.write("accounted", run, admitted.distinct())
+    sums = set_digest.summed(store.read_run("accounted", run), ["lane", "day"], F.col("id"))
+    store.write("accounted_digests", run, sums)
     store.commit("daily", run, {"batches": applied})
     return applied
 
@@ -398,7 +440,7 @@ def prepare_sweep_packets(
     available = _undisposed_entries(store)
     items = packets.packet_items(available, bounds, SWEEP_ORDER)
     no_batches = _applied(store).where("false")
-    cursors = packets.cursor_checkpoints(store.read("disposed"), no_batches, zone)
+    cursors = packets.cursors_of_digests(_digests(store, "disposed"), no_batches, zone)
     _verify_commits(store)
     version = apply.commit_digests(store.read("batch_commits"))
     fields = ("entry_id", "daily_result_sha256", "source_text_sha256", "packet_text_sha256", "truncated")
@@ -413,13 +455,34 @@ def current_documents(store: RunTables) -> DataFrame:
     A run stores only the documents it wrote. Bodies are read only where they
     are used; checks need just keys and hashes.
     """
-    return (
-        store.read("documents")
-        .groupBy("target_key")
-        .agg(F.max_by("body", "run").alias("body"), F.max_by("sha256", "run").alias("sha256"))
+    return _latest(store.read("documents"))
+
+
+def current_snapshot(store: RunTables) -> str:
+    """Set digest of all current documents, from what each run changed."""
+    parts = store.read("document_digests")
+    older = store.commits("documents").select("run").join(parts.select("run").distinct(), "run", "left_anti")
+    before = older.agg(F.max("run")).first()[0] or 0
+    sums = parts.where(F.col("run") > before).drop("run")
+    if before:
+        # These runs stored no sums, so the documents as of them are summed.
+        latest = _latest(store.read("documents").where(F.col("run") <= before))
+        member = documents.document_member(F.col("target_key"), F.col("sha256"))
+        sums = sums.unionByName(set_digest.summed(latest, [], member))
+    return documents.snapshot_digest(sums).first()["snapshot_sha256"]
+
+
+def _latest(versions: DataFrame) -> DataFrame:
+    return versions.groupBy("target_key").agg(
+        F.max_by("body", "run").alias("body"), F.max_by("sha256", "run").alias("sha256")
     )
 
 
+def maintain(store: RunTables) -> dict[str, int]:
+    """Merge small runs of every lane; returns how many spans each lane got."""
+    return {lane: len(store.compact(lane)) for lane in ("ingest", "daily", "documents")}
+
+
 def apply_documents(
     store: RunTables,
     prepared: DataFrame,
@@ -428,17 +491,20 @@ def apply_documents(
     dispositions: DataFrame,
     frozen_snapshot_sha256: str,
     zone: str = "UTC",
-    producers: DataFrame | None = None,
+    *,
+    producers: DataFrame,
 ) -> int:
     """Check document decisions and write the documents they create or replace.
 
     ``prepared`` are stored packets of ``prepare_sweep_packets``. The job is refused if
     the day's commits, the cursor or any document changed since they were frozen, if a
-    create meets a stored document or a replace another content than it expects, or if a
-    document would be left without its parent. Decisions that are in place already
+    create meets a stored document or a replace another content than it expects, if a
+    document would be left without its parent, or if two keys would differ in case alone. Decisions that are in place already
     change nothing; other decisions for the same packet are refused. ``producers`` names who
-    made each packet's decisions and is checked if given. Returns the run.
+    made each packet's decisions. The frozen snapshot is that of ``current_snapshot``, or
+    ``documents.snapshot_hash`` of all documents, which costs a pass over their keys. Returns the run.
     """
+    run = store.next_run("documents")
     items = packets.exploded_items(prepared).withColumnRenamed("entry_id", "item_id")
     results = apply.sweep_results(prepared, changes, dispositions)
     known = store.read("sweeps").select("packet_sha256", F.col("result_sha256").alias("stored_sha256"))
@@ -454,25 +520,31 @@ def apply_documents(
     version = apply.commit_digests(store.read("batch_commits")).withColumnRenamed("source_version", "now")
     moved = prepared.join(version, "day", "left").where(~F.col("source_version").eqNullSafe(F.col("now")))
     _require_none(moved.select("packet_sha256", "day"), "the day's commits changed after the packet was frozen")
-    cursors = packets.cursor_checkpoints(store.read("disposed"), _applied(store).where("false"), zone)
+    cursors = packets.cursors_of_digests(_digests(store, "disposed"), _applied(store).where("false"), zone)
     _require_none(
         packets.stale_packets(prepared, cursors).select("packet_sha256", "day"),
         "a packet is stale against the current cursor",
     )
     current = current_documents(store)
-    now = documents.snapshot_hash(current).first()["snapshot_sha256"]
-    if now != frozen_snapshot_sha256:
-        raise LedgerError("documents changed after the snapshot was frozen")
+    if frozen_snapshot_sha256 != current_snapshot(store):
+        if frozen_snapshot_sha256 != documents.snapshot_hash(current).first()["snapshot_sha256"]:
+            raise LedgerError("documents changed after the snapshot was frozen")
     keyed = changes.select(
         routes.target_key(F.col("target")).alias("target_key"), "action", "expected_sha256", "body"
     )
     _require_none(ledger.duplicate_ids(keyed, "target_key"), "two packets change one document")
     _require_none(documents.wrong_preimages(current, keyed), "a stored document is not the expected preimage")
     _require_none(documents.orphans(current, keyed.select("target_key", "body")), "a document has no parent")
-    run = store.last_run("documents") + 1
+    _require_none(
+        documents.casefold_collisions(current.select("target_key").union(keyed.select("target_key")), "target_key"),
+        "two keys differ in case alone",
+    )
     store.write("documents", run, keyed.select("target_key", "body", ident.sha256_hex(F.col("body")).alias("sha256")))
+    store.write("document_digests", run, documents.snapshot_change(current, store.read_run("documents", run)))
     disposed = items.select(F.lit("documents").alias("lane"), "day", F.col("item_id").alias("id"))
     store.write("disposed", run, disposed.distinct())
+    sums = set_digest.summed(store.read_run("disposed", run), ["lane", "day"], F.col("id"))
+    store.write("disposed_digests", run, sums)
     behind = dispositions.join(
         items.select("packet_sha256", F.col("item_id").alias("entry_id"), F.col("daily_result_sha256").alias("result_sha256")),
         ["packet_sha256", "entry_id"],

@@ -197,6 +197,13 @@ def decide(items, omit="nothing"):
     return entries, omitted
 
 
+def made_by(prepared):
+    """A well named producer for every packet."""
+    return prepared.selectExpr(
+        "packet_sha256", "'tool' AS kind", "'1' AS tool_version", "'m' AS model", "'high' AS reasoning_effort", "'p' AS isolation_profile"
+    )
+
+
 def frozen(spark, df, path):
     df.write.mode("overwrite").parquet(str(path))
     return spark.read.parquet(str(path))
@@ -216,10 +223,12 @@ def test_daily_packets_drain_and_apply_once(spark, logs, store, tmp_path):
             again = jobs.prepare_daily_packets(store, bounds=bounds).first()
             assert again["packet_sha256"] == prepared.first()["packet_sha256"]
             with pytest.raises(jobs.LedgerError, match="invalid"):
-                jobs.apply_daily(store, prepared, decisions[0].where("entry_no > 1"), decisions[1])
-        named = prepared.selectExpr(
-            "packet_sha256", "'tool' AS kind", "'1' AS tool_version", "'m' AS model", "'high' AS reasoning_effort", "'p' AS isolation_profile"
-        )
+                jobs.apply_daily(store, prepared, decisions[0].where("entry_no > 1"), decisions[1], producers=made_by(prepared))
+        named = made_by(prepared)
+        with pytest.raises(jobs.LedgerError, match="invalid"):
+            jobs.apply_daily(store, prepared, *decisions, producers=named.where("false"))
+        with pytest.raises(TypeError, match="producers"):
+            jobs.apply_daily(store, prepared, *decisions)
         with pytest.raises(jobs.LedgerError, match="invalid"):
             jobs.apply_daily(store, prepared, *decisions, producers=named.withColumn("reasoning_effort", F.lit("much")))
         of_day = jobs.prepare_daily_packets(store, bounds=bounds, day=str(prepared.first()["day"])).first()
@@ -232,10 +241,10 @@ def test_daily_packets_drain_and_apply_once(spark, logs, store, tmp_path):
     assert left == [3, 0] and len(seen) == 7
     assert jobs.prepare_daily_packets(store, bounds=bounds).count() == 0
     assert store.read("entries").count() == 6 and store.last_run("daily") == 2
-    assert jobs.apply_daily(store, first[0], *first[1]) == 0
+    assert jobs.apply_daily(store, first[0], *first[1], producers=made_by(first[0])) == 0
     other = first[1][0].withColumn("summary", F.lit("Different"))
     with pytest.raises(jobs.LedgerError, match="stale"):
-        jobs.apply_daily(store, first[0], other, first[1][1])
+        jobs.apply_daily(store, first[0], other, first[1][1], producers=made_by(first[0]))
     late = event("late", 30)
     (logs / "2024" / "more.jsonl").write_bytes(lines + late)
     jobs.ingest(spark, str(logs), store)
@@ -248,7 +257,7 @@ def test_all_omitted_batch_closes(spark, logs, store, tmp_path):
     items = packets.exploded_items(prepared)
     omitted = items.select("packet_sha256", "record_id", F.lit("low_signal").alias("reason"))
     entries, _ = decide(items.where("false"))
-    assert jobs.apply_daily(store, prepared, entries, omitted) == 1
+    assert jobs.apply_daily(store, prepared, entries, omitted, producers=made_by(prepared)) == 1
     assert jobs.prepare_daily_packets(store).count() == 0
     assert "| included | 0 |\n| omitted | 2 |" in store.read("batch_documents").first()["document"]
 
@@ -256,7 +265,7 @@ def test_all_omitted_batch_closes(spark, logs, store, tmp_path):
 def test_documents_are_created_and_replaced(spark, logs, store, tmp_path):
     jobs.ingest(spark, str(logs), store)
     prepared = frozen(spark, jobs.prepare_daily_packets(store), tmp_path / "p")
-    jobs.apply_daily(store, prepared, *decide(packets.exploded_items(prepared)))
+    jobs.apply_daily(store, prepared, *decide(packets.exploded_items(prepared)), producers=made_by(prepared))
     packet = jobs.prepare_sweep_packets(store).first()
     assert packet["stage"] == packets.DOCUMENT_STAGE and len(packet["items"]) == 2
     assert jobs.prepare_sweep_packets(store).first()["packet_sha256"] == packet["packet_sha256"]
@@ -294,37 +303,37 @@ def test_documents_are_created_and_replaced(spark, logs, store, tmp_path):
     decided = promoted(swept, chain[3])
     empty = snapshot()
     with pytest.raises(jobs.LedgerError, match="parent"):
-        jobs.apply_documents(store, swept, context(sha), creates.where("change_no <> 2"), decided, empty)
+        jobs.apply_documents(store, swept, context(sha), creates.where("change_no <> 2"), decided, empty, producers=made_by(swept))
     with pytest.raises(jobs.LedgerError, match="invalid"):
-        jobs.apply_documents(store, swept, context(sha), creates, decided.where("false"), empty)
+        jobs.apply_documents(store, swept, context(sha), creates, decided.where("false"), empty, producers=made_by(swept))
     with pytest.raises(jobs.LedgerError, match="snapshot"):
-        jobs.apply_documents(store, swept, context(sha), creates, decided, "0" * 64)
+        jobs.apply_documents(store, swept, context(sha), creates, decided, "0" * 64, producers=made_by(swept))
     with pytest.raises(jobs.LedgerError, match="commits changed"):
-        jobs.apply_documents(store, swept.withColumn("source_version", F.lit("0" * 64)), context(sha), creates, decided, empty)
+        jobs.apply_documents(store, swept.withColumn("source_version", F.lit("0" * 64)), context(sha), creates, decided, empty, producers=made_by(swept))
     with pytest.raises(jobs.LedgerError, match="stale"):
-        jobs.apply_documents(store, swept.withColumn("cursor_sha256", F.lit("0" * 64)), context(sha), creates, decided, empty)
-    assert jobs.apply_documents(store, swept, context(sha), creates, decided, empty) == 1
+        jobs.apply_documents(store, swept.withColumn("cursor_sha256", F.lit("0" * 64)), context(sha), creates, decided, empty, producers=made_by(swept))
+    assert jobs.apply_documents(store, swept, context(sha), creates, decided, empty, producers=made_by(swept)) == 1
     assert jobs.current_documents(store).count() == 4
     assert jobs.prepare_sweep_packets(store).count() == 0
     # The same decisions again change nothing; others for the packet are refused.
-    assert jobs.apply_documents(store, swept, context(sha), creates, decided, empty) == 1
+    assert jobs.apply_documents(store, swept, context(sha), creates, decided, empty, producers=made_by(swept)) == 1
     with pytest.raises(jobs.LedgerError, match="other decisions"):
-        jobs.apply_documents(store, swept, context(sha), change(0, chain[0], body="Other"), decided, empty)
+        jobs.apply_documents(store, swept, context(sha), change(0, chain[0], body="Other"), decided, empty, producers=made_by(swept))
     (logs / "2024" / "later.jsonl").write_bytes(event("later", 30))
     jobs.ingest(spark, str(logs), store)
     later = frozen(spark, jobs.prepare_daily_packets(store), tmp_path / "p2")
-    jobs.apply_daily(store, later, *decide(packets.exploded_items(later)))
+    jobs.apply_daily(store, later, *decide(packets.exploded_items(later)), producers=made_by(later))
     second = frozen(spark, jobs.prepare_sweep_packets(store), tmp_path / "s2")
     sha2 = second.first()["packet_sha256"]
     old = spark.range(1).select(ident.sha256_hex(F.lit("Body"))).first()[0]
     blind = spark.createDataFrame([], "packet_sha256 string, target_key string, document_sha256 string")
     with pytest.raises(jobs.LedgerError, match="preimage"):
-        jobs.apply_documents(store, second, blind, change(0, chain[3], packet_sha256=sha2), promoted(second, chain[3]), snapshot())
+        jobs.apply_documents(store, second, blind, change(0, chain[3], packet_sha256=sha2), promoted(second, chain[3]), snapshot(), producers=made_by(second))
     wrong = change(0, chain[3], "replace", "0" * 64, packet_sha256=sha2)
     with pytest.raises(jobs.LedgerError, match="preimage"):
-        jobs.apply_documents(store, second, context(sha2), wrong, promoted(second, chain[3]), snapshot())
+        jobs.apply_documents(store, second, context(sha2), wrong, promoted(second, chain[3]), snapshot(), producers=made_by(second))
     replaced = change(0, chain[3], "replace", old, "New body", packet_sha256=sha2)
-    assert jobs.apply_documents(store, second, context(sha2), replaced, promoted(second, chain[3]), snapshot()) == 2
+    assert jobs.apply_documents(store, second, context(sha2), replaced, promoted(second, chain[3]), snapshot(), producers=made_by(second)) == 2
     bodies = {r["target_key"]: r["body"] for r in jobs.current_documents(store).collect()}
     assert bodies["stm/work/spark/note"] == "New body" and len(bodies) == 4
     assert store.read("sweeps").count() == 2
@@ -333,7 +342,7 @@ def test_documents_are_created_and_replaced(spark, logs, store, tmp_path):
 def test_damaged_batches_stop_a_sweep(spark, logs, store, tmp_path):
     jobs.ingest(spark, str(logs), store)
     prepared = frozen(spark, jobs.prepare_daily_packets(store), tmp_path / "p")
-    jobs.apply_daily(store, prepared, *decide(packets.exploded_items(prepared)))
+    jobs.apply_daily(store, prepared, *decide(packets.exploded_items(prepared)), producers=made_by(prepared))
     changed = store.read_run("batch_documents", 1).withColumn("document", F.lit("changed"))
     changed = spark.createDataFrame(changed.collect(), changed.schema)
     store.write("batch_documents", 1, changed)
