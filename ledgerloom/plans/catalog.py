@@ -6,6 +6,7 @@ from ledgerloom.plans import (
     document_queries,
     ingest_queries,
     packet_queries,
+    state_queries,
     text_queries,
 )
 from ledgerloom.plans.registry import ORACLES, QUERIES
@@ -16,6 +17,7 @@ MODULES = (
     document_queries,
     ingest_queries,
     packet_queries,
+    state_queries,
     text_queries,
 )
 

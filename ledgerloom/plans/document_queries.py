@@ -53,7 +53,7 @@ def _layered(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-_DOCS = """
+DOCS_SQL = """
 good AS (SELECT doc_id FROM labels WHERE quality = 1),
 docs AS (
   SELECT 'stm' AS layer, lang AS tree, source AS branch, 'doc-' || doc_id AS leaf, text AS body,
@@ -79,7 +79,7 @@ FROM (SELECT left(sha256(target_key), 4) AS prefix, count(*) AS n,
 @query(
     "target_key",
     o.with_(
-        _DOCS,
+        DOCS_SQL,
         """SELECT target_key, layer <> 'stm' OR leaf <> 'doc-0' AS valid,
            CASE WHEN layer = 'mtm' THEN target_key ELSE layer || '/' || coalesce(tree, '') || '/' || coalesce(branch, '')
              || '/' || coalesce(leaf, '') END AS key, coalesce(regexp_full_match(branch, '[a-z0-9-]+'), false)
@@ -104,7 +104,7 @@ def target_key(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "orphan_documents",
     o.with_(
-        _DOCS,
+        DOCS_SQL,
         """SELECT target_key, parent_key FROM (SELECT target_key, CASE layer
              WHEN 'stm' THEN 'mtm/' || tree || '/' || branch || '/' WHEN 'mtm' THEN 'ltm/' || tree || '//'
              WHEN 'ltm' THEN 'xltm///' END AS parent_key FROM docs)
@@ -115,7 +115,7 @@ def orphan_documents(spark: SparkSession, sf: str) -> DataFrame:
     return documents.orphans(sample_documents(spark, sf))
 
 
-@query("snapshot_hash", o.with_(_DOCS, _SNAPSHOT))
+@query("snapshot_hash", o.with_(DOCS_SQL, _SNAPSHOT))
 def snapshot_hash(spark: SparkSession, sf: str) -> DataFrame:
     return documents.snapshot_hash(sample_documents(spark, sf))
 
@@ -123,7 +123,7 @@ def snapshot_hash(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "snapshot_freshness",
     o.with_(
-        _DOCS,
+        DOCS_SQL,
         f"""SELECT DISTINCT source AS packet_sha256, snapshot_sha256 AS current_snapshot_sha256
             FROM documents, ({_SNAPSHOT}) WHERE lang <> 'en'
             AND source NOT IN (SELECT source FROM documents WHERE lang = 'en')
@@ -245,7 +245,7 @@ def _decided(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFr
     return items, changes, dispositions
 
 
-_SWEEP = _DOCS + """,
+_SWEEP = DOCS_SQL + """,
 labelled AS (SELECT d.*, quality, toxic, sha256('sweep-' || (doc_id // 20)) AS packet_sha256,
     sha256('entry-' || doc_id) AS entry_id, 'stm/' || lang || '/' || source || '/doc-' || doc_id AS leaf_key,
     'mtm/' || lang || '/' || source || '/' AS board_key,

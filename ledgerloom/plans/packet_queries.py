@@ -46,7 +46,7 @@ def applied_batches(records: DataFrame) -> DataFrame:
     )
 
 
-_PENDING = o.DAILY + """,
+PENDING_SQL = o.DAILY + """,
 morning AS (SELECT * FROM daily WHERE substr(captured_at, 12, 2) < '06'),
 pending AS (SELECT * FROM daily WHERE record_id NOT IN (SELECT record_id FROM morning)),
 prefixes AS (SELECT day, left(record_id, 4) AS prefix, count(*) AS ids,
@@ -58,7 +58,7 @@ cursors AS (SELECT day, accounted, sha256(day || '#1') || ',' || sha256(day || '
     || sha256(day || '#2') || '"],"timezone":"Asia/Seoul"}') AS checkpoint_sha256 FROM roots)
 """
 
-_ITEMS = _PENDING + f""",
+_ITEMS = PENDING_SQL + f""",
 bound AS (SELECT *, {o.truncated('text', 600)} AS packet_text,
   row_number() OVER (PARTITION BY day ORDER BY captured_at, record_id) AS seq FROM pending),
 sized AS (SELECT *, strlen(packet_text) AS bytes, sum(strlen(packet_text)) OVER (PARTITION BY day ORDER BY seq) AS used
@@ -85,7 +85,7 @@ def built_packets(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@query("admission_pending", o.with_(_PENDING, "SELECT day, record_id FROM pending"))
+@query("admission_pending", o.with_(PENDING_SQL, "SELECT day, record_id FROM pending"))
 def admission_pending(spark: SparkSession, sf: str) -> DataFrame:
     records = available_records(spark, sf).select("day", "record_id", "captured_at")
     return packets.pending(records, accounted_ids(records)).select("day", "record_id")
@@ -93,7 +93,7 @@ def admission_pending(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "cursor_checkpoint",
-    o.with_(_PENDING, "SELECT day, accounted, applied_batches, checkpoint_sha256 FROM cursors"),
+    o.with_(PENDING_SQL, "SELECT day, accounted, applied_batches, checkpoint_sha256 FROM cursors"),
 )
 def cursor_checkpoint(spark: SparkSession, sf: str) -> DataFrame:
     records = available_records(spark, sf).select("day", "record_id", "captured_at")
@@ -216,7 +216,7 @@ def stale_cursor(spark: SparkSession, sf: str) -> DataFrame:
     return packets.stale_packets(todo, now).select("day", "packet_sha256")
 
 
-NEXT_FIT = _PENDING + f""",
+NEXT_FIT = PENDING_SQL + f""",
 bound AS (SELECT day, record_id, text, {o.truncated('text', 600)} AS bounded,
   row_number() OVER (PARTITION BY day ORDER BY captured_at, record_id) AS seq FROM daily),
 sized AS (SELECT day, record_id, seq, strlen(bounded) AS bytes FROM bound),
