@@ -2,13 +2,15 @@
 
 Patterns find candidates: the base forms of e-mail addresses, IP addresses, card and
 phone numbers, and looser forms. Labelers vote on each candidate: its pattern's own check,
-its shape, a gazetteer (mail domains, issuer prefixes, area codes) and the words before it.
+its shape, a gazetteer (mail providers and top-level domains, address ranges, issuer prefixes with
+lengths, country codes with lengths) and the words before it.
 Votes are counted by combination over the whole corpus, which is a table of bounded
 size; expectation-maximisation on these counts gives each labeler's reliability and each
 combination's chance to be personal data; with these chances a naive Bayes classifier
 over features of the span is trained on the same counts. Base spans that pass their check
-always stay; a looser candidate is added if the classifier finds it likelier than not
-and it does not overlap a base span.
+always stay; a looser candidate is added if the classifier finds it likelier than not,
+it passes its kind's check and it does not overlap a base span. Base matches that fail their check are examples to
+learn from and are never added.
 
 The text is scanned by each pattern only if a cheap test finds what the pattern needs,
 and patterns begin at the edges of character runs and never give characters back, so
@@ -90,13 +92,83 @@ CONTEXT = {
     "phone": r"(?i)\b(phone|tel|telephone|telefon|téléphone|teléfono|mobile|call|fax)\b",
 }
 AGAINST = r"(?i)\b(version|isbn|issn|invoice|order|page|section|build|serial|rev|doi)\b"
-#: Gazetteers as patterns over the span: mail domains, private and public ranges, issuers, area codes.
-GAZETTEER = {
-    "email": r"(?i)[@)\]]\x20?[a-z0-9.-]*\b(?:gmail|yahoo|outlook|hotmail|proton|gmx|web|orange|example|mail[0-9]*)\b",
-    "ip": r"^(?:[1-9]|1[0-9][0-9]|2[0-4][0-9]|[1-9][0-9])\.|^2[0-9a-f]{3}:",
-    "card": r"^(?:4|5[1-5]|3[47]|6011|65|22)",
-    "phone": r"^(?:\+|\(?[2-9])",
-}
+#: Mail providers, and top-level domains besides those of two letters.
+PROVIDERS = (
+    "aol", "fastmail", "free", "freenet", "gmail", "gmx", "googlemail", "hotmail", "icloud", "laposte", "live", "mac",
+    "mail", "me", "msn", "orange", "outlook", "posteo", "proton", "protonmail", "qq", "sfr", "t-online", "terra",
+    "wanadoo", "web", "yahoo", "yandex", "zoho",
+)
+DOMAINS = ("com", "org", "net", "edu", "gov", "mil", "int", "info", "biz", "name", "dev", "app", "cloud", "online", "site")
+#: Address ranges that name no host on the public network: (first parts, how far the next part goes).
+SPECIAL_RANGES = (
+    ("0", 0, 255), ("10", 0, 255), ("100", 64, 127), ("127", 0, 255), ("169", 254, 254), ("172", 16, 31),
+    ("192.0", 0, 0), ("192.0", 2, 2), ("192.88", 99, 99), ("192", 168, 168), ("198", 18, 19), ("198.51", 100, 100),
+    ("203.0", 113, 113), ("", 224, 255),
+)
+#: Card issuers: (first and last prefix, lengths).
+ISSUERS = (
+    ("4", "4", (13, 16, 19)), ("51", "55", (16,)), ("2221", "2720", (16,)), ("34", "34", (15,)), ("37", "37", (15,)),
+    ("6011", "6011", (16, 17, 18, 19)), ("644", "649", (16, 17, 18, 19)), ("65", "65", (16, 17, 18, 19)),
+    ("300", "305", (14, 15, 16, 17, 18, 19)), ("36", "36", (14, 15, 16, 17, 18, 19)), ("38", "39", (16, 17, 18, 19)),
+    ("3528", "3589", (16, 17, 18, 19)), ("62", "62", (16, 17, 18, 19)), ("50", "50", (14, 15, 16, 17, 18, 19)),
+    ("56", "58", (14, 15, 16, 17, 18, 19)), ("63", "63", (16, 17, 18, 19)), ("67", "67", (16, 17, 18, 19)),
+    ("2200", "2204", (16, 17, 18, 19)),
+)
+#: Country codes, with the least and most digits of a whole number.
+COUNTRY_CODES = {
+    "1": (11, 11), "7": (11, 11), "20": (11, 12), "27": (11, 11), "30": (12, 12), "31": (11, 11), "32": (10, 11),
+    "33": (11, 11), "34": (11, 11), "36": (10, 11), "39": (10, 13), "40": (11, 11), "41": (11, 11), "43": (10, 15),
+    "44": (11, 12), "45": (10, 10), "46": (10, 12), "47": (10, 10), "48": (11, 11), "49": (10, 15), "51": (10, 11),
+    "52": (12, 13), "53": (10, 10), "54": (12, 13), "55": (12, 13), "56": (11, 11), "57": (12, 12), "58": (12, 12),
+    "60": (10, 12), "61": (11, 11), "62": (10, 15), "63": (10, 12), "64": (10, 12), "65": (10, 10), "66": (10, 11),
+    "81": (11, 12), "82": (10, 12), "84": (11, 12), "86": (12, 13), "90": (12, 12), "91": (12, 12), "92": (11, 12),
+    "94": (11, 11), "98": (12, 12), "212": (12, 12), "213": (11, 12), "216": (11, 11), "221": (12, 12),
+    "233": (12, 12), "234": (11, 13), "254": (12, 12), "351": (12, 12), "352": (10, 12), "353": (10, 12),
+    "354": (10, 10), "358": (10, 13), "359": (11, 12), "370": (11, 11), "371": (11, 11), "372": (10, 11),
+    "380": (12, 12), "381": (11, 12), "385": (11, 12), "386": (11, 11), "420": (12, 12), "421": (12, 12),
+    "506": (11, 11), "593": (11, 12), "598": (11, 11), "852": (11, 11), "880": (12, 13), "886": (11, 12),
+    "961": (10, 11), "962": (11, 12), "966": (11, 12), "971": (11, 12), "972": (11, 12), "995": (12, 12),
+}
+_SPACE_AND_MARKS = r"[\x20().-]"
+
+
+def _listed(kind: str, value: Column) -> Column:
+    """The gazetteer's vote on a span: 1 if it lists what the span begins or ends with, -1 if it lists none such."""
+    if kind == "email":
+        host = F.regexp_replace(F.lower(value), r"\x20|[\[(]dot[\])]", ".")
+        ending = F.regexp_like(host, F.lit(rf"\.(?:{'|'.join(DOMAINS)}|[a-z]{{2}})$"))
+        provider = F.regexp_like(host, F.lit(rf"[@)\].](?:{'|'.join(PROVIDERS)})\.+[a-z]"))
+        return F.when(provider, 1).when(ending, 0).otherwise(-1)
+    if kind == "ip":
+        parts = F.split(value, r"\.")
+
+        def inside(first: str, low: int, high: int) -> Column:
+            before = [p for p in first.split(".") if p]
+            own = F.get(parts, F.lit(len(before))).try_cast("int").between(low, high)
+            for place, part in enumerate(before):
+                own = own & (F.get(parts, F.lit(place)).try_cast("int") == int(part))
+            return own
+
+        special = inside(*SPECIAL_RANGES[0])
+        for row in SPECIAL_RANGES[1:]:
+            special = special | inside(*row)
+        long = F.contains(value, F.lit(":"))
+        public = F.regexp_like(F.lower(value), F.lit("^[23][0-9a-f]{3}:")) & ~F.regexp_like(F.lower(value), F.lit("^2001:0?db8:"))
+        return F.when(F.when(long, public).otherwise(~F.coalesce(special, F.lit(True))), 1).otherwise(-1)
+    digits = _digits(value)
+    if kind == "card":
+        found = F.lit(False)
+        for first, last, lengths in ISSUERS:
+            prefix = F.substring(digits, 1, len(first)).try_cast("int")
+            found = found | (prefix.between(int(first), int(last)) & F.char_length(digits).isin(*lengths))
+        return F.when(F.coalesce(found, F.lit(False)), 1).otherwise(-1)
+    codes = F.create_map(*[F.lit(x) for code, (low, high) in COUNTRY_CODES.items() for x in (code, low * 100 + high)])
+    bounds = F.coalesce(*[F.element_at(codes, F.substring(digits, 1, size)) for size in (1, 2, 3)])
+    length = F.char_length(digits)
+    whole = (length >= F.floor(bounds / 100)) & (length <= bounds % 100)
+    local = F.regexp_like(digits, F.lit("^[2-9][0-8][0-9][2-9][0-9]{6}$"))
+    return F.when(F.coalesce(F.when(F.startswith(value, F.lit("+")), whole).otherwise(local), F.lit(False)), 1).otherwise(-1)
+
 
 
 def _prefix_sums(values: Column) -> Column:
@@ -173,14 +245,17 @@ def _candidate(form: Form, value: Column, before: Column, end: Column) -> Column
         F.array(
             F.when(passes, 1).otherwise(-1),
             F.when(plain, -1).otherwise(1),
-            F.when(F.regexp_like(value, F.lit(GAZETTEER[form.kind])), 1).otherwise(0),
+            _listed(form.kind, value),
             _sign(F.regexp_like(context, F.lit(CONTEXT[form.kind])), F.regexp_like(context, F.lit(AGAINST))),
         ).alias("votes"),
         F.array(
             F.lit(FORMS.index(form)),
             F.least(F.floor(length / 4).cast("int"), F.lit(12)),
             F.round(digits / length * 4).cast("int"),
-            F.least(length - F.char_length(F.regexp_replace(value, r"[\x20().-]", "")), F.lit(5)),
+            F.least(length - F.char_length(F.regexp_replace(value, _SPACE_AND_MARKS, "")), F.lit(5)),
+            _sign(F.regexp_like(context, F.lit(CONTEXT[form.kind])), F.regexp_like(context, F.lit(AGAINST))),
+            # What stands right before: a letter or digit speaks of a longer token.
+            F.regexp_like(before, F.lit("[0-9A-Za-z]$")).cast("int"),
         ).alias("features"),
     )
 
@@ -311,8 +386,12 @@ def spans(found: DataFrame, model: Model) -> DataFrame:
     def apart(c: Column) -> Column:
         return ~F.exists("base_spans", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"]))
 
+    def may_be_added(c: Column) -> Column:
+        base_form = F.get(c["features"], F.lit(0)).isin([k for k, form in enumerate(FORMS) if form.base])
+        return ~base_form & (F.get(c["votes"], F.lit(0)) == 1)
+
     added = F.transform(
-        F.filter("loose", lambda c: model.accepts(c["features"]) & apart(c)),
+        F.filter("loose", lambda c: may_be_added(c) & model.accepts(c["features"]) & apart(c)),
         lambda c: F.struct(c["start"], c["kind"], c["end"]),
     )
     every = F.sort_array(F.array_distinct(F.concat("base_spans", added)))
@@ -354,10 +433,15 @@ def redacted(text: Column, spans_column: str) -> Column:
 
 
 def find(df: DataFrame, text_column: str = "text", keep: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
-    """Rows with ``base_spans`` and ``spans``. ``keep`` may drop columns, such as the text, before rows are stored."""
-    found = candidates(df, text_column)
-    found = stored(keep(found) if keep else found, "candidates")
-    return spans(found, fit(found))
+    """Rows with ``base_spans`` and ``spans``; ``keep`` may drop columns, such as the text, before rows are stored.
+
+    Other columns are kept, whatever their names.
+    """
+    kept = (keep(df) if keep else df).drop("base_spans", "spans").columns
+    # Each row as a whole, so that none of its columns is taken for one of these.
+    whole = df.select(F.struct(*[F.col(f"`{name}`") for name in kept]).alias("_row"), F.col(text_column).alias("_text"))
+    found = stored(candidates(whole, "_text").drop("_text"), "candidates")
+    return spans(found, fit(found)).select("_row.*", "base_spans", "spans")
 
 
 def redact(df: DataFrame, text_column: str = "text") -> DataFrame:

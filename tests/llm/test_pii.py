@@ -124,3 +124,66 @@ def test_labelers_that_agree_are_found_reliable():
     chance, tables = pii._reliabilities([good, bad, noisy])
     assert chance[0] > 0.9 and chance[1] < 0.1
     assert tables[0][1][0] > tables[0][1][1]
+
+
+def spans_in(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = pii.find(df).select("doc_id", pii.listing("base_spans").alias("base"), pii.listing("spans").alias("spans"))
+    return {r["doc_id"]: (r["base"], r["spans"]) for r in found.collect()}
+
+
+def test_failing_base_matches_are_never_added(spark):
+    rng = random.Random(5)
+    good = [f"phone +1 ({rng.randint(200, 899)}) {rng.randint(200, 999)}-{rng.randint(1000, 9999)}" for _ in range(60)]
+    good += [f"card 4111 1111 1111 1111 and mail a{n}@gmail.com host 8.8.{n}.1" for n in range(60)]
+    bad = ["build 999.999.999.999 and card 4111 1111 1111 1112", "sha d41d8cd98f00b20498765432109876543210e9800998ecf8427e", "+12 345"]
+    found = spans_in(spark, [*good, *bad])
+    for number in range(len(good), len(good) + len(bad)):
+        assert found[number] == ("", ""), bad[number - len(good)]
+
+
+def plain_accepts(model, features):
+    return model.bias is not None and model.bias + sum(t.get(f, 0.0) for t, f in zip(model.weights, features, strict=True)) > 0
+
+
+def test_added_spans_against_a_plain_pass_over_the_candidates(spark):
+    rng = random.Random(7)
+    bits = [*BITS, "call (375) 555-4393 ", "ip 2001:0:1:2:3:4:5:6 ", "joe (at) gmail (dot) com ", "9" * 17 + " 4111 1111 1111 1111 "]
+    texts = ["".join(rng.choice(bits) for _ in range(rng.randint(0, 12))) for _ in range(600)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = pii.candidates(df)
+    model = pii.fit(found)
+    made = {r["doc_id"]: r["spans"] for r in pii.spans(found, model).select("doc_id", "spans").collect()}
+    added = 0
+    for r in found.collect():
+        wanted = {tuple(s) for s in r["base_spans"]}
+        own = list(wanted)
+        for c in r["loose"]:
+            free = all(c["end"] <= s or e <= c["start"] for s, _, e in own)
+            if not pii.FORMS[c["features"][0]].base and c["votes"][0] == 1 and plain_accepts(model, c["features"]) and free:
+                wanted.add((c["start"], c["kind"], c["end"]))
+        assert [tuple(s) for s in made[r["doc_id"]]] == sorted(wanted)
+        added += len(wanted) - len(own)
+    assert added
+
+
+def test_gazetteers(spark):
+    cases = {
+        "email": {"a@gmail.com": 1, "joe (at) web (dot) de": 1, "a@b.org": 0, "a@b.co": 0, "a@b.localhost": -1},
+        "ip": {"8.8.8.8": 1, "10.1.2.3": -1, "172.20.1.1": -1, "172.32.1.1": 1, "192.0.2.9": -1, "240.0.0.1": -1, "2001:db8:0:0:0:0:0:1": -1, "2a00:1:2:3:4:5:6:7": 1},
+        "card": {"4111 1111 1111 1111": 1, "4111 1111 1111 111": -1, "2221-0000-0000-0009": 1, "371449635398431": 1, "9999999999999995": -1},
+        "phone": {"+1 (375) 555-4393": 1, "+1 375 555 439": -1, "+44 20 7946 0958": 1, "+999 123 456 789": -1, "(375) 555-4393": 1, "(175) 555-4393": -1},
+    }
+    for kind, values in cases.items():
+        df = spark.createDataFrame([(v,) for v in values], "v string")
+        found = {r["v"]: r["n"] for r in df.select("v", pii._listed(kind, F.col("v")).alias("n")).collect()}
+        assert found == values
+
+
+def test_columns_of_any_name_are_kept(spark):
+    names = ["sure", "loose", "_all", "_row", "_text", "votes"]
+    df = spark.createDataFrame([(1, "mail a@gmail.com", *names)], "doc_id long, text string, " + ", ".join(f"{n} string" for n in names))
+    row = pii.find(df).first()
+    assert [row[n] for n in names] == names and row["text"] == "mail a@gmail.com" and len(row["spans"]) == 1
+    kept = pii.find(df, keep=lambda rows: rows.drop("text")).first()
+    assert "text" not in kept and kept["sure"] == "sure"
