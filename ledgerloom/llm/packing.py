@@ -36,14 +36,16 @@ BATCH_BYTES = 1 << 22
 _ENCODERS: dict = {}
 
 
-def _encoder(rank_path: str):
+def _encoder(rank_path: str, added: dict[str, int] | None = None):
     """Byte-level BPE from a file of ranks, read once where it is used; the ids are those of the same vocabulary."""
-    if rank_path not in _ENCODERS:
-        _ENCODERS[rank_path] = _read_encoder(rank_path)
-    return _ENCODERS[rank_path]
+    added = added or {}
+    key = (rank_path, *sorted(added.items()))
+    if key not in _ENCODERS:
+        _ENCODERS[key] = _read_encoder(rank_path, added)
+    return _ENCODERS[key]
 
 
-def _read_encoder(rank_path: str):
+def _read_encoder(rank_path: str, added: dict[str, int]):
     import base64
 
     import public_tokenizers
@@ -52,24 +54,31 @@ def _read_encoder(rank_path: str):
     with open(rank_path, "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
     return tiktoken.Encoding(
-        "byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
+        "byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=added
     )
 
 
-def _ids(encoder, text: str) -> bytes:
-    """Little-endian unsigned 32-bit ids of a text."""
+def _ids(encoder, text: str, added: dict[str, int] | None = None) -> bytes:
+    """Little-endian unsigned 32-bit ids of a text; the strings of added tokens are those tokens."""
     try:
-        return encoder.encode_to_numpy(text).astype("<u4").tobytes()
+        coded = encoder.encode_to_numpy(text, allowed_special="all") if added else encoder.encode_to_numpy(text)
+        return coded.astype("<u4").tobytes()
     except ValueError:
         # The fast splitter gives up on white space of some hundred thousand characters.
         import public_tokenizers
         import regex
 
-        parts = (encoder._encode_single_piece(p) for p in regex.findall(public_tokenizers.PATTERN, text))
+        # Every other piece is an added token.
+        pieces = regex.split(f"({'|'.join(map(regex.escape, sorted(added)))})", text) if added else [text]
+        parts = (
+            [added[piece]] if place % 2 else encoder._encode_single_piece(p)
+            for place, piece in enumerate(pieces)
+            for p in ([piece] if place % 2 else regex.findall(public_tokenizers.PATTERN, piece))
+        )
         return b"".join(np.array(part, "<u4").tobytes() for part in parts)
 
 
-def _pieces(rank_path: str, capacity: int):
+def _pieces(rank_path: str, capacity: int, added: dict[str, int] | None):
     end = np.array([END_ID], "<u4").tobytes()
 
     def batch_of(rows: list[tuple]) -> pa.RecordBatch:
@@ -79,12 +88,12 @@ def _pieces(rank_path: str, capacity: int):
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(rank_path)
+        encoder = _encoder(rank_path, added)
 
         def made(ids: list, texts: list[str]) -> list[tuple]:
             rows = []
             for doc_id, text in zip(ids, texts, strict=True):
-                coded = _ids(encoder, text) + end
+                coded = _ids(encoder, text, added) + end
                 total = len(coded) // 4
                 first = total if total <= capacity else (total % capacity or capacity)
                 edges = [0, *range(first, total + 1, capacity)]
@@ -108,12 +117,20 @@ def _pieces(rank_path: str, capacity: int):
 
 
 def tokenize(
-    df: DataFrame, rank_path: str, capacity: int = CAPACITY, id_column: str = "doc_id", text_column: str = "text"
+    df: DataFrame,
+    rank_path: str,
+    capacity: int = CAPACITY,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    added: dict[str, int] | None = None,
 ) -> DataFrame:
-    """(doc_id, piece, start, length, ids) of every text; only longer texts are cut, the first piece short."""
+    """(doc_id, piece, start, length, ids) of every text; only longer texts are cut, the first piece short.
+
+    ``added`` are the tokenizer's added tokens, whose strings in a text become their ids.
+    """
     source = df.select(F.col(id_column).cast("bigint").alias("_id"), F.col(text_column).alias("_text"))
     return source.mapInArrow(
-        _pieces(rank_path, capacity), "doc_id long, piece int, start long, length long, ids binary"
+        _pieces(rank_path, capacity, added), "doc_id long, piece int, start long, length long, ids binary"
     )
 
 

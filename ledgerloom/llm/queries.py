@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -35,6 +36,12 @@ def byte_bpe(ending: str) -> str:
     return public_tokenizers.path(f"byte_bpe_50k.{ending}")
 
 
+def added_tokens() -> dict[str, int]:
+    """The added tokens of the public byte-level tokenizer."""
+    with open(byte_bpe("json"), encoding="utf-8") as file:
+        return {token["content"]: token["id"] for token in json.load(file)["added_tokens"]}
+
+
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
 
@@ -113,7 +120,7 @@ def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents, tokenized and packed into sequences of at most 2048 tokens."""
-    pieces = packing.tokenize(_documents(spark, sf_dir), byte_bpe("tiktoken"))
+    pieces = packing.tokenize(_documents(spark, sf_dir), byte_bpe("tiktoken"), added=added_tokens())
     digested = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
     return packing.place(stored(digested, "digested"))
 
@@ -200,7 +207,7 @@ FROM e GROUP BY conv_id
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measures and verdict of the quality rules for every document."""
-    judged = rules.judge(_documents(spark, sf_dir).select("doc_id", "text"))
+    judged = rules.judge(_documents(spark, sf_dir).select("doc_id", "text", "lang"), lang="lang")
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
@@ -220,6 +227,7 @@ _STOP_SQL = ", ".join(
 OP10_SQL = rf"""
 WITH d AS (
     SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text,
+        coalesce(lower(regexp_extract(lang, '^([A-Za-z]+)([^A-Za-z]|$)', 1)) IN ('de', 'en', 'es', 'fr'), false) AS listed,
         list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
     FROM documents
 ),
@@ -242,13 +250,13 @@ m AS (
         length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
         (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, len(l) AS n_lines,
         coalesce(n, 0)::BIGINT AS n_repeat_words,
-        len(list_filter(w, lambda x: x IN ({_STOP_SQL}))) AS stops
+        listed, len(list_filter(w, lambda x: lower(x) IN ({_STOP_SQL}))) AS stops
     FROM d JOIN lines USING (r) LEFT JOIN covered USING (r)
 ),
 b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
     NOT base_failed AND word_chars::DOUBLE / n_words BETWEEN 1.5 AND 15 AND n_symbols::DOUBLE / n_words <= 0.1
-        AND (stops + 1)::DOUBLE / n_words >= 0.02 AND n_dup_lines::DOUBLE / greatest(n_lines, 1) <= 0.4 AS kept
+        AND (NOT listed OR (stops + 1)::DOUBLE / n_words >= 0.02) AND n_dup_lines::DOUBLE / greatest(n_lines, 1) <= 0.4 AS kept
 FROM b
 """
 

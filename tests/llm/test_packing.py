@@ -90,3 +90,16 @@ def test_long_white_space_has_the_same_ids():
     for text in ("a  b\n \n c", "\n" * 5 + " " * 30 + "b", " " * 40):
         assert packing._ids(Refusing(), text) == packing._ids(encoder, text)
     assert len(packing._ids(encoder, " " * 1_000_000 + "a")) > 0
+
+
+def test_added_tokens_are_those_of_the_default_call(spark):
+    from ledgerloom.llm.queries import added_tokens
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|> <|endof", "plain", "<|endoftext|>" + " " * 400_000 + "<|endoftext|>"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    pieces = packing.tokenize(df, RANKS, 1 << 20, added=added_tokens()).collect()
+    found = {r["doc_id"]: np.frombuffer(r["ids"], "<u4").tolist() for r in pieces}
+    for doc_id, text in enumerate(texts):
+        assert found[doc_id] == tokenizer.encode(text, add_special_tokens=False).ids + [0]
+    assert found[0] == [64, 220, 50256, 275, 0]
