@@ -635,10 +635,11 @@ def one_of_each(
     dropped = members.where("n_shingles > 0 AND (component_id <> _id OR kept_key <> key)")
     repeated = members.where("_id IS NOT NULL").groupBy("_id").count().where("count > 1").limit(1).count()
     if not repeated:
-        dropped = stored(dropped.select(F.col("_id").alias("_drop")), "dropped")
+        dropped = stored(dropped.select("_id"), "dropped")
         if dropped.count() <= BROADCAST_ROWS:
             dropped = F.broadcast(dropped)
-        return df.join(dropped, row_id == F.col("_drop"), "left_anti")
+        whole = df.select(F.struct("*").alias("_row"), row_id.alias("_id"))
+        return whole.join(dropped, "_id", "left_anti").select("_row.*")
     dropped = stored(dropped.select("_id", F.col("key").alias("_key")).distinct(), "dropped")
     if dropped.count() <= BROADCAST_ROWS:
         dropped = F.broadcast(dropped)

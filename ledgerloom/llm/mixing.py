@@ -188,11 +188,23 @@ def mix(
     source_column: str = "source",
     text_column: str = "text",
 ) -> DataFrame:
-    """All rows with how often the mix takes each (``copies``) and how many words that is (``taken``)."""
-    rows = keyed(df, seed, id_column, text_column)
-    slim = stored(rows.select(F.col(source_column).alias("_source"), "size", "_k1", "_k2"), "sizes")
+    """All rows with how often the mix takes each (``copies``) and how many words that is (``taken``).
+
+    ``df`` is read twice and must give its rows in the same order, as stored tables do: rows
+    of one key are told apart by their place. Other columns are kept, whatever their names.
+    """
+    # Each row as a whole, so that none of its columns is taken for one of these.
+    whole = df.select(
+        F.struct(*[F.col(f"`{name}`") for name in df.columns if name not in ADDED[:5]]).alias("_row"),
+        F.col(id_column).alias("_id"),
+        F.col(source_column).alias("_from"),
+        F.col(text_column).alias("_text"),
+    )
+    rows = keyed(whole, seed, "_id", "_text")
+    slim = stored(rows.select(F.col("_from").alias("_source"), "size", "_k1", "_k2"), "sizes")
     plan = stored(thresholds(slim, targets(slim, recipe, "_source")), "thresholds")
-    return apply_thresholds(rows, plan, source_column)
+    found = apply_thresholds(rows, plan, "_from")
+    return found.select("_row.*", "size", "source_size", "target", "copies", "taken")
 
 
 def mixed(df: DataFrame, recipe: Recipe = Recipe(), seed: int = 0) -> DataFrame:

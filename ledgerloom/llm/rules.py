@@ -60,6 +60,14 @@ RATIOS = (
 )
 
 
+#: Columns that ``judge`` adds.
+MEASURES = (
+    "n_words", "word_chars", "n_symbols", "n_repeat_words", "n_dup_lines", "repeat_percent", "mean_word_length",
+    "symbols_per_word", "stop_word_ratio", "dup_line_ratio",
+)
+ADDED = (*MEASURES, "base_failed", "broken_rules", "kept")
+
+
 def words_of(text: Column) -> Column:
     """Words between ASCII white space."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACE), "")
@@ -170,12 +178,23 @@ def judge(
     ratios: tuple[Rule, ...] = RATIOS,
     lang: str | None = None,
 ) -> DataFrame:
-    """Add the measures, ``base_failed``, the names of broken rules and ``kept``."""
+    """Add the measures, ``base_failed``, the names of broken rules and ``kept``.
+
+    Other columns are kept, whatever their names; ones named like an added column are replaced.
+    """
+    # Each row as a whole, so that none of its columns is taken for one of these.
+    tags = [F.col(lang).cast("string").alias("_lang")] if lang else []
+    whole = df.select(
+        F.struct(*[F.col(f"`{name}`") for name in df.columns if name not in ADDED]).alias("_row"),
+        F.col(text).alias("_text"),
+        *tags,
+    )
     return (
-        measured(df, text, lang)
+        measured(whole, "_text", "_lang" if lang else None)
         .withColumn("base_failed", F.size(broken(base)) > 0)
         .withColumn("broken_rules", broken(base + ratios))
         .withColumn("kept", F.size("broken_rules") == 0)
+        .select("_row.*", *ADDED)
     )
 
 

@@ -100,19 +100,26 @@ def row_at(permutation: Permutation, shard: Column, slot: Column, shards: int) -
 def shard(df: DataFrame, keys: list[str], shards: int, seed: int = 0) -> DataFrame:
     """Add ``row_number`` (from 0, by ``keys``), ``shard`` and ``slot`` to every row.
 
-    Only columns that the caller keeps are sorted and stored. The numbered rows lie
-    in the shared work folder, so a lost executor changes no number.
+    Only columns that the caller keeps are sorted and stored; they are kept whatever their names, but
+    for the three that are added. The numbered rows lie in the shared work folder, so a lost
+    executor changes no number.
     """
     spark = df.sparkSession
-    tied = df.drop("row_number", "shard", "slot", "seq", "_tie").withColumn(
-        "_tie", F.monotonically_increasing_id()
+    kept = df.drop("row_number", "shard", "slot")
+    places = [f"key{k}" for k in range(len(keys))]
+    # Each row as a whole, so that none of its columns is taken for one of these.
+    tied = kept.select(
+        F.struct("*").alias("row"),
+        *[F.col(key).alias(place) for key, place in zip(keys, places, strict=True)],
+        F.monotonically_increasing_id().alias("tie"),
     )
-    rows = numbered(tied, [], [*keys, "_tie"], f"{work_folder(spark)}/numbered")
+    rows = numbered(tied, [], [*places, "tie"], f"{work_folder(spark)}/numbered")
     permutation = Permutation(rows.count(), seed)
-    placed = rows.withColumn("row_number", F.col("seq") - 1).drop("_tie", "seq")
-    with_position = placed.withColumn("_position", permutation.position(F.col("row_number")))
-    return (
-        with_position.withColumn("shard", (F.col("_position") % shards).cast("int"))
-        .withColumn("slot", ((F.col("_position") - F.col("_position") % shards) / shards).cast("bigint"))
-        .drop("_position")
+    placed = rows.select("row", (F.col("seq") - 1).alias("number"))
+    with_position = placed.withColumn("position", permutation.position(F.col("number")))
+    return with_position.select(
+        "row.*",
+        F.col("number").alias("row_number"),
+        (F.col("position") % shards).cast("int").alias("shard"),
+        ((F.col("position") - F.col("position") % shards) / shards).cast("bigint").alias("slot"),
     )

@@ -201,3 +201,13 @@ def test_tree_finds_all_points_within_the_bound():
         near = (sizes >= threshold.least_partner(sizes[i])) & (sizes * 80 <= sizes[i] * 100)
         expected = np.flatnonzero(near & (bound >= threshold.overlap_needed(int(sizes[i]), sizes)))
         assert np.array_equal(np.sort(tree.search(vectors[i], int(sizes[i]), threshold)), expected)
+
+
+def test_one_of_each_keeps_columns_of_any_name(spark):
+    names = ["_drop", "_row", "_id", "_text", "_key", "component_id", "key"]
+    rows = [(i, f"one two three four five six {'seven' if i < 3 else i}", *names) for i in range(5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"{n} string" for n in names))
+    for some in (df, df.unionByName(df.where("doc_id = 4"))):
+        found = jaccard.one_of_each(some, jaccard.Threshold(80), 5).collect()
+        assert sorted(r["doc_id"] for r in found) == [0, 3, 4]
+        assert all([r[n] for n in names] == names for r in found)

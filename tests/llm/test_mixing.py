@@ -75,3 +75,15 @@ def test_mixed_rows_repeat(spark):
 
 def test_empty_table(spark):
     assert mixing.mix(table(spark).limit(0)).count() == 0
+
+
+def test_columns_of_any_name_are_kept(spark):
+    names = ["t1", "t2", "whole", "_source", "_k1", "_k2", "_row", "_from", "_id", "_text", "left", "start"]
+    rows = [(i, f"s{i % 3}", "w " * (i % 5), *names) for i in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string, " + ", ".join(f"{n} string" for n in names))
+    mixed = mixing.mix(df).collect()
+    plain = {r["doc_id"]: r["taken"] for r in mixing.mix(df.select("doc_id", "source", "text")).collect()}
+    assert len(mixed) == 30
+    for r in mixed:
+        assert [r[n] for n in names] == names and r["taken"] == plain[r["doc_id"]]
+    assert mixing.mixed(df).columns == df.columns

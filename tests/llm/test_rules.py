@@ -66,3 +66,19 @@ def test_no_python_in_the_plan(spark):
     df = spark.createDataFrame([(1, "a")], "doc_id long, text string")
     plan = rules.judge(df)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Exchange" not in plan
+
+
+def test_columns_of_any_name_are_kept(spark):
+    names = ["__n_words", "_words", "_lines", "_stops", "_row", "_text", "_lang", "__words"]
+    df = spark.createDataFrame([(1, "the word " * 20, *names)], "doc_id long, text string, " + ", ".join(f"{n} string" for n in names))
+    row = rules.judge(df).first()
+    assert [row[n] for n in names] == names and row["n_words"] == 40
+    replaced = rules.judge(df.withColumnRenamed("_words", "n_words")).first()
+    assert replaced["n_words"] == 40
+
+
+def test_language_decides_on_the_stop_word_rule(spark):
+    text = " ".join(f"ord{i}" for i in range(80))
+    df = spark.createDataFrame([(1, text, "sv"), (2, text, "en-GB"), (3, text, None), (4, "THE " + text, "de"), (5, "THE AND " + text, "de")], "doc_id long, text string, lang string")
+    found = {r["doc_id"]: r["kept"] for r in rules.judge(df, lang="lang").collect()}
+    assert found == {1: True, 2: False, 3: True, 4: True, 5: True}

@@ -49,3 +49,11 @@ def test_hot_key(spark):
     df = spark.range(900).select(F.lit(7).alias("doc_id"))
     found = sharding.shard(df, ["doc_id"], 16).groupBy("shard").count().collect()
     assert {r["count"] for r in found} == {56, 57}
+
+
+def test_columns_of_any_name_are_kept(spark):
+    names = ["seq", "_tie", "_file", "_task", "_place", "_first", "_shift", "tie", "key0", "row", "position", "number"]
+    df = spark.createDataFrame([(i, *names) for i in range(40)], "doc_id long, " + ", ".join(f"{n} string" for n in names))
+    placed = sharding.shard(df, ["doc_id"], 4).collect()
+    assert sorted((r["row_number"], r["doc_id"]) for r in placed) == [(i, i) for i in range(40)]
+    assert all([r[n] for n in names] == names for r in placed)
