@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import jaccard, mixing, packing, pii, rules
-from ledgerloom.llm.queries import byte_bpe
+from ledgerloom.llm.queries import added_tokens, byte_bpe
 from ledgerloom.llm.store import stored
 
 #: Near duplicates: four fifths of five-word shingles.
@@ -46,7 +46,7 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents with their place in sequences; the tokens' checksum stands for the tokens."""
-    pieces = packing.tokenize(docs, byte_bpe("tiktoken"))
+    pieces = packing.tokenize(docs, byte_bpe("tiktoken"), added=added_tokens())
     digested = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
     return packing.place(stored(digested, "digested"))
 
