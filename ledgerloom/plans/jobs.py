@@ -20,7 +20,7 @@ from ledgerloom.bounds import (
     PacketBounds,
 )
 from ledgerloom.functions import ident, routes, set_digest
-from ledgerloom.operators import apply, daily, decisions, documents, ledger, packets
+from ledgerloom.operators import apply, daily, decisions, documents, ledger, packets, range_trees
 from ledgerloom.session import configure
 from ledgerloom.sources import byte_ranges, run_tables, tables
 from ledgerloom.sources.run_tables import RunTables
@@ -63,6 +63,7 @@ def ingest(
     replay: bool = False,
     verify_prefix: bool = True,
     range_bytes: int = byte_ranges.RANGE_BYTES,
+    verify_period: int = 1,
 ) -> IngestResult:
     """Add the messages in new complete lines of the logs to the ledger.
 
@@ -70,12 +71,16 @@ def ingest(
     offset cannot be in the ledger and no join with it is needed. ``replay``
     reads all logs from the start and compares with the ledger, for a store
     whose offsets are not to be trusted.
+
+    Processed bytes are hashed again by ranges, all of them or, with a ``verify_period`` of n, those whose turn
+    it is, so that n runs check everything. The stored hashes are held against each file's
+    root in every run, which reads no log.
     """
     configure(spark)
     run = store.next_run("ingest")
     files = byte_ranges.list_sources(spark, source_root, pattern)
     saved = store.offsets()
-    _check_sources(spark, store, files, saved, verify_prefix)
+    _check_sources(spark, store, files, saved, verify_prefix, run, verify_period)
     # Logs may grow while the job runs, so how far it reads is written down first.
     cores = spark.sparkContext.defaultParallelism
     store.write("frontier", run, byte_ranges.with_frontier(files, saved, cores))
@@ -97,6 +102,7 @@ def ingest_batch(
     on_reject: str = "fail",
     verify_prefix: bool = True,
     range_bytes: int = byte_ranges.RANGE_BYTES,
+    verify_period: int = 1,
 ) -> IngestResult | None:
     """Add a stream's batch of complete lines to the ledger; None if the store has them all.
 
@@ -105,16 +111,16 @@ def ingest_batch(
     line. A batch that begins past a source's offset is refused.
     """
     spark = configure(store.spark)
+    run = store.next_run("ingest")
     files = byte_ranges.list_sources(spark, source_root, pattern)
     saved = store.offsets()
-    _check_sources(spark, store, files, saved, verify_prefix)
+    _check_sources(spark, store, files, saved, verify_prefix, run, verify_period)
     zero = F.lit(0).cast("bigint")
     known = lines.join(saved, "source", "left").withColumn("offset", F.coalesce("offset", zero))
     fresh = known.where(F.col("byte_start") >= F.col("offset"))
     reached = fresh.groupBy("source").agg(
         F.first("offset").alias("offset"), F.min("byte_start").alias("begin"), F.max("byte_end").alias("consumed")
     )
-    run = store.next_run("ingest")
     columns = ["source", "path", "length", "offset", "consumed"]
     store.write("frontier", run, files.join(reached, "source").where("begin = offset").select(*columns))
     frontier = store.read_run("frontier", run)
@@ -131,11 +137,17 @@ def ingest_batch(
 
 
 def _check_sources(
-    spark: SparkSession, store: RunTables, files: DataFrame, saved: DataFrame, verify_prefix: bool
+    spark: SparkSession,
+    store: RunTables,
+    files: DataFrame,
+    saved: DataFrame,
+    verify_prefix: bool,
+    run: int,
+    verify_period: int,
 ) -> None:
     _require_none(ledger.missing_sources(saved, files), "a tracked source is unavailable")
     if verify_prefix:
-        _verify_prefix(spark, store, files)
+        _verify_prefix(spark, store, files, run, verify_period)
 
 
 def _write_run(
@@ -183,6 +195,10 @@ def _write_run(
     written = store.read_run("ledger", run).count()
     fresh = byte_ranges.byte_ranges(frontier, range_bytes)
     store.write("segments", run, byte_ranges.hash_ranges(fresh, tasks).drop("path"))
+    added = store.read_run("segments", run)
+    # Only the trees of files that grew are built again, from hashes.
+    grown = store.read("segments").drop("run").join(added.select("source").distinct(), "source", "left_semi")
+    store.write("roots", run, range_trees.roots(grown.unionByName(added)))
     sources = frontier.agg(
         F.count("*").alias("sources"), F.sum(F.col("length") - F.col("consumed")).alias("pending")
     ).first()
@@ -202,8 +218,18 @@ def _write_run(
     return result
 
 
-def _verify_prefix(spark: SparkSession, store: RunTables, files: DataFrame) -> None:
-    saved = store.read("segments").drop("run")
+def _latest_roots(store: RunTables) -> DataFrame:
+    return store.read("roots").groupBy("source").agg(F.max_by("root_sha256", "run").alias("root_sha256"))
+
+
+def _verify_prefix(spark: SparkSession, store: RunTables, files: DataFrame, run: int, period: int) -> None:
+    segments = store.read("segments").drop("run")
+    roots = _latest_roots(store)
+    bound = segments.join(roots.select("source"), "source", "left_semi")
+    _require_none(
+        range_trees.differing_roots(roots, range_trees.roots(bound)), "stored hashes changed", SourceMutationError
+    )
+    saved = range_trees.due(segments, run, period)
     ranges = saved.join(files.select("source", "path"), "source")
     current = byte_ranges.hash_ranges(ranges, max(spark.sparkContext.defaultParallelism, 64))
     _require_none(

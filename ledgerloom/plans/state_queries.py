@@ -9,13 +9,13 @@ from pyspark.sql import functions as F
 
 from ledgerloom.bounds import PacketBounds
 from ledgerloom.functions import ident, set_digest
-from ledgerloom.operators import daily, documents, packets
+from ledgerloom.operators import daily, documents, packets, range_trees
 from ledgerloom.plans import oracle_ctes as o
 from ledgerloom.plans.daily_queries import daily_records
 from ledgerloom.plans.document_queries import DOCS_SQL, sample_documents
 from ledgerloom.plans.packet_queries import PENDING_SQL, accounted_ids, applied_batches, available_records
 from ledgerloom.plans.registry import query
-from ledgerloom.plans.sample_tables import ZONE, stored_once
+from ledgerloom.plans.sample_tables import ZONE, sample_ledger, stored_once
 from ledgerloom.session import work_folder
 from ledgerloom.sources.run_tables import RunTables
 
@@ -155,3 +155,33 @@ def changed_days(spark: SparkSession, sf: str) -> DataFrame:
     """Days whose digests the newest run changes."""
     records = daily_records(spark, sf).select("day", "record_id").withColumn("run", _run_of("record_id"))
     return daily.changed_days(records, RUNS - 1)
+
+
+def _tree_sql() -> str:
+    """Levels of the tree over each log's lines, as ranges."""
+    levels = ["n0 AS (SELECT source_ref, byte_start AS node, sha256(byte_start || ':' || byte_end || ':' || event_sha256) AS hash FROM ledger)"]
+    for level in range(1, 5):
+        cell = "node >> 16" if level < 4 else "0"
+        levels.append(
+            f"n{level} AS (SELECT source_ref, {cell} AS node, sha256(string_agg(node || ':' || hash, ',' ORDER BY node)) AS hash"
+            f" FROM n{level - 1} GROUP BY source_ref, {cell})"
+        )
+    return ",\n".join(levels)
+
+
+@query(
+    "file_roots",
+    o.with_(
+        o.LEDGER + ",\n" + _tree_sql(),
+        """SELECT source_ref AS source, ranges, reached, hash AS root_sha256 FROM n4 JOIN (SELECT source_ref, count(*) AS ranges,
+           CAST(max(byte_end) AS BIGINT) AS reached FROM ledger GROUP BY source_ref) USING (source_ref)""",
+    ),
+)
+def file_roots(spark: SparkSession, sf: str) -> DataFrame:
+    """Roots of the logs' trees, with each message's line as a range."""
+    place = F.col("provenance")
+    segments = sample_ledger(spark, sf).select(
+        place["source_ref"].alias("source"), place["byte_start"].alias("range_start"),
+        place["byte_end"].alias("range_end"), place["event_sha256"].alias("sha256"),
+    )
+    return range_trees.roots(segments)

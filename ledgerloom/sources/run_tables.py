@@ -34,6 +34,7 @@ TABLES: dict[str, tuple[str, str]] = {
     "rejected": ("ingest", "source string, byte_start bigint, byte_end bigint, reject_reason string, raw binary"),
     "frontier": ("ingest", FRONTIER_SCHEMA),
     "segments": ("ingest", "source string, range_start bigint, range_end bigint, sha256 string"),
+    "roots": ("ingest", "source string, ranges bigint, reached bigint, root_sha256 string"),
     "accounted": ("daily", "lane string, day date, id string"),
     "batches": (
         "daily",

@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.operators import ledger
+from ledgerloom.operators import ledger, range_trees
 from ledgerloom.sources import byte_ranges
 
 
@@ -122,3 +122,42 @@ def test_missing_sources(spark):
     saved = spark.createDataFrame([("a",), ("b",)], "source string")
     files = spark.createDataFrame([("b",), ("c",)], "source string")
     assert [r["source"] for r in ledger.missing_sources(saved, files).select(F.col("source")).collect()] == ["a"]
+
+
+def plain_root(ranges):
+    nodes = {low: hashlib.sha256(f"{low}:{high}:{sha}".encode()).hexdigest() for low, high, sha in ranges}
+    for level in range(1, 5):
+        cells: dict[int, list] = {}
+        for node in sorted(nodes):
+            cells.setdefault(node >> 16 if level < 4 else 0, []).append(f"{node}:{nodes[node]}")
+        nodes = {cell: hashlib.sha256(",".join(found).encode()).hexdigest() for cell, found in cells.items()}
+    return nodes.get(0)
+
+
+def test_trees_find_the_edited_range(spark):
+    rng = random.Random(8)
+    files = {}
+    for name in ("a", "b", "c"):
+        cuts = sorted({0, *(rng.choice([rng.randrange(1 << 18), rng.randrange(1 << 40)]) for _ in range(30))})
+        files[name] = [(low, high, f"{rng.getrandbits(64):064x}") for low, high in zip(cuts, cuts[1:], strict=False)]
+
+    def frame(some):
+        return spark.createDataFrame([(n, *r) for n, rows in some.items() for r in rows], "source string, range_start long, range_end long, sha256 string")
+
+    before = frame(files)
+    roots = {r["source"]: (r["ranges"], r["reached"], r["root_sha256"]) for r in range_trees.roots(before).collect()}
+    assert roots == {n: (len(rows), rows[-1][1], plain_root(rows)) for n, rows in files.items()}
+    edited = {n: list(rows) for n, rows in files.items()}
+    low, high, _ = edited["b"][7]
+    edited["b"][7] = (low, high, "f" * 64)
+    assert [r["source"] for r in range_trees.differing_roots(range_trees.roots(before), range_trees.roots(frame(edited))).collect()] == ["b"]
+    nodes = range_trees.differing_nodes(range_trees.tree(before), range_trees.tree(frame(edited))).collect()
+    assert {(r["source"], r["level"], r["node"]) for r in nodes} == {("b", k, low >> 16 * k if k < 4 else 0) for k in range(5)}
+
+
+def test_every_range_is_due_once_in_a_period(spark):
+    rows = [("s%d" % (n % 7), n * 1000) for n in range(300)]
+    ranges = spark.createDataFrame(rows, "source string, range_start long")
+    found = [tuple(r) for run in range(11, 16) for r in range_trees.due(ranges, run, 5).collect()]
+    assert sorted(found) == sorted(rows)
+    assert range_trees.due(ranges, 3, 1).count() == 300
