@@ -107,3 +107,43 @@ def test_ranges_of_a_batch_meet(tmp_path):
         (start, b"%d\n" % (10**n)) for n, start in ((n, sum(k + 2 for k in range(n))) for n in range(12))
         if start + n + 2 > 5
     ]
+
+
+def test_a_backlog_is_read_in_bounded_batches(spark, place):
+    wanted = []
+    for name in "abc":
+        lines = [f"{name}{n}" for n in range(4)]
+        (place / "logs" / f"{name}.jsonl").write_bytes(b"".join(event(text) for text in lines))
+        wanted += lines
+    store = RunTables(spark, str(place / "store"))
+    size = 2 * len(event("a0")) + 5
+    batches = log_stream.drain_ledger(spark, str(place / "logs"), store, str(place / "checkpoint"), size)
+    assert batches == -(-12 * len(event("a0")) // size) and texts(spark, place) == sorted(wanted)
+    offsets = [p.read_text().splitlines()[-1] for p in (place / "checkpoint" / "offsets").glob("[0-9]*")]
+    assert all(json.loads(o).keys() == {"admission"} for o in offsets)
+    (place / "logs" / "d.jsonl").write_bytes(event("late"))
+    assert log_stream.drain_ledger(spark, str(place / "logs"), store, str(place / "checkpoint"), size) == 1
+    assert texts(spark, place) == sorted([*wanted, "late"])
+
+
+def test_admissions_of_lost_batches_are_read_by_the_next(tmp_path, monkeypatch):
+    monkeypatch.setattr(log_stream.Admissions, "EVERY", 3)
+    (tmp_path / "logs").mkdir()
+    data = b"".join(b"%05d\n" % n for n in range(40))
+    for name in ("x", "y"):
+        (tmp_path / "logs" / f"{name}.jsonl").write_bytes(data)
+    options = {"path": str(tmp_path / "logs"), "maxbytes": "50", "rangebytes": "16", "admissions": str(tmp_path / "a")}
+    reader = log_stream.LogStreamReader(options)
+    place, found = reader.initialOffset(), []
+    while True:
+        reader.latestOffset()
+        # Admitted, but lost before a batch was logged; a new reader goes on.
+        reader = log_stream.LogStreamReader(options)
+        end = reader.latestOffset()
+        if end == place:
+            break
+        parts = reader.partitions(place, end)
+        assert sum(p.end - p.start for p in parts) <= 100
+        found += [(r["source"], r["byte_start"]) for p in parts for b in reader.read(p) for r in b.to_pylist()]
+        place = end
+    assert sorted(found) == [(f"{name}.jsonl", 6 * n) for name in ("x", "y") for n in range(40)]
