@@ -27,9 +27,14 @@ WHITESPACE_CLASS = (
     r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 )
 
+# Most characters are printable ASCII; one range tells them before the many of a class are tried.
+_NO_ASCII_SIGN = "(?=[^!-~])"
+_NO_ASCII = "(?=[^ -~])"
+
 # Any run but a lone space: two spaces or more, or one at most and then another kind.
 _RUN_TO_COLLAPSE = (
-    r"(?: {2,}| ?[\t-\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}])"
+    _NO_ASCII_SIGN
+    + r"(?: {2,}| ?[\t-\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}])"
     + WHITESPACE_CLASS
     + "*"
 )
@@ -149,13 +154,13 @@ def excerpt(text: Column, max_bytes: int) -> Column:
     Every visible character gives a byte at least, so what lies past one more than
     ``max_bytes`` of them cannot be in the excerpt and is not looked at.
     """
-    visible = F.regexp_replace(_visible_head(text, max_bytes + 1), INVISIBLE_CLASS, "")
+    visible = F.regexp_replace(_visible_head(text, max_bytes + 1), _NO_ASCII + INVISIBLE_CLASS, "")
     return truncate_utf8(escape_markdown(collapse_whitespace(visible)), max_bytes)
 
 
 def inert_markdown(text: Column) -> Column:
     """One-line inert Markdown of the whole text."""
-    allowed = F.regexp_replace(nfc(text), FORBIDDEN_CLASS, "")
+    allowed = F.regexp_replace(nfc(text), _NO_ASCII + FORBIDDEN_CLASS, "")
     return escape_markdown(collapse_whitespace(allowed))
 
 
@@ -165,7 +170,7 @@ def is_safe_text(
     """Non-blank NFC text without control, zero-width or direction characters."""
     ok = (
         (strip(text) != "")
-        & ~text.rlike(FORBIDDEN_CLASS)
+        & ~text.rlike(_NO_ASCII + FORBIDDEN_CLASS)
         & (F.octet_length(text) <= max_bytes)
         & is_nfc(F.when(F.octet_length(text) <= max_bytes, text))
     )

@@ -161,7 +161,7 @@ def _tree_sql() -> str:
     """Levels of the tree over each log's lines, as ranges."""
     levels = ["n0 AS (SELECT source_ref, byte_start AS node, sha256(byte_start || ':' || byte_end || ':' || event_sha256) AS hash FROM ledger)"]
     for level in range(1, 5):
-        cell = "node >> 16" if level < 4 else "0"
+        cell = "node >> 16" if level < 4 else "node >> 62"
         levels.append(
             f"n{level} AS (SELECT source_ref, {cell} AS node, sha256(string_agg(node || ':' || hash, ',' ORDER BY node)) AS hash"
             f" FROM n{level - 1} GROUP BY source_ref, {cell})"
