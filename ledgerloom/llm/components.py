@@ -1,4 +1,8 @@
-"""Connected components of an edge table, distributed, by alternating stars."""
+"""Connected components of an edge table, distributed, by alternating stars.
+
+A node with more than a thousandth of the edges is a hub; there are two thousand at most. What is known
+of hubs is sent to their edges, so the edges of a hub are not brought together.
+"""
 
 from __future__ import annotations
 
@@ -7,6 +11,9 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm.store import stored
 
+#: Nodes of fewer edges are never hubs.
+SMALLEST_HUB = 64
+
 
 def _state(edges: DataFrame) -> tuple:
     row = edges.agg(
@@ -15,17 +22,24 @@ def _state(edges: DataFrame) -> tuple:
     return row["n"], row["h"]
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _moved(edges: DataFrame, least: DataFrame, hub: int) -> DataFrame:
+    """Each edge's far end with the least node beside its near one; ``least`` holds (u, m, n), n edges of u."""
+    hubs = F.broadcast(least.where(F.col("n") > hub).select("u", "m"))
+    far = [F.col("v").alias("u"), F.col("m").alias("v")]
+    rest = edges.join(hubs.select("u"), "u", "left_anti").join(least.select("u", "m"), "u")
+    return edges.join(hubs, "u").select(*far).union(rest.select(*far))
+
+
+def _large_star(edges: DataFrame, hub: int) -> DataFrame:
     both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
-    return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"), F.count("*").alias("n"))
+    return _moved(both.where("v > u"), least, hub)
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, hub: int) -> DataFrame:
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = down.groupBy("u").agg(F.min("v").alias("m"))
-    moved = down.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return moved.union(least.select("u", F.col("m").alias("v"))).where("u <> v")
+    least = down.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+    return _moved(down, least, hub).union(least.select("u", F.col("m").alias("v"))).where("u <> v")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -38,7 +52,9 @@ def components(edges: DataFrame) -> DataFrame:
     current = stored(edges.where("u <> v").select("u", "v").distinct(), "edges")
     state = _state(current)
     while True:
-        current = stored(_small_star(_large_star(current)).distinct(), "stars")
+        # The star between the two has no more edges than there are.
+        hub = max(SMALLEST_HUB, state[0] // 1000)
+        current = stored(_small_star(_large_star(current, hub), hub).distinct(), "stars")
         after = _state(current)
         if after == state:
             break
