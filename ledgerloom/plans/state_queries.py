@@ -18,6 +18,7 @@ from ledgerloom.plans.registry import query
 from ledgerloom.plans.sample_tables import ZONE, sample_ledger, stored_once
 from ledgerloom.session import work_folder
 from ledgerloom.sources.run_tables import RunTables
+from ledgerloom.streaming import replay_state
 
 #: Small packets, so that days hold far more than one run's batches.
 SMALL = PacketBounds(max_items=3, item_bytes=600, total_bytes=1_000)
@@ -185,3 +186,36 @@ def file_roots(spark: SparkSession, sf: str) -> DataFrame:
         place["byte_end"].alias("range_end"), place["event_sha256"].alias("sha256"),
     )
     return range_trees.roots(segments)
+
+
+def _replayed(spark: SparkSession, sf: str) -> DataFrame:
+    """Statuses of two streams on one checkpoint: all records, then all again, some with other content."""
+    place = work_folder(spark)
+    schema = "record_id string, content_sha256 string"
+    records = sample_ledger(spark, sf).select("record_id", "role", F.col("text_sha256").alias("content_sha256"))
+    changed = (F.col("role") == "assistant") & (F.substring("record_id", 1, 1) < "8")
+    other = F.when(changed, ident.sha256_hex(F.concat(F.lit("changed "), "content_sha256"))).otherwise(F.col("content_sha256"))
+    for rows in (records, records.withColumn("content_sha256", other)):
+        rows.select("record_id", "content_sha256").write.mode("append").parquet(f"{place}/in")
+        found = replay_state.replay_status(spark.readStream.schema(schema).parquet(f"{place}/in"))
+        writer = found.writeStream.format("parquet").option("checkpointLocation", f"{place}/checkpoint")
+        query = writer.outputMode("append").trigger(availableNow=True).start(f"{place}/out")
+        query.awaitTermination()
+        if query.exception():
+            raise query.exception()
+    return spark.read.schema(replay_state.SCHEMA).parquet(f"{place}/out")
+
+
+@query(
+    "stream_replay_status",
+    o.with_(
+        o.LEDGER,
+        """SELECT record_id, text_sha256 AS content_sha256, 'new' AS status FROM ledger UNION ALL
+           SELECT record_id, CASE WHEN role = 'assistant' AND left(record_id, 1) < '8'
+             THEN sha256('changed ' || text_sha256) ELSE text_sha256 END,
+             CASE WHEN role = 'assistant' AND left(record_id, 1) < '8' THEN 'conflict' ELSE 'duplicate' END FROM ledger""",
+    ),
+)
+def stream_replay_status(spark: SparkSession, sf: str) -> DataFrame:
+    """What keyed state says of records that come twice, across a restart."""
+    return stored_once("replayed", spark, sf, lambda: _replayed(spark, sf))
