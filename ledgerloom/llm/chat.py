@@ -8,7 +8,9 @@ long one is encoded in blocks of whole turns, which gives the same tokens and bo
 of a task. Token spans are met with the sorted spans of the assistant's texts by
 binary search.
 
-Rows of a conversation meet sorted in one task and stream through it.
+A conversation is cut into blocks of ``BLOCK_TURNS`` turn numbers, and the rows of a block meet sorted in one
+task and stream through it, so a conversation of any number of turns is formatted by many tasks.
+Digests over whole conversations are taken last, over its blocks in order.
 
 Defined results: a null text or role is empty; turns go by number, null first, then role
 and text, so ties and repeated rows have one order and are each kept; conversations without an
@@ -25,10 +27,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 BEGIN, OPEN, CLOSE, END = "<s>", "[INST]", "[/INST]", "</s>"
 CONTROL = (BEGIN, OPEN, CLOSE, END)
 LOSS_ROLE = "assistant"
+#: Turn numbers that are formatted together; rows without a number come first.
+BLOCK_TURNS = 256
+NO_TURN = -(1 << 62)
 #: Characters of formatted turns after which a block of a long conversation is encoded.
 BLOCK_CHARS = 1 << 20
 _CONTROL = re.compile("|".join(re.escape(c) for c in CONTROL))
@@ -36,7 +42,7 @@ _ESCAPED = re.compile(r"\\(.)", re.DOTALL)
 _TURN = re.compile(r"<s>\[INST\](.*?)\[/INST\](.*?)</s>", re.DOTALL)
 
 SCHEMA = (
-    "conv_id long, block int, n_turns long, text string, input_ids array<int>, "
+    "conv_id long, block long, part int, n_turns long, text string, input_ids array<int>, "
     "starts array<int>, ends array<int>, loss_mask array<boolean>"
 )
 
@@ -115,12 +121,13 @@ def _format(path: str):
 
         def rows() -> Iterator[tuple]:
             for batch in batches:
-                yield from zip(*(batch.column(c).to_pylist() for c in ("conv_id", "role", "text")), strict=True)
+                keys = zip(batch.column("conv_id").to_pylist(), batch.column("block").to_pylist(), strict=True)
+                yield from zip(keys, *(batch.column(c).to_pylist() for c in ("role", "text")), strict=True)
 
         held, size = [], 0
-        for conversation, block, turns in _blocks(rows()):
+        for key, part, turns in _blocks(rows()):
             text, spans = _render(turns)
-            held.append((conversation, block, len(turns), text, spans))
+            held.append(((*key, part), len(turns), text, spans))
             size += len(text)
             if size >= BLOCK_CHARS:
                 yield _encoded(tokenizer, held)
@@ -132,33 +139,35 @@ def _format(path: str):
 
 
 def _encoded(tokenizer, held: list[tuple]) -> pa.RecordBatch:
-    encodings = [tokenizer.encode(text, add_special_tokens=False) for _, _, _, text, _ in held]
+    encodings = [tokenizer.encode(text, add_special_tokens=False) for _, _, text, _ in held]
     offsets = [np.array(e.offsets, np.int64).reshape(-1, 2) for e in encodings]
-    masks = [loss_mask(o[:, 0], o[:, 1], h[4]) for o, h in zip(offsets, held, strict=True)]
+    masks = [loss_mask(o[:, 0], o[:, 1], h[3]) for o, h in zip(offsets, held, strict=True)]
     return pa.RecordBatch.from_arrays(
         [
-            pa.array([h[0] for h in held], pa.int64()),
-            pa.array([h[1] for h in held], pa.int32()),
-            pa.array([h[2] for h in held], pa.int64()),
-            pa.array([h[3] for h in held]),
+            pa.array([h[0][0] for h in held], pa.int64()),
+            pa.array([h[0][1] for h in held], pa.int64()),
+            pa.array([h[0][2] for h in held], pa.int32()),
+            pa.array([h[1] for h in held], pa.int64()),
+            pa.array([h[2] for h in held]),
             pa.array([e.ids for e in encodings], pa.list_(pa.int32())),
             pa.array([o[:, 0] for o in offsets], pa.list_(pa.int32())),
             pa.array([o[:, 1] for o in offsets], pa.list_(pa.int32())),
             pa.array([m for m in masks], pa.list_(pa.bool_())),
         ],
-        names=["conv_id", "block", "n_turns", "text", "input_ids", "starts", "ends", "loss_mask"],
+        names=["conv_id", "block", "part", "n_turns", "text", "input_ids", "starts", "ends", "loss_mask"],
     )
 
 
 def format_conversations(df: DataFrame, tokenizer_path: str) -> DataFrame:
-    """Formatted text, token ids with offsets and loss mask; one row per conversation, or block of a long one.
+    """Formatted text, token ids with offsets and loss mask; one row per conversation, or for each part of a long one.
 
-    ``df`` has conv_id, turn, role and text. Blocks of a conversation come in order within a partition.
+    ``df`` has conv_id, turn, role and text. A conversation's rows, ordered by (block, part), are its text.
     """
-    rows = df.select("conv_id", "turn", "role", "text")
+    block = F.coalesce(F.floor(F.col("turn") / BLOCK_TURNS), F.lit(NO_TURN)).cast("bigint")
+    rows = df.select("conv_id", block.alias("block"), "turn", "role", "text")
     return (
-        rows.repartition("conv_id")
-        .sortWithinPartitions("conv_id", "turn", "role", "text")
+        rows.repartition("conv_id", "block")
+        .sortWithinPartitions("conv_id", "block", "turn", "role", "text")
         .mapInArrow(_format(tokenizer_path), SCHEMA)
     )
 
@@ -177,8 +186,27 @@ def masked_parts(text: str, starts: list[int], ends: list[int], mask: list[bool]
     return parts
 
 
-def _read_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Digests of each conversation from its formatted blocks."""
+def _read_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What is said in each part, and what is under its loss mask."""
+    for batch in batches:
+        rows = batch.to_pylist()
+        turns = [read_turns(row["text"]) for row in rows]
+        said = ["".join(f"{role}\n{body}\n" for role, body in some) for some in turns]
+        lost = ["".join(map(unescape, masked_parts(r["text"], r["starts"], r["ends"], r["loss_mask"]))) for r in rows]
+        yield pa.RecordBatch.from_arrays(
+            [
+                *(batch.column(c) for c in ("conv_id", "block", "part")),
+                pa.array([len(some) for some in turns], pa.int64()),
+                pa.array(said, pa.string()),
+                pa.array(lost, pa.string()),
+                pa.array([len(row["text"]) for row in rows], pa.int64()),
+            ],
+            names=["conv_id", "block", "part", "turns", "said", "lost", "chars"],
+        )
+
+
+def _chained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Digests of each conversation over its parts, which come in order."""
     state: dict = {}
 
     def result() -> tuple:
@@ -190,7 +218,7 @@ def _read_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         done = []
         for row in batch.to_pylist():
-            if state and (row["conv_id"] != state["conv_id"] or row["block"] == 0):
+            if state and row["conv_id"] != state["conv_id"]:
                 done.append(result())
                 state = {}
             if not state:
@@ -198,14 +226,11 @@ def _read_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     "conv_id": row["conv_id"], "turns": 0, "all": hashlib.sha256(), "loss": 0,
                     "lost": hashlib.sha256(), "chars": 0,
                 }
-            for role, body in read_turns(row["text"]):
-                state["turns"] += 1
-                state["all"].update(f"{role}\n{body}\n".encode())
-            for part in masked_parts(row["text"], row["starts"], row["ends"], row["loss_mask"]):
-                plain = unescape(part)
-                state["loss"] += len(plain)
-                state["lost"].update(plain.encode())
-            state["chars"] += len(row["text"])
+            state["turns"] += row["turns"]
+            state["all"].update(row["said"].encode())
+            state["loss"] += len(row["lost"])
+            state["lost"].update(row["lost"].encode())
+            state["chars"] += row["chars"]
         if done:
             yield _digest_batch(done)
     if state:
@@ -220,7 +245,10 @@ def _digest_batch(rows: list[tuple]) -> pa.RecordBatch:
 
 def read_back(formatted: DataFrame) -> DataFrame:
     """Per conversation: turns, their digest, and the text under the loss mask, from ``format_conversations``."""
-    return formatted.mapInArrow(
-        _read_back,
+    parts = formatted.mapInArrow(
+        _read_parts, "conv_id long, block long, part int, turns long, said string, lost string, chars long"
+    )
+    return parts.repartition("conv_id").sortWithinPartitions("conv_id", "block", "part").mapInArrow(
+        _chained,
         "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long",
     )

@@ -73,3 +73,17 @@ def test_long_conversations_are_encoded_in_blocks_with_the_same_tokens(monkeypat
 def test_empty_table(spark):
     df = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert chat.read_back(chat.format_conversations(df, PATH)).count() == 0
+
+
+def test_a_long_conversation_is_formatted_by_many_tasks(spark):
+    turns = [(7, t, "assistant" if t % 2 else "user", f"turn {t}") for t in range(-300, 2500)]
+    df = spark.createDataFrame([*turns, (7, None, "assistant", "before"), (8, 0, "user", "x")], "conv_id long, turn long, role string, text string")
+    formatted = chat.format_conversations(df, PATH)
+    rows = formatted.select("conv_id", "block", "part", "n_turns").where("conv_id = 7").collect()
+    assert max(r["n_turns"] for r in rows) <= chat.BLOCK_TURNS and len(rows) > 10
+    plan = formatted._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(conv_id" in plan and ", block" in plan
+    found = {r["conv_id"]: r for r in chat.read_back(formatted).collect()}
+    said = "".join(["before", *(f"turn {t}" for _, t, role, _ in turns if role == "assistant")])
+    assert found[7]["n_turns"] == len(turns) + 1
+    assert found[7]["loss_sha256"] == hashlib.sha256(said.encode()).hexdigest()
