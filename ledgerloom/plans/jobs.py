@@ -524,8 +524,8 @@ def apply_documents(
 
     ``prepared`` are stored packets of ``prepare_sweep_packets``. The job is refused if
     the day's commits, the cursor or any document changed since they were frozen, if a
-    create meets a stored document or a replace another content than it expects, if a
-    document would be left without its parent, or if two keys would differ in case alone. Decisions that are in place already
+    create meets a stored document or a replace another content than it expects, if a context row
+    is no stored document, if a document would be left without its parent, or if two keys would differ in case alone. Decisions that are in place already
     change nothing; other decisions for the same packet are refused. ``producers`` names who
     made each packet's decisions. The frozen snapshot is that of ``current_snapshot``, or
     ``documents.snapshot_hash`` of all documents, which costs a pass over their keys. Returns the run.
@@ -555,6 +555,11 @@ def apply_documents(
     if frozen_snapshot_sha256 != current_snapshot(store):
         if frozen_snapshot_sha256 != documents.snapshot_hash(current).first()["snapshot_sha256"]:
             raise LedgerError("documents changed after the snapshot was frozen")
+    stored = current.select("target_key", F.col("sha256").alias("document_sha256"))
+    _require_none(
+        context.select("target_key", "document_sha256").join(stored, ["target_key", "document_sha256"], "left_anti"),
+        "a context row is not a stored document",
+    )
     keyed = changes.select(
         routes.target_key(F.col("target")).alias("target_key"), "action", "expected_sha256", "body"
     )

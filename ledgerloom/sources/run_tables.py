@@ -211,6 +211,8 @@ class RunTables:
 
     def spans(self, lane: str) -> list[Span]:
         """The merged spans of a lane, in order; their number grows with the logarithm of the runs."""
+        if not self.exists(self._folder(f"commits/{lane}-spans")):
+            return []
         last = self._commit_files(f"{lane}-spans", _SPANS).orderBy(F.desc("run")).first()
         return [Span(s["first"], s["last"], s["level"], s["attempt"]) for s in last["spans"]] if last else []
 

@@ -329,6 +329,10 @@ def test_documents_are_created_and_replaced(spark, logs, store, tmp_path):
     blind = spark.createDataFrame([], "packet_sha256 string, target_key string, document_sha256 string")
     with pytest.raises(jobs.LedgerError, match="preimage"):
         jobs.apply_documents(store, second, blind, change(0, chain[3], packet_sha256=sha2), promoted(second, chain[3]), snapshot(), producers=made_by(second))
+    with pytest.raises(jobs.LedgerError, match="context row"):
+        alien = context(sha2).withColumn("document_sha256", F.when(F.col("target_key").startswith("ltm"), F.lit("0" * 64)).otherwise(F.col("document_sha256")))
+        good = change(0, chain[3], "replace", old, "New body", packet_sha256=sha2)
+        jobs.apply_documents(store, second, alien, good, promoted(second, chain[3]), snapshot(), producers=made_by(second))
     wrong = change(0, chain[3], "replace", "0" * 64, packet_sha256=sha2)
     with pytest.raises(jobs.LedgerError, match="preimage"):
         jobs.apply_documents(store, second, context(sha2), wrong, promoted(second, chain[3]), snapshot(), producers=made_by(second))
