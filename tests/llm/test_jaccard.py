@@ -211,3 +211,12 @@ def test_one_of_each_keeps_columns_of_any_name(spark):
         found = jaccard.one_of_each(some, jaccard.Threshold(80), 5).collect()
         assert sorted(r["doc_id"] for r in found) == [0, 3, 4]
         assert all([r[n] for n in names] == names for r in found)
+
+
+def test_very_long_texts(spark):
+    base = [f"w{i}" for i in range(200_000)]
+    changed = list(base)
+    changed[1000] = "other"
+    rows = [(1, " ".join(base)), (2, " ".join(changed)), (3, " ".join(base[:150_000])), (4, "short text here")]
+    found = jaccard.join(spark.createDataFrame(rows, "doc_id long, text string"), jaccard.Threshold(90), length=3, count_links=True)
+    assert {r["doc_id"]: (r["component_id"], r["n_links"]) for r in found.members.collect()} == {1: (1, 1), 2: (1, 1), 3: (3, 0), 4: (4, 0)}

@@ -87,3 +87,9 @@ def test_columns_of_any_name_are_kept(spark):
     for r in mixed:
         assert [r[n] for n in names] == names and r["taken"] == plain[r["doc_id"]]
     assert mixing.mixed(df).columns == df.columns
+
+
+def test_very_long_texts(spark):
+    rows = [(1, "a", "word " * 500_000), (2, "a", "word"), (3, "b", "x y z")]
+    found = {r["doc_id"]: (r["size"], r["taken"]) for r in mixing.mix(spark.createDataFrame(rows, "doc_id long, source string, text string")).collect()}
+    assert found[1][0] == 500_000 and all(taken in (0, size, 2 * size) for size, taken in found.values())

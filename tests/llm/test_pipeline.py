@@ -101,3 +101,23 @@ def test_run_gives_the_same_rows_again(spark, folder):
 def test_empty_documents(spark, tmp_path):
     spark.createDataFrame([], TYPES).write.parquet(f"{tmp_path}/documents.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_nulls_repeated_ids_long_texts_and_columns_of_any_name(spark, tmp_path):
+    names = ["_drop", "seq", "t1", "_source", "sure", "loose", "kept", "size", "taken", "copies", "_row", "n_words", "_id", "length"]
+    rng = random.Random(9)
+    some = [row for row in documents() if row[1] and len(row[1]) > 100]
+    long = " ".join(["the", *(f"w{rng.randrange(10**6)}" for _ in range(60_000))] * 1)
+    rows = [*some, (None, some[0][1] + " the end of it", None, None, None), (some[1][0], some[5][1] + " and more of that", "en", None, 5)]
+    rows += [some[2], some[2], (None, None, None, None, None), (7000, "the " + long, "sv", "c", None)]
+    schema = TYPES + ", " + ", ".join(f"{n} string" for n in names)
+    docs = spark.createDataFrame([(*row, *names) for row in rows], schema)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = corpus_pipeline.stored(stage(spark, docs, str(tmp_path)), name)
+        assert docs.columns == [c.split()[0] for c in schema.split(", ")]
+        assert all([r[n] for n in names] == names for r in docs.select(*names).collect())
+    assert docs.where("doc_id = 7000").count() > 0
+    pieces = corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).collect()
+    copies = docs.where("doc_id = 7000").count()
+    own = [p for p in pieces if p["doc_id"] == 7000]
+    assert max(p["length"] for p in pieces) <= 2048 and len(own) > 30 * copies

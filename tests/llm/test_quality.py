@@ -90,3 +90,17 @@ def test_edges(spark):
     assert quality.score(docs.limit(0), labels).count() == 0
     mixed = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
     assert quality.score(docs, mixed).count() == 4
+
+
+def test_ties_and_repeated_rows_have_equal_scores(spark):
+    rng = random.Random(6)
+    texts = [" ".join(rng.choice(["aa", "bb", "cc", "dd"]) for _ in range(20)) for _ in range(40)]
+    docs = spark.createDataFrame([(i % 30, texts[i % 40], "x") for i in range(80)], "doc_id long, text string, score string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(20)] * 2, "doc_id long, quality int")
+    rows = quality.score(docs, labels).collect()
+    again = quality.score(docs.repartition(5), labels).collect()
+    assert len(rows) == 80 and sorted(map(tuple, rows)) == sorted(map(tuple, again))
+    scores = {}
+    for i, text in ((i % 30, texts[i % 40]) for i in range(80)):
+        scores.setdefault((i, text), 0)
+    assert len({(r["doc_id"], r["score"]) for r in rows}) <= len(scores)
