@@ -11,11 +11,11 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.once import with_once
 from ledgerloom.functions.text import truncate_utf8
-from ledgerloom.sources.scratch import stored
+from ledgerloom.sources.scratch import stored, stored_with_size
 
 SALTS = 32
-#: Keys of chosen rows, some hundred bytes each, that may be sent to every task.
-BROADCAST_KEYS = 200_000
+#: Compressed keys of chosen rows that may be sent to every task.
+BROADCAST_BYTES = 16 << 20
 
 
 def first_rows(
@@ -48,12 +48,12 @@ def chosen_rows(
 
     Only ``group`` and ``order`` are sorted and limited; the keys found are stored, and the rows that
     have them are taken from ``texts`` (by default ``df``), so a scan of the texts keeps the chosen ones alone.
-    Rows that tie in order with the last one are taken too. The keys are broadcast if they
-    are at most ``BROADCAST_KEYS``, else both sides are shuffled by key.
+    Rows that tie in order with the last one are taken too. The keys are broadcast if their files
+    hold at most ``BROADCAST_BYTES``, else both sides are shuffled by key.
     """
     keys = [*group, *order]
-    chosen = stored(first_rows(df.select(*keys), group, order, limit).select(*keys).distinct(), "chosen")
-    few = F.broadcast(chosen) if chosen.count() <= BROADCAST_KEYS else chosen
+    chosen, size = stored_with_size(first_rows(df.select(*keys), group, order, limit).select(*keys), "chosen")
+    few = F.broadcast(chosen) if size <= BROADCAST_BYTES else chosen
     same = reduce(and_, [F.col(f"r.{key}").eqNullSafe(F.col(f"k.{key}")) for key in keys])
     return (df if texts is None else texts).alias("r").join(few.alias("k"), same, "left_semi")
 

@@ -92,11 +92,11 @@ def test_texts_are_read_for_chosen_keys_alone(spark, tmp_path):
 
     from ledgerloom.operators import groups
 
-    real, groups.stored = groups.stored, spied
+    real, groups.stored_with_size = groups.stored_with_size, spied
     try:
         chosen_rows(stored, ["day"], ["id"], 3)
     finally:
-        groups.stored = real
+        groups.stored_with_size = real
     assert len(seen) == 1 and "WindowGroupLimit" in seen[0] and "text#" not in seen[0]
 
 
@@ -110,5 +110,5 @@ def test_ties_and_many_keys(spark, monkeypatch):
 
     wanted = [(0, 1, "c"), (1, 1, "a"), (1, 2, "a"), (1, 3, "a"), (1, 4, "a"), (2, 1, "a")]
     assert kept() == wanted
-    monkeypatch.setattr("ledgerloom.operators.groups.BROADCAST_KEYS", 0)
+    monkeypatch.setattr("ledgerloom.operators.groups.BROADCAST_BYTES", 0)
     assert kept() == wanted
