@@ -36,3 +36,27 @@ def test_components_with_hubs(spark, monkeypatch, smallest):
     found = [tuple(r) for r in module.components(df).collect()]
     assert sorted(found) == sorted(plain(edges).items())
     assert module.components(df.where("false")).count() == 0
+
+
+def test_plans_stay_small(spark, monkeypatch):
+    """What is stored in a round comes from few reads of what was stored before, however hubs are treated."""
+    monkeypatch.setattr(module, "SMALLEST_HUB", 2)
+    reads = []
+    write = module.stored
+
+    def counting(df, name):
+        reads.append(df._jdf.queryExecution().optimizedPlan().toString().count("Relation ["))
+        return write(df, name)
+
+    monkeypatch.setattr(module, "stored", counting)
+    edges = [(n, n + 1) for n in range(20)] + [(100, n) for n in range(101, 140)] + [(139, 5)]
+    df = spark.createDataFrame(edges, "u long, v long")
+    assert dict(map(tuple, module.components(df).collect())) == plain(edges)
+    assert max(reads) <= 10
+
+
+def test_stars_need_no_round(spark, monkeypatch):
+    monkeypatch.setattr(module, "_small_star", None)
+    edges = [(n, 3) for n in range(4, 90)] + [(100, 101), (102, 100)]
+    found = module.components(spark.createDataFrame(edges, "u long, v long")).collect()
+    assert dict(map(tuple, found)) == plain(edges)
