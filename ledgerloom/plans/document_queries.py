@@ -20,7 +20,7 @@ def _leaf(doc_id: Column) -> Column:
 
 def sample_documents(spark: SparkSession, sf: str) -> DataFrame:
     """The stored layered documents."""
-    return stored_once("documents", spark, sf, lambda: _layered(spark, sf))
+    return stored_once("documents", spark, sf, lambda: _layered(spark, sf), texts=True)
 
 
 def _layered(spark: SparkSession, sf: str) -> DataFrame:
@@ -151,7 +151,9 @@ def snapshot_freshness(spark: SparkSession, sf: str) -> DataFrame:
 def labelled(spark: SparkSession, sf: str) -> DataFrame:
     """Labelled documents as entries of sweeps of at most 20 documents."""
     number = F.expr(f"doc_id div {SWEEP_DOCUMENTS}").cast("string")
-    return table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id").select(
+    # The hash is taken before the join, so that who needs no more of the text does not send it.
+    hashed = table(spark, sf, "documents").withColumn("text_sha256", F.sha2("text", 256))
+    return hashed.join(table(spark, sf, "labels"), "doc_id").select(
         "*",
         ident.sha256_hex(F.concat(F.lit("sweep-"), number)).alias("packet_sha256"),
         ident.sha256_hex(F.concat(F.lit("entry-"), F.col("doc_id").cast("string"))).alias("entry_id"),
@@ -170,7 +172,8 @@ def _frozen_context(spark: SparkSession, sf: str) -> DataFrame:
         ident.sha256_hex(F.concat(F.lit("sweep-"), number)).alias("packet_sha256"),
         "lang", "source", "doc_id", "n_chars",
     )
-    docs = sample_documents(spark, sf).select(
+    # Straight from the tables: of the bodies only hashes and sizes are sent and stored.
+    docs = _layered(spark, sf).select(
         "target_key", "path", F.col("sha256").alias("document_sha256"), F.octet_length("body").cast("bigint").alias("size"),
         "layer",
     )
@@ -189,14 +192,22 @@ def _target(layer: str, with_leaf: bool) -> Column:
     )
 
 
+def sweep_changes(spark: SparkSession, sf: str, bodies: bool = False) -> DataFrame:
+    """The stored changes of every sweep; ``bodies`` are stored only for those who read them."""
+    if bodies:
+        return stored_once("sweep_changes", spark, sf, lambda: _decided(spark, sf)[1], texts=True)
+    return stored_once("sweep_change_heads", spark, sf, lambda: _decided(spark, sf)[1].drop("body"))
+
+
+def sweep_dispositions(spark: SparkSession, sf: str) -> DataFrame:
+    """The stored dispositions of every sweep."""
+    return stored_once("sweep_dispositions", spark, sf, lambda: _decided(spark, sf)[2])
+
+
 def sweep_decisions(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The stored items, changes and dispositions of every sweep."""
-    names = ("sweep_items", "sweep_changes", "sweep_dispositions")
-    items, changes, dispositions = (
-        stored_once(name, spark, sf, lambda place=place: _decided(spark, sf)[place])
-        for place, name in enumerate(names)
-    )
-    return items, changes, dispositions
+    """The stored items, changes with their bodies, and dispositions of every sweep."""
+    items = stored_once("sweep_items", spark, sf, lambda: _decided(spark, sf)[0])
+    return items, sweep_changes(spark, sf, bodies=True), sweep_dispositions(spark, sf)
 
 
 def _decided(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -235,7 +246,7 @@ def _decided(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFr
         leaf.alias("target"),
         F.when(creates, F.lit(None).cast("string"))
         .when(F.col("lang") == "de", F.sha2(F.concat(F.lit("old-"), F.col("doc_id").cast("string")), 256))
-        .otherwise(F.sha2("text", 256))
+        .otherwise(F.col("text_sha256"))
         .alias("expected_sha256"),
         F.col("text").alias("body"),
         F.array("entry_id").alias("source_entry_ids"),
@@ -270,8 +281,7 @@ preimages AS (SELECT packet_sha256, doc_id AS change_no, leaf_key AS target_key,
     o.with_(_SWEEP, "SELECT packet_sha256, change_no, target_key, status FROM preimages"),
 )
 def preimage_check(spark: SparkSession, sf: str) -> DataFrame:
-    _, changes, _ = sweep_decisions(spark, sf)
-    checked = decisions.preimage_check(changes, sweep_context(spark, sf))
+    checked = decisions.preimage_check(sweep_changes(spark, sf), sweep_context(spark, sf))
     return checked.select("packet_sha256", "change_no", "target_key", "status")
 
 
@@ -283,8 +293,7 @@ def preimage_check(spark: SparkSession, sf: str) -> DataFrame:
     ),
 )
 def change_source_check(spark: SparkSession, sf: str) -> DataFrame:
-    _, changes, dispositions = sweep_decisions(spark, sf)
-    return decisions.unmatched_change_sources(changes, dispositions)
+    return decisions.unmatched_change_sources(sweep_changes(spark, sf), sweep_dispositions(spark, sf))
 
 
 @query(
@@ -295,7 +304,7 @@ def change_source_check(spark: SparkSession, sf: str) -> DataFrame:
     ),
 )
 def disposition_check(spark: SparkSession, sf: str) -> DataFrame:
-    _, changes, dispositions = sweep_decisions(spark, sf)
+    changes, dispositions = sweep_changes(spark, sf), sweep_dispositions(spark, sf)
     checked = decisions.disposition_check(dispositions, changes, sweep_context(spark, sf))
     return checked.withColumn("targets", F.col("targets").cast("bigint"))
 
@@ -407,7 +416,7 @@ def context_snapshot(spark: SparkSession, sf: str) -> DataFrame:
 def document_upsert(spark: SparkSession, sf: str) -> DataFrame:
     """Reviewed bodies of English and French leaves and boards that were missing."""
     docs = sample_documents(spark, sf).select("target_key", "body", "sha256")
-    _, changes, _ = sweep_decisions(spark, sf)
+    changes = sweep_changes(spark, sf, bodies=True)
     reviewed = changes.where(F.col("target.tree").isin("en", "fr")).select(
         routes.target_key(F.col("target")).alias("target_key"), F.concat(F.lit("Reviewed. "), "body").alias("body")
     )

@@ -21,9 +21,16 @@ ZONE = "Asia/Seoul"
 _written: dict[tuple[str, str, str], str] = {}
 
 
-def stored_once(name: str, spark: SparkSession, sf: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """A derived table that is stored in the work folder on first use and read from there."""
-    path = _once(name, spark, sf, lambda path: build().hint("rebalance").write.parquet(path))
+def stored_once(
+    name: str, spark: SparkSession, sf: str, build: Callable[[], DataFrame], texts: bool = False
+) -> DataFrame:
+    """A derived table that is stored in the work folder on first use and read from there.
+
+    Tables that hold whole ``texts`` are written where they were read, without a shuffle of their own.
+    """
+    path = _once(
+        name, spark, sf, lambda path: (build() if texts else build().hint("rebalance")).write.parquet(path)
+    )
     return spark.read.parquet(path)
 
 
