@@ -150,3 +150,47 @@ def test_edges(spark):
     assert toxicity.score(docs, both).count() == 4
     long = spark.createDataFrame([(1, "word " * 400_000, "x"), (2, "bad", "x")], "doc_id long, text string, lang string")
     assert toxicity.score(long, both).count() == 2
+
+
+def test_learns_from_all_labelled_rows(spark):
+    count = 20_500
+    ids = spark.range(count).select(F.col("id").alias("_id"))
+    source = ids.select("_id", F.concat(F.lit("word a"), F.lit(" bcd")).alias("_text"), F.lit("x").alias("_lang"))
+    long = spark.createDataFrame([(count, "some word " * 600_000, "x")], source.schema)
+    labelled = spark.range(count + 1).select(F.col("id").alias("_id"), (F.col("id") % 2).cast("int").alias("_label"))
+    rows = toxicity._learned(source.union(long), labelled)
+    found = rows.groupBy("label").agg(F.count_if(F.col("piece") == 0).alias("n"), F.sum("words").alias("words")).collect()
+    overlaps = 2 * (rows.where("piece > 0").count())
+    assert {r["label"]: r["n"] for r in found} == {0: count // 2 + 1, 1: count // 2}
+    assert sum(r["words"] for r in found) == 3 * count + 1_200_000 + overlaps
+    assert rows.select("part").distinct().count() == 2
+
+
+def test_more_labels_than_are_sent_to_tasks(spark, monkeypatch):
+    source = spark.range(-500, 1500).select(F.col("id").alias("_id"), F.lit("some text").alias("_text"), F.lit("x").alias("_lang"))
+    labelled = spark.range(-900, 1400, 3).select(F.col("id").alias("_id"), F.lit(1).alias("_label"))
+    expected = sorted(r["order"] for r in toxicity._learned(source, labelled).collect())
+    monkeypatch.setattr(toxicity, "BROADCAST_IDS", 10)
+    assert len(expected) == 633 and sorted(r["order"] for r in toxicity._learned(source, labelled).collect()) == expected
+    chosen = labelled.select(F.xxhash64("_id").alias("_order"))
+    let_through = source.where(toxicity._may_be_labelled(chosen)(F.xxhash64("_id"))).count()
+    assert 633 <= let_through < 650
+
+
+def test_parts_learn_one_network(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "PART_IDS", 150)
+    rows = made_texts(4, 1200)
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, toxic int")
+    labels = df.where("doc_id < 900").select("doc_id", "toxic")
+    found = toxicity.score(df.drop("toxic"), labels).where("doc_id >= 900").collect()
+    truth = {r[0]: r[3] for r in rows}
+    assert sum((r["score"] >= 0.7) == truth[r["doc_id"]] for r in found) > 0.95 * len(found)
+
+
+def test_moves_are_means_over_the_parts_that_moved_a_row():
+    rows = [(0, 1, 1.0, [3, 7], [[2.0], [4.0]]), (0, 2, 3.0, [7], [[8.0]]), (-2, 1, 2.0, [0], [[0.5]]), (-2, 2, 2.0, [0], [[1.5]])]
+    batch = toxicity._move_batch([(b, p, w, np.array(r), np.array(v)) for b, p, w, r, v in rows])
+    found = [row for out in toxicity._means(iter([batch])) for row in out.to_pylist()]
+    moves = {r["block"]: [x.ravel().tolist() for x in toxicity._values_of(r["block"], r["rows"], r["moves"])] for r in found}
+    assert moves == {0: [[3, 7], [2.0, 7.0]], -2: [[0], [1.0]]}
+    assert found[1]["weight"] == 4.0
